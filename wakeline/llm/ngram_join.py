@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, components, cut, mix, partitions, shingles, word_hashes
+from .common import chunks, components, cut, mix, shingles, small_batches, word_hashes
 
 
 def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
@@ -106,33 +106,22 @@ def _stars(links: list[tuple]) -> list[tuple]:
 
 
 def _opened(percent: int, each: bool):
-    """Runs over rows (g1, g2, side, rep, grams) sorted by pair and side; side 2 is the second group of a pair. Gives
+    """Runs over opened pairs (reps1, grams1, reps2, grams2), with null on the right where a group meets itself. Gives
     each link, or else the stars of each pair of groups."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair, sides, out = None, ([], []), []
-
-        def close() -> None:
-            if sides[0]:
-                links = _links(sides[0], sides[1] or sides[0], percent, not sides[1])
-                out.extend(links if each else _stars(links))
-
-        def batch_of() -> pa.RecordBatch:
-            cols = list(zip(*out, strict=True)) or [[]] * (4 if each else 3)
-            out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b", "common", "total"] if each else ["a", "b", "links"])
+    def sets(reps: list, grams: list) -> list[tuple]:
+        return [(r, np.frombuffer(g, np.uint64)) for r, g in zip(reps, grams, strict=True)]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            g1, g2, side, rep, grams = (c.to_pylist() for c in batch.columns)
-            for k in range(len(rep)):
-                if (g1[k], g2[k]) != pair:
-                    close()
-                    pair, sides = (g1[k], g2[k]), ([], [])
-                sides[side[k] - 1].append((rep[k], np.frombuffer(grams[k], np.uint64)))
-            if out:
-                yield batch_of()
-        close()
-        yield batch_of()
+            out = []
+            for row in range(batch.num_rows):
+                reps1, grams1, reps2, grams2 = (c[row].as_py() for c in batch.columns)
+                left = sets(reps1, grams1)
+                links = _links(left, sets(reps2, grams2) if reps2 else left, percent, not reps2)
+                out += links if each else _stars(links)
+            cols = list(zip(*out, strict=True)) or [[]] * (4 if each else 3)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b", "common", "total"] if each else ["a", "b", "links"])
 
     return run
 
@@ -145,7 +134,6 @@ def similar_classes(docs: DataFrame, percent: int = 75, width: int = 5, sample:
     A link is 100 * common >= percent * total. A document of fewer than `width` words is one shingle of all its words.
     Null and empty texts have no shingles and no links. Ids are integers; rows that repeat an id and text fall in one class.
     """
-    spark = docs.sparkSession
     base = cut(sketches(docs, sample, width, id_col, text_col))
     full = base.where("n > 0")
     reps = full.groupBy("digest", "n").agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens"))
@@ -167,14 +155,17 @@ def similar_classes(docs: DataFrame, percent: int = 75, width: int = 5, sample:
     met = matrix.selectExpr("token", "gid AS g1").join(matrix.selectExpr("token", "gid AS g2"), "token").where("g1 < g2").select("g1", "g2").distinct()
     alone = grouped.groupBy("gid").count().where("count > 1").selectExpr("gid AS g1", "gid AS g2")
     pairs = cut(met.unionByName(alone))
-    # whole sets of the members of opened groups only
+    # whole sets of the members of opened groups only, packed by group; merge joins at any size, so that disk grows evenly
     opened = pairs.selectExpr("g1 AS gid").unionByName(pairs.selectExpr("g2 AS gid")).distinct()
-    need = grouped.join(opened, "gid", "left_semi")
-    wanted = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(need.selectExpr("rep AS doc_id").distinct(), "doc_id", "left_semi")
-    sets = cut(shingle_sets(wanted.dropDuplicates(["doc_id"]), width).join(need.withColumnRenamed("rep", "doc_id"), "doc_id").selectExpr("gid", "doc_id AS rep", "grams"))
-    one = pairs.withColumn("gid", F.col("g1")).join(sets, "gid").selectExpr("g1", "g2", "1 AS side", "rep", "grams")
-    two = pairs.where("g1 <> g2").withColumn("gid", F.col("g2")).join(sets, "gid").selectExpr("g1", "g2", "2 AS side", "rep", "grams")
-    both = one.unionByName(two).repartition(partitions(spark), "g1", "g2").sortWithinPartitions("g1", "g2", "side")
+    need = grouped.join(opened, "gid", "left_semi").withColumnRenamed("rep", "doc_id")
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    wanted = texts.join(need.select("doc_id").hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    sets = shingle_sets(wanted, width).join(need.hint("merge"), "doc_id")
+    sets = cut(sets.groupBy("gid").agg(F.collect_list(F.struct("doc_id", "grams")).alias("s")).select("gid", "s.doc_id", "s.grams"))
+    one, two = (sets.select(F.col("gid").alias(f"g{k}"), F.col("doc_id").alias(f"reps{k}"), F.col("grams").alias(f"grams{k}")) for k in (1, 2))
+    met = pairs.where("g1 <> g2").join(one.hint("merge"), "g1").join(two.hint("merge"), "g2")
+    own = pairs.where("g1 = g2").select("g1").join(one, "g1").withColumn("reps2", F.lit(None).cast("array<long>")).withColumn("grams2", F.lit(None).cast("array<binary>"))
+    both = met.select("reps1", "grams1", "reps2", "grams2").unionByName(own.drop("g1"))
     links = both.mapInArrow(_opened(percent, each), "a long, b long, common long, total long" if each else "a long, b long, links long")
     if each:
         links = links.selectExpr("least(a, b) AS a", "greatest(a, b) AS b", "common", "total")
@@ -187,7 +178,8 @@ def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, id_col
     """doc_id, n_shingles, component_id (the smallest doc_id reachable by links, the document's own without any), links
     (of its class to other classes). Empty tables give no rows; see similar_classes for nulls and short texts."""
     members, links = similar_classes(docs, percent, width, each=False, id_col=id_col, text_col=text_col, **more)
-    links = cut(links)
+    with small_batches(docs.sparkSession):
+        links = cut(links)
     comp = components(links.select("a", "b"))
     degree = links.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     found = degree.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
