@@ -8,6 +8,7 @@ are regrouped into bins of a power-of-two length, which need no padding either.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 
@@ -33,10 +34,16 @@ class Encoder:
     def __init__(self, path: str, most: int = 400_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # the same vocabulary for pieces that are lower-cased and cut already: many at a time, with spaces between
+        self.bare = Tokenizer.from_str(json.dumps(json.loads(self.tokenizer.to_str()) | {"normalizer": None, "added_tokens": []}))
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.odd = regex.compile("[\x1c-\x1f\x85᠎​﻿]|<\\||\\|>")
         self.most, self.known, self.parts = most, {}, {}
         self.pieces = regex.compile(PATTERN).findall
@@ -45,36 +52,47 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, strings: list[str]) -> None:
+    def lower(self, pieces: list[str]) -> list[bytes]:
+        """The ids of lower-cased pieces; the last token of each carries the mark of a word's end."""
+        out: list[bytes] = []
+        for k in range(0, len(pieces), 4096):
+            ids = np.array(self.bare.encode(" ".join(pieces[k : k + 4096]), add_special_tokens=False).ids, "<u4")
+            at, packed = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()], ids.tobytes()
+            out += [packed[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
+        return out
+
+    def learn(self, strings: set[str]) -> None:
         """Strings of common Latin letters, digits and marks are put together from lower-cased pieces; others are encoded whole."""
-        if len(self.known) + len(strings) > self.most:
+        known, parts, split, rest = self.known, self.parts, [], []
+        for s in strings:
+            if not (s.isascii() or self.plain(s)):
+                rest.append(s)
+            elif (low := s.lower()).isalpha():
+                split.append((s, (low,)))
+            else:
+                split.append((s, self.pieces(low)))
+        wanted = {p for _, ps in split for p in ps}
+        if len(parts) + len(wanted) > self.most:
+            parts.clear()
+        new = list(wanted - parts.keys())
+        parts.update(zip(new, self.lower(new), strict=True))
+        known.update(zip(rest, self.whole(rest), strict=True))
+        known.update([(s, parts[ps[0]] if len(ps) == 1 else b"".join([parts[p] for p in ps])) for s, ps in split])
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        odd = {i for i, t in enumerate(texts) if self.odd.search(t)}
+        strings = [[] if i in odd else t.split() for i, t in enumerate(texts)]
+        seen = set().union(*strings)
+        new = seen - self.known.keys()
+        if len(self.known) + len(new) > self.most:
             self.known.clear()
-        split = {s: self.pieces(s.lower()) for s in strings if self.plain(s)}
-        new = list({p for ps in split.values() for p in ps if p not in self.parts})
-        if len(self.parts) + len(new) > self.most:
-            self.parts.clear()
-            new = list({p for ps in split.values() for p in ps})
-        self.parts.update(zip(new, self.whole(new), strict=True))
-        rest = [s for s in strings if s not in split]
-        self.known.update(zip(rest, self.whole(rest), strict=True))
-        join, parts = b"".join, self.parts
-        self.known.update((s, join([parts[p] for p in ps])) for s, ps in split.items())
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            if self.odd.search(text):
-                yield self.whole([text])[0]
-                continue
-            strings = text.split()
-            known = self.known
-            found = list(map(known.get, strings))
-            if None in found:
-                self.learn(list({s for s, f in zip(strings, found, strict=True) if f is None}))
-                found = [known[s] if s in known else None for s in strings]
-                if None in found:  # the memory was emptied
-                    self.learn(list(set(strings)))
-                    found = [known[s] for s in strings]
-            yield b"".join(found)
+            new = seen
+        self.learn(new)
+        get = self.known.__getitem__
+        out = [b"".join(map(get, s)) for s in strings]
+        for i in odd:
+            out[i] = self.whole([texts[i]])[0]
+        return out
 
 
 def encoder(path: str) -> Encoder:
