@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, ngram_join, packing, quality
+from . import chat, exact_dedup, langid, mixing, ngram_join, packing, quality, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -130,3 +130,47 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_harmonic_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.pack(table(spark, sf_dir, "documents")))
+
+
+def _chat_sql() -> str:
+    escaped, role = "text", "role"
+    for plain, code in chat._CODES.items():
+        escaped = f"replace({escaped}, '{plain}', '{code}')"
+    for plain, code in chat._ROLE_CODES.items():
+        role = f"replace({role}, {'chr(10)' if plain == chr(10) else repr(plain)}, '{code}')"
+    hit = " OR ".join(f"contains(text, '{c}')" for c in chat.CONTROLS)
+    extra = len(chat.START) + 1 + len(chat.END)
+    order = "ORDER BY turn NULLS FIRST, role, text"
+    return f"""
+    WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+    r AS (SELECT *, length({role}) + {extra} + CASE WHEN {hit} THEN length({escaped}) + {len(chat.MARK)} ELSE length(text) END AS n FROM c),
+    g AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' {order}) AS turns,
+      coalesce(string_agg(text, '' {order}) FILTER (WHERE role = 'assistant'), '') AS loss, sum(n)::BIGINT AS formatted_chars FROM r GROUP BY conv_id)
+    SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g"""
+
+
+@query("op7_chat_formatting", _chat_sql())
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = "</s>[INST] ok [/INST]"
+    own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(text).alias("text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat.digests(chat.format_conversations(turns))
+
+
+@query("op8_language_id")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op10_warc",
+    """
+    WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+    m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM p)
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+      CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to FROM m
+    """,
+)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
