@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, langid, mixing, ngram_join, packing, quality, warc
+from . import chat, exact_dedup, langid, line_dedup, lm_score, mixing, ngram_join, packing, quality, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,6 +31,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 NORMAL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+@query("op1_line_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(line_dedup.dedup_lines(table(spark, sf_dir, "documents")))
+
+
+@query("op2_lm_scoring")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_texts(table(spark, sf_dir, "documents"))
+
+
 @query("op3_ngram_jaccard_join")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
