@@ -31,7 +31,7 @@ class Encoder:
     of known strings is bounded: it is emptied when it holds `most` of them, which costs time only.
     """
 
-    def __init__(self, path: str, most: int = 400_000) -> None:
+    def __init__(self, path: str, most: int = 1_500_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import regex
         from tokenizers import Tokenizer, pre_tokenizers
@@ -45,7 +45,7 @@ class Encoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.odd = regex.compile("[\x1c-\x1f\x85᠎​﻿]|<\\||\\|>")
-        self.most, self.known, self.parts = most, {}, {}
+        self.most, self.known = most, {}
         self.pieces = regex.compile(PATTERN).findall
         self.plain = regex.compile("[\x21-\x7eÀ-ɏ]+").fullmatch
 
@@ -62,22 +62,23 @@ class Encoder:
         return out
 
     def learn(self, strings: set[str]) -> None:
-        """Strings of common Latin letters, digits and marks are put together from lower-cased pieces; others are encoded whole."""
-        known, parts, split, rest = self.known, self.parts, [], []
+        """Strings of common Latin letters, digits and marks are put together from lower-cased pieces, which are kept as
+        strings of their own; others are encoded whole."""
+        known, wanted, split, rest = self.known, set(), [], []
         for s in strings:
             if not (s.isascii() or self.plain(s)):
                 rest.append(s)
-            elif (low := s.lower()).isalpha():
-                split.append((s, (low,)))
-            else:
-                split.append((s, self.pieces(low)))
-        wanted = {p for _, ps in split for p in ps}
-        if len(parts) + len(wanted) > self.most:
-            parts.clear()
-        new = list(wanted - parts.keys())
-        parts.update(zip(new, self.lower(new), strict=True))
+                continue
+            low = s.lower()
+            pieces = (low,) if low.isalpha() else self.pieces(low)
+            wanted.update(pieces)
+            if low != s or len(pieces) > 1:
+                split.append((s, pieces))
+        new = list(wanted - known.keys())
+        known.update(zip(new, self.lower(new), strict=True))
         known.update(zip(rest, self.whole(rest), strict=True))
-        known.update([(s, parts[ps[0]] if len(ps) == 1 else b"".join([parts[p] for p in ps])) for s, ps in split])
+        for s, pieces in split:
+            known[s] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         odd = {i for i, t in enumerate(texts) if self.odd.search(t)}
