@@ -2,7 +2,7 @@
 
 States are the empty context and the one- and two-word contexts that predict their next word better than the empty one
 does: a context is retained when its leave-one-out log-likelihood ratio (its divergence, counted without the occurrence
-at hand) is positive. Its distribution keeps the words seen at least twice, discounted, and leaves the rest of its mass
+at hand) is positive. Its distribution keeps the words seen at least three times, discounted, and leaves the rest of its mass
 to the smoothed word distribution. A word is scored by the longest retained suffix of what precedes it that beats the
 next shorter one by that measure.
 
@@ -29,14 +29,17 @@ _U = np.uint64
 _K = _U(0x9E3779B97F4A7C15)
 END = int(mix(np.array([0x2545F4914F6CDD1D], np.uint64))[0])
 DISCOUNT = 0.75
+#: How often a pair or triple must occur to be kept in a context's distribution.
+LEAST = 3
 PACKED = "bucket int, kind int, block long, k binary, v binary"
 NAMES = ["bucket", "kind", "block", "k", "v"]
 
 
 def _free(spark: SparkSession) -> None:
     """Lets Spark drop shuffle files of plans that are done."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
 
 
 class Keys:
@@ -104,12 +107,11 @@ def _count_words(q: int):
         for batch in batches:
             t = Keys(batch.column(0), q)
             rows = list(_dealt(0, 0, *(lambda k, n: (k, [n.astype("<u4")]))(*np.unique(t.w, return_counts=True)), q))
-            pairs, n = np.unique(t.pair[t.depth > 0] >> _U(24), return_counts=True)
-            # the top 40 bits are enough to fill a bit map
-            at = np.searchsorted(pairs >> _U(40 - q), np.arange((1 << q) + 1, dtype=np.uint64))
-            five = np.ascontiguousarray(pairs.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5])
-            n = np.minimum(n, 255).astype(np.uint8)
-            rows += [(b, 1, 0, five[at[b] : at[b + 1]].tobytes(), n[at[b] : at[b + 1]].tobytes()) for b in np.flatnonzero(np.diff(at)).tolist()]
+            # the 32 bits that follow the bucket's are enough to fill a bit map
+            pairs, n = np.unique(t.pair[t.depth > 0] >> _U(32 - q), return_counts=True)
+            at = np.searchsorted(pairs >> _U(32), np.arange((1 << q) + 1, dtype=np.uint64))
+            low, n = pairs.astype("<u4"), np.minimum(n, 255).astype(np.uint8)
+            rows += [(b, 1, 0, low[at[b] : at[b + 1]].tobytes(), n[at[b] : at[b + 1]].tobytes()) for b in np.flatnonzero(np.diff(at)).tolist()]
             yield _rows(rows)
 
     return run
@@ -121,12 +123,9 @@ def _sum_words(q: int, pair_bits: int, count_bits: int):
     def run(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()
         words, n = _summed(_joined(table, 0, "k", "<u8"), _joined(table, 0, "v", "<u4").astype(np.int64))
-        five = _joined(table, 1, "k", "u1").reshape(-1, 5)
-        wide = np.zeros((len(five), 8), np.uint8)
-        wide[:, :5] = five
-        pairs, m = _summed(wide.view("<u8").ravel(), _joined(table, 1, "v", "u1").astype(np.int64))
+        pairs, m = _summed(_joined(table, 1, "k", "<u4"), _joined(table, 1, "v", "u1").astype(np.int64))
         bits = np.zeros(1 << (pair_bits - q), np.uint8)
-        bits[(pairs[m > 1] >> _U(40 - pair_bits)) & _U((1 << (pair_bits - q)) - 1)] = 1
+        bits[pairs[m >= LEAST] >> (32 - (pair_bits - q))] = 1
         cells = np.zeros(1 << (count_bits - q), np.uint8)
         np.maximum.at(cells, (words >> _U(64 - count_bits)) & _U((1 << (count_bits - q)) - 1), np.minimum(255, np.ceil(6 * np.log2(n + 1))).astype(np.uint8))
         rows = [(bucket, 0, int(n.sum()), words.tobytes(), n.tobytes()), (bucket, 1, 0, np.packbits(bits).tobytes(), b""), (bucket, 2, 0, cells.tobytes(), b"")]
@@ -182,8 +181,8 @@ def _find(keys: np.ndarray, wanted: np.ndarray, *values: np.ndarray) -> list[np.
 
 
 def _states(context: np.ndarray, n: np.ndarray, share: np.ndarray, total_of: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Retained contexts, the mass they leave to the word distribution, and their gain per occurrence. n is at least 2
-    for each; share is the next word's share of all words."""
+    """Retained contexts, the mass they leave to the word distribution, and their gain per occurrence. n is at least
+    LEAST for each; share is the next word's share of all words."""
     if not len(context):
         return context, np.zeros(0, np.float32), np.zeros(0, np.float32)
     first = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
@@ -196,8 +195,8 @@ def _states(context: np.ndarray, n: np.ndarray, share: np.ndarray, total_of: tup
     less = np.maximum(total - 1, 1)
     left = (DISCOUNT * kept + rest) / less
     seen_again = np.log10(np.maximum((n - 1 - DISCOUNT) / each(less) / share + each(left), 1e-9))
-    dropped = np.log10(np.maximum((DISCOUNT * (kept - 1) + rest + 1) / less, 1e-9))
-    gain = np.add.reduceat(n * np.where(n > 2, seen_again, each(dropped)), first)
+    dropped = np.log10(np.maximum((DISCOUNT * (kept - 1) + rest + LEAST - 1) / less, 1e-9))
+    gain = np.add.reduceat(n * np.where(n > LEAST, seen_again, each(dropped)), first)
     gain = (gain + rest * np.log10(np.maximum((DISCOUNT * kept + rest - 1) / less, 1e-9))) / total
     ok = gain > 0
     return states[ok], ((DISCOUNT * kept + rest) / total)[ok].astype("<f4"), gain[ok].astype("<f4")
@@ -211,11 +210,11 @@ def _learn(q: int, sent, count_bits: int):
         bucket = (table if table.num_rows else words)["bucket"][0].as_py()
         vocabulary = (_joined(words, 0, "k", "<u8"), _joined(words, 0, "v", "<i8"))
         pairs, n = _summed(_joined(table, 3, "k", "<u8"), _joined(table, 3, "v", "<u4").astype(np.int64))
-        pairs, n = pairs[n > 1], n[n > 1]
+        pairs, n = pairs[n >= LEAST], n[n >= LEAST]
         rows = [(bucket, 4, 0, pairs.tobytes(), n.astype("<u4").tobytes())]
         for kind, totals in ((1, vocabulary), (2, (pairs, n))):
             context, after, m = _contexts(table, kind)
-            context, after, m = context[m > 1], after[m > 1], m[m > 1]
+            context, after, m = context[m >= LEAST], after[m >= LEAST], m[m >= LEAST]
             share = 2.0 ** (cells[after >> _U(64 - count_bits)] / 6) / all_words
             states, left, gain = _states(context, m, share, totals)
             rows.append((bucket, 3 if kind == 1 else 5, 0, states.tobytes(), left.tobytes() + gain.tobytes()))
@@ -304,7 +303,7 @@ def _score(q: int, sent, pair_bits: int, n_train: int, n_vocabulary: int):
         pair &= ~one | (before(gain2) > before(gain1))
         p = share.copy()
         at = one & ~pair
-        p[at] = before(left1)[at] * share[at] + np.maximum(n2[at] - DISCOUNT, 0) * (n2[at] > 1) / before(n_w)[at]
+        p[at] = before(left1)[at] * share[at] + np.maximum(n2[at] - DISCOUNT, 0) * (n2[at] >= LEAST) / before(n_w)[at]
         p[pair] = before(left2)[pair] * share[pair] + np.maximum(n3[pair] - DISCOUNT, 0) / before(n2)[pair]
         total = lambda x: np.add.reduceat(x, t.starts) if size else x
         return pa.table(
