@@ -17,10 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, mix, partitions
+from .common import _powers, components, cut, mix, partitions, small_batches
 
 _U = np.uint64
-_PLACE = mix(np.arange(101, 165, dtype=np.uint64)) | _U(1)
 
 
 def normal_lines(text: str | None) -> list[str]:
@@ -40,25 +39,36 @@ def _portions(lines: list[str], most: int = 1 << 17) -> Iterator[list[str]]:
         yield held
 
 
-def line_shingles(lines: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all shingles of non-empty lines, where each line's begin, and a 64-bit hash of each whole line. A line
-    of fewer than `width` characters is one shingle."""
+def _coded(lines: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Prefix sums of a polynomial hash over all lines, the inverse powers, and each line's place, room and size. A line
+    takes at least `width` places, filled up with zeros, so that every shingle lies within its line."""
     size = np.array([len(x) for x in lines], np.int64)
-    # a line takes at least `width` places, filled up with zeros, so that every shingle lies within its line
-    c = np.frombuffer("".join([x if len(x) >= width else x.ljust(width, "\0") for x in lines]).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    place = np.maximum(size, width)
-    ends = np.cumsum(place)
-    g = np.zeros(len(c), np.uint64)
-    for j in range(width):
-        g[: len(c) - j] += c[j:] * _PLACE[j]
-    g = mix(g)
-    n = place - width + 1
+    c = np.frombuffer("".join([x if len(x) >= width else x.ljust(width, "\0") for x in lines]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    room = np.maximum(size, width)
+    up, down = _powers(len(c))
+    total = np.zeros(len(c) + 1, np.uint64)
+    np.cumsum((c * _U(0x9E3779B97F4A7C15)) * up[: len(c)], out=total[1:])
+    return total, down, np.cumsum(room) - room, room, size
+
+
+def _ids(total: np.ndarray, down: np.ndarray, begin: np.ndarray, room: np.ndarray, size: np.ndarray) -> np.ndarray:
+    return mix((total[begin + room] - total[begin]) * down[begin] + size.astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+
+
+def line_ids(lines: list[str], width: int) -> np.ndarray:
+    """A 64-bit hash of each whole line."""
+    return _ids(*_coded(lines, width))
+
+
+def line_shingles(lines: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all shingles of non-empty lines, where each line's begin, and line_ids. A line of fewer than `width`
+    characters is one shingle."""
+    coded = _coded(lines, width)
+    total, down, begin, room, _ = coded
+    n = room - width + 1
     first = np.cumsum(n) - n
-    at = np.arange(int(n.sum())) + np.repeat(ends - place - first, n)
-    g = g[at]
-    # order matters for a whole line: each shingle is tied to its place
-    tied = mix(g + (np.arange(len(g)) - np.repeat(first, n)).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
-    return g, first, mix(np.add.reduceat(tied, first) + size.astype(np.uint64))
+    at = np.arange(int(n.sum())) + np.repeat(begin - first, n)
+    return mix((total[at + width] - total[at]) * down[at]), first, _ids(*coded)
 
 
 def signatures(g: np.ndarray, first: np.ndarray, count: int) -> np.ndarray:
@@ -147,7 +157,8 @@ def _verified(width: int, percent: int):
 
 def candidate_links(docs: DataFrame, width: int, bands: int, rows: int, text_col: str) -> DataFrame:
     buckets = 4 * partitions(docs.sparkSession)
-    packed = cut(docs.select(text_col).mapInArrow(_bands(width, bands, rows, buckets), "bucket int, a binary, b binary"))
+    with small_batches(docs.sparkSession, 2500):
+        packed = cut(docs.select(text_col).mapInArrow(_bands(width, bands, rows, buckets), "bucket int, a binary, b binary"))
     met = packed.where("bucket >= 0").groupBy("bucket").applyInArrow(_met, "a long, b long")
     return met.unionByName(packed.where("bucket < 0").select("a", "b").mapInArrow(_unpacked, "a long, b long")).distinct()
 
@@ -167,7 +178,7 @@ def line_components(docs: DataFrame, width: int = 8, percent: int = 75, bands: i
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for some in _portions(list({x for t in batch.column(0).to_pylist() for x in normal_lines(t) if x})):
-                _, _, line = line_shingles(some, width)
+                line = line_ids(some, width)
                 i = line >> _U(64 - filter_bits)
                 at = np.flatnonzero((sent.value[i >> _U(6)] >> (i & _U(63))) & _U(1))
                 yield pa.RecordBatch.from_arrays([pa.array(line[at].view(np.int64)), pa.array([some[k] for k in at.tolist()], pa.string())], ["line", "text"])
@@ -199,7 +210,7 @@ def dedup_lines(docs: DataFrame, width: int = 8, percent: int = 75, bands: int =
                         flat.append(x)
                         where.append((k, p))
             for some in _portions(flat):
-                line.append(line_shingles(some, width)[2])
+                line.append(line_ids(some, width))
             owner, place = ([w[i] for w in where] for i in (0, 1))
             yield pa.RecordBatch.from_arrays(
                 [ids.take(pa.array(owner, pa.int64())), pa.array(place, pa.int32()), pa.array(np.concatenate(line).view(np.int64) if line else np.zeros(0, np.int64))], ["doc_id", "place", "line"]
