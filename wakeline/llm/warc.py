@@ -20,7 +20,7 @@ from .common import cut, small_batches
 
 _PAGE = "urn:page:"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-RECORD = "record_id string, type string, url string, refers_to string, digest string, number int, total long, block binary"
+RECORD = "record_id string, type string, url string, refers_to string, digest string, number int, total long, block binary, payload binary, complete boolean"
 
 
 def decisions(pages: DataFrame, least: int = 1000, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
@@ -57,7 +57,7 @@ def unframed(body: bytes) -> bytes:
         at += 2
 
 
-def write(pages: DataFrame, least: int = 1000, segment: int = 32768, chunk: int = 4096, archive: int = 8 << 20, level: int = 3, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def write(pages: DataFrame, least: int = 1000, segment: int = 32768, chunk: int = 4096, archive: int = 2 << 20, level: int = 3, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(archive_id, content): gzipped archives of about `archive` bytes, one record per page.
 
     Payloads of `chunk` bytes or more are sent in chunks of that size, and blocks of more than `segment` bytes in
@@ -136,10 +136,11 @@ def _split(content: bytes) -> Iterator[bytes]:
 
 
 def records(archives: DataFrame) -> DataFrame:
-    """One row per record of archives (content): RECORD, without warcinfo and other kinds. Ids are bare of brackets."""
+    """One row per record of archives (content): RECORD, without warcinfo and other kinds. Ids are bare of brackets.
+    Records in one piece come decoded, segments as blocks."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.string()] * 5 + [pa.int32(), pa.int64(), pa.binary()]
+        kinds = [pa.string()] * 5 + [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.bool_()]
         names = [x.split()[0] for x in RECORD.split(", ")]
         for batch in batches:
             for content in batch.column(0):
@@ -149,7 +150,11 @@ def records(archives: DataFrame) -> DataFrame:
                         continue
                     own = h.get("warc-segment-origin-id") or h["warc-record-id"]
                     refers = h.get("warc-refers-to")
-                    out.append((own.strip("<>"), h["warc-type"], h.get("warc-target-uri"), refers and refers.strip("<>"), h.get("warc-payload-digest"), _int(h, "warc-segment-number"), _int(h, "warc-segment-total-length"), block))
+                    number, payload = _int(h, "warc-segment-number"), None
+                    if number is None and h["warc-type"] != "revisit":
+                        payload = _payload(block)
+                    done = number is None and (payload is not None or h["warc-type"] == "revisit")
+                    out.append((own.strip("<>"), h["warc-type"], h.get("warc-target-uri"), refers and refers.strip("<>"), h.get("warc-payload-digest"), number, _int(h, "warc-segment-total-length"), None if number is None else block, payload, done))
                     if len(out) >= 256:
                         yield _batch(out, kinds, names)
                         out = []
@@ -167,9 +172,28 @@ def _batch(rows: list[tuple], kinds: list, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
 
 
-def _payload(block: bytes) -> bytes:
+def _payload(block: bytes) -> bytes | None:
+    """What an HTTP response carries; null where its chunk framing is broken."""
     head, _, body = block.partition(b"\r\n\r\n")
-    return unframed(body) if b"transfer-encoding: chunked" in head.lower() else body
+    if b"transfer-encoding: chunked" not in head.lower():
+        return body
+    try:
+        return unframed(body)
+    except ValueError:
+        return None
+
+
+def _reassembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs over (record_id, type, url, refers_to, digest, numbers, total, blocks)."""
+    kinds, names = [pa.string()] * 5 + [pa.binary(), pa.bool_()], ["record_id", "type", "url", "refers_to", "digest", "payload", "complete"]
+    for batch in batches:
+        rows = []
+        for row in range(batch.num_rows):
+            *head, numbers, total, blocks = (c[row].as_py() for c in batch.columns)
+            block = b"".join(blocks)
+            payload = _payload(block) if numbers == list(range(1, len(numbers) + 1)) and total == len(block) else None
+            rows.append((*head, payload, payload is not None))
+        yield _batch(rows, kinds, names)
 
 
 def payloads(read: DataFrame) -> DataFrame:
@@ -178,34 +202,14 @@ def payloads(read: DataFrame) -> DataFrame:
     Segments are put together: complete is false, and the payload null, where a number is missing, the total length
     differs or the chunk framing is broken. A revisit's payload is null and complete.
     """
-    out = "record_id string, type string, url string, refers_to string, digest string, payload binary, complete boolean"
-
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds, names = [pa.string()] * 5 + [pa.binary(), pa.bool_()], [x.split()[0] for x in out.split(", ")]
-        for batch in batches:
-            rows = []
-            for row in range(batch.num_rows):
-                rid, kind, url, refers, digest, numbers, total, blocks = (c[row].as_py() for c in batch.columns)
-                if kind == "revisit":
-                    rows.append((rid, kind, url, refers, digest, None, True))
-                    continue
-                block = b"".join(blocks)
-                payload = None
-                if numbers == list(range(1, len(numbers) + 1)) and total in (None, len(block)) and (len(numbers) == 1) == (total is None):
-                    try:
-                        payload = _payload(block)
-                    except (ValueError, IndexError):
-                        payload = None
-                rows.append((rid, kind, url, refers, digest, payload, payload is not None))
-            yield _batch(rows, kinds, names)
-
-    whole = read.where("number IS NULL").selectExpr("record_id", "type", "url", "refers_to", "digest", "array(1) AS numbers", "total", "array(block) AS blocks")
+    columns = ["record_id", "type", "url", "refers_to", "digest", "payload", "complete"]
     parts = read.where("number IS NOT NULL").groupBy("record_id").agg(
         F.max(F.when(F.col("type") != "continuation", F.col("type"))).alias("type"), F.max("url").alias("url"), F.max("refers_to").alias("refers_to"), F.max("digest").alias("digest"),
         F.max("total").alias("total"), F.sort_array(F.collect_set(F.struct("number", "block"))).alias("s"),
-    )
+    )
     parts = parts.selectExpr("record_id", "coalesce(type, 'response') AS type", "url", "refers_to", "digest", "s.number AS numbers", "total", "s.block AS blocks")
-    return whole.unionByName(parts).mapInArrow(decode, out)
+    out = "record_id string, type string, url string, refers_to string, digest string, payload binary, complete boolean"
+    return read.where("number IS NULL").select(*columns).unionByName(parts.mapInArrow(_reassembled, out))
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
