@@ -5,6 +5,596 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from ..functions import geodesic, layout, tiles
+from ..functions import geometry as geo
+from ..functions.wkb import line_wkb, wkb_parts
+from ..operators import clean, events, gates, outliers, raster, spatial, trajectory
+from ..operators import layout as ordering
+from ..schema import micros
+from ..sources import csv as csv_source
+from ..sources import ndjson
+from ..streaming import trips as streaming
+from . import pings
+from .pings import TIES
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[name] = f
+        if sql:
+            ORACLES[name] = sql
+        return f
+
+    return add
+
+
+def r(c: str, digits: int = 6):
+    return F.round(c, digits).alias(c)
+
+
+def rs(c: str, digits: int = 6) -> str:
+    return f"round({c}, {digits}) AS {c}"
+
+
+# --- cleaning ------------------------------------------------------------------------------------------------------
+
+
+@query("coordinate_sentinels", f"WITH {pings.P} SELECT event_id, CASE WHEN event_id % 11 = 0 THEN NULL ELSE longitude END AS longitude, CASE WHEN event_id % 13 = 0 THEN NULL ELSE latitude END AS latitude FROM p")
+def _(spark, d):
+    marked = pings.read(spark, d).withColumns({"longitude": F.expr("CASE WHEN event_id % 11 = 0 THEN 181e0 ELSE longitude END"), "latitude": F.expr("CASE WHEN event_id % 13 = 0 THEN 91e0 ELSE latitude END")})
+    return clean.null_sentinels(marked).select("event_id", "longitude", "latitude")
+
+
+@query("drop_null_coordinates", f"WITH {pings.P} SELECT count(*) AS n FROM p WHERE event_id % 11 <> 0 AND event_id % 13 <> 0")
+def _(spark, d):
+    marked = pings.read(spark, d).withColumns({"longitude": F.expr("CASE WHEN event_id % 11 = 0 THEN 181e0 ELSE longitude END"), "latitude": F.expr("CASE WHEN event_id % 13 = 0 THEN 91e0 ELSE latitude END")})
+    return clean.drop_null_coordinates(clean.null_sentinels(marked)).agg(F.count("*").alias("n"))
+
+
+@query("exclude_moored", f"WITH {pings.P} SELECT event_id, status FROM p WHERE status IS DISTINCT FROM '5'")
+def _(spark, d):
+    return clean.exclude_moored(pings.read(spark, d)).select("event_id", "status")
+
+
+@query("sog_clean", f"WITH {pings.P} SELECT event_id, {pings.sog()} AS knots, {pings.sog(raw=True)} AS from_tenths FROM p")
+def _(spark, d):
+    p = pings.read(spark, d).select("event_id", F.col("sog").alias("knots"), F.col("sog").alias("from_tenths"))
+    return clean.clean_speeds(clean.clean_speeds(p, "knots"), "from_tenths", raw_units=True)
+
+
+_CODES = "CASE event_id % 9 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN ' HSC ' WHEN 3 THEN '80.7' WHEN 4 THEN 'junk' WHEN 5 THEN '0' ELSE shiptypeAIS END"
+
+
+@query(
+    "vessel_group",
+    f"""WITH {pings.P}, q AS (SELECT event_id, shiptypeAIS, {_CODES} AS code FROM p)
+    SELECT event_id, {pings.group_sql("shiptypeAIS")} AS plain, CASE WHEN code IS NULL OR trim(code) = '' OR trunc(TRY_CAST(code AS DOUBLE)) = 0 THEN 'Other'
+      ELSE {pings.group_sql("code", "CASE WHEN trunc(TRY_CAST(code AS DOUBLE)) = 80 THEN 'Liquid' WHEN trunc(TRY_CAST(code AS DOUBLE)) BETWEEN 70 AND 72 THEN 'Bulk' WHEN lower(trim(code)) = 'hsc' THEN 'Fast' END")} END AS mapped FROM q""",
+)
+def _(spark, d):
+    p = pings.read(spark, d).withColumn("code", F.expr(_CODES))
+    p = clean.classify(p, "shiptypeAIS", out="plain")
+    return clean.classify(p, "code", {80: "Liquid", 70: "Bulk", 71: "Bulk", 72: "Bulk", "hsc": "Fast"}, "mapped").select("event_id", "plain", "mapped")
+
+
+@query("date_partitions", f"WITH {pings.P} SELECT strftime(base_date_time, '%Y') AS year, strftime(base_date_time, '%m') AS month, strftime(base_date_time, '%d') AS day, count(*) AS n FROM p GROUP BY ALL")
+def _(spark, d):
+    return clean.date_parts(pings.read(spark, d)).groupBy("year", "month", "day").agg(F.count("*").alias("n"))
+
+
+@query("mercator_project", f"WITH {pings.P} SELECT event_id, round({pings.MX.format('longitude')}, 3) AS x, round({pings.MY.format('latitude')}, 3) AS y FROM p")
+def _(spark, d):
+    return clean.reproject(pings.read(spark, d)).select("event_id", r("x", 3), r("y", 3))
+
+
+_FLAT = """concat('{"mmsi":', user_id, ',"timestamp":"2024-01-01T00:00:00Z","longitude":{"value":', event_id % 180, '.5},"latitude":{"value":null,"code":"7"},"sog":{"code":"', event_id % 90, '.25"},"heading":{"value":"bad"},"status":{"value":', event_id % 9, '},"shiptypeAIS":', 30 + event_id % 60, '}')"""
+_DEEP = """concat('{"track_id":"t', user_id, '","timestamp":"2024-01-01T00:00:00Z","data":{"longitude":', event_id % 180, ',"cog":{"value":', event_id % 360, '},"casco":{"to_bow":', event_id % 50, ',"to_stern":10,"to_port":3.5,"to_starboard":4,"draught":{"value":5}},"identification":{"name":" SHIP ', event_id, ' ","shiptypeAIS":"70"}}}')"""
+
+
+@query(
+    "ndjson_flatten",
+    """SELECT event_id, CASE WHEN event_id % 2 = 0 THEN CAST(user_id AS VARCHAR) ELSE 't' || user_id END AS mmsi, CASE WHEN event_id % 2 = 0 THEN event_id % 180 + 0.5e0 ELSE CAST(event_id % 180 AS DOUBLE) END AS longitude,
+      NULL::DOUBLE AS latitude, CASE WHEN event_id % 2 = 0 THEN event_id % 90 + 0.25e0 END AS sog, CASE WHEN event_id % 2 = 1 THEN CAST(event_id % 360 AS DOUBLE) END AS cog, NULL::DOUBLE AS heading,
+      CASE WHEN event_id % 2 = 1 THEN event_id % 50 + 10e0 END AS length, CASE WHEN event_id % 2 = 1 THEN 7.5e0 END AS beam, CASE WHEN event_id % 2 = 1 THEN 5e0 END AS draught,
+      CASE WHEN event_id % 2 = 0 THEN CAST(event_id % 9 AS VARCHAR) END AS status, CASE WHEN event_id % 2 = 0 THEN CAST(30 + event_id % 60 AS VARCHAR) ELSE '70' END AS shiptypeAIS, CASE WHEN event_id % 2 = 1 THEN 'SHIP ' || event_id END AS name
+    FROM events""",
+)
+def _(spark, d):
+    e = spark.read.parquet(f"{d}/events.parquet")
+    lines = e.select("event_id", F.when(F.col("event_id") % 2 == 0, F.expr(_FLAT)).otherwise(F.expr(_DEEP)).alias("value"))
+    flat = ndjson.flatten(lines, keep=["event_id"])
+    return flat.select("event_id", "mmsi", "longitude", "latitude", "sog", "cog", "heading", "length", "beam", "draught", "status", "shiptypeAIS", "name")
+
+
+@query(
+    "csv_parse",
+    """SELECT event_id, user_id AS mmsi, CASE WHEN event_id % 10 = 0 THEN NULL ELSE epoch_us(date_trunc('second', ts)) END AS t, CASE WHEN event_id % 7 = 0 THEN NULL ELSE event_id % 90 + 0.5e0 END AS latitude,
+      round(value, 2) AS sog, CASE WHEN event_id % 4 = 0 THEN NULL ELSE 'Cargo' END AS shiptypeAIS FROM events""",
+)
+def _(spark, d):
+    e = spark.read.parquet(f"{d}/events.parquet")
+    stamp = F.when(F.col("event_id") % 10 == 0, "junk").otherwise(F.date_format("ts", "dd/MM/yyyy HH:mm:ss"))
+    latitude = F.expr("CASE WHEN event_id % 7 = 0 THEN '91' ELSE concat(event_id % 90, '.5') END")
+    ship = F.expr("CASE WHEN event_id % 4 = 0 THEN '' ELSE 'Cargo' END")
+    line = F.concat_ws(",", stamp, "user_id", latitude, F.lit("5.25"), F.lit("Moored"), F.round("value", 2).cast("string"), F.lit("1.0"), F.lit("2"), ship, F.lit("10"), F.lit("100"), F.lit(""))
+    names = ["# Timestamp", "MMSI", "Latitude", "Longitude", "Navigational status", "SOG", "COG", "Heading", "Ship type", "Width", "Length", "Draught"]
+    parsed = csv_source.parse(e.select("event_id", line.alias("value")), names, keep=["event_id"])
+    return parsed.select("event_id", "mmsi", micros("base_date_time").alias("t"), "latitude", "sog", "shiptypeAIS")
+
+
+@query("wkb_round_trip", f"WITH {pings.P} SELECT event_id, longitude AS x, latitude AS y, longitude + 1 AS x2, 2::BIGINT AS n FROM p")
+def _(spark, d):
+    p = pings.read(spark, d).select("event_id", line_wkb(F.array(F.struct(F.col("longitude").alias("x"), F.col("latitude").alias("y")), F.struct((F.col("longitude") + 1).alias("x"), F.col("latitude").alias("y")))).alias("shape"))
+    g = p.select("event_id", wkb_parts("shape")[0].alias("g"))
+    return g.select("event_id", F.col("g")[0]["x"].alias("x"), F.col("g")[0]["y"].alias("y"), F.col("g")[1]["x"].alias("x2"), F.size("g").cast("long").alias("n"))
+
+
+# --- trips ---------------------------------------------------------------------------------------------------------
+
+
+@query("gap_trips", f"WITH {pings.T} SELECT event_id, trip_id, {rs('time_diff_s')} FROM t")
+def _(spark, d):
+    return pings.trips(spark, d).select("event_id", "trip_id", r("time_diff_s"))
+
+
+@query(
+    "trip_summary",
+    f"""WITH {pings.T} SELECT trip_id, mmsi, count(*) AS pings, min(epoch_us(base_date_time)) AS begin_us, max(epoch_us(base_date_time)) AS end_us,
+      round((max(epoch_us(base_date_time)) - min(epoch_us(base_date_time))) / 1e6, 6) AS duration_s, round(avg(sog), 6) AS mean_sog, max(time_diff_s) FILTER (WHERE time_diff_s <= {pings.GAP_HOURS * 3600}) AS longest_pause_s FROM t GROUP BY trip_id, mmsi""",
+)
+def trip_summary(spark, d):
+    t = pings.trips(spark, d)
+    first, last = F.min(micros("base_date_time")), F.max(micros("base_date_time"))
+    return t.groupBy("trip_id", "mmsi").agg(
+        F.count("*").alias("pings"), first.alias("begin_us"), last.alias("end_us"), F.round((last - first) / 1e6, 6).alias("duration_s"), F.round(F.avg("sog"), 6).alias("mean_sog"),
+        F.max(F.when(F.col("time_diff_s") <= pings.GAP_HOURS * 3600, F.col("time_diff_s"))).alias("longest_pause_s"),
+    )
+
+
+_MEASURES = ("speed_mps", "acceleration_mps2", "turn_rate_from_cog", "turn_rate_from_heading")
+
+
+@query("kinematics", f"WITH {pings.K} SELECT event_id, trip_id, {', '.join(rs(m) for m in _MEASURES)} FROM k")
+def _(spark, d):
+    return pings.moving(spark, d).select("event_id", "trip_id", *(r(m) for m in _MEASURES))
+
+
+@query("epoch_normalize", f"WITH {pings.T} SELECT event_id, epoch_us(base_date_time) - min(epoch_us(base_date_time)) OVER (PARTITION BY trip_id) AS t FROM t")
+def _(spark, d):
+    return clean.normalize_epoch(pings.trips(spark, d)).select("event_id", micros("base_date_time").alias("t"))
+
+
+@query(
+    "trip_lines",
+    f"""WITH {pings.T}, o AS (SELECT *, row_number() OVER w AS n, longitude IS NOT DISTINCT FROM lag(longitude) OVER w AND latitude IS NOT DISTINCT FROM lag(latitude) OVER w AS again FROM t WINDOW w AS (PARTITION BY trip_id ORDER BY base_date_time, event_id)),
+    a AS (SELECT trip_id, arg_min(mmsi, n) AS "MMSI", arg_min(shiptypeAIS, n) AS vessel_type, arg_min(length, n) FILTER (WHERE length IS NOT NULL) AS vessel_length, arg_min(beam, n) FILTER (WHERE beam IS NOT NULL) AS width,
+      arg_min(draught, n) FILTER (WHERE draught IS NOT NULL) AS draft, round_even((max(epoch_us(base_date_time)) - min(epoch_us(base_date_time))) / 6e7, 0)::INT AS minutes, count(*) AS n, count(*) FILTER (WHERE NOT again) AS vertices,
+      round(arg_min(longitude, n), 6) AS first_x, round(arg_max(latitude, n), 6) AS last_y FROM o GROUP BY trip_id)
+    SELECT * EXCLUDE n, {pings.group_sql("vessel_type")} AS vessel_group FROM a WHERE n >= 2 AND vertices >= 2""",
+)
+def _(spark, d):
+    t = trajectory.trip_lines(pings.trips(spark, d), ties=TIES)
+    return t.select(
+        "trip_id", "MMSI", F.col("VesselType").alias("vessel_type"), F.col("Length").alias("vessel_length"), F.col("Width").alias("width"), F.col("Draft").alias("draft"), F.col("DurationMinutes").alias("minutes"),
+        F.size("line").cast("long").alias("vertices"), F.round(F.col("line")[0]["x"], 6).alias("first_x"), F.round(F.element_at("line", -1)["y"], 6).alias("last_y"), F.col("VesselGroup").alias("vessel_group"),
+    )
+
+
+_SEGMENT = "x1 y1 x2 y2".split()
+
+
+@query(
+    "segments",
+    f"""WITH {pings.S} SELECT MMSI AS mmsi, trip_id, VesselType AS vessel_type, VesselGroup AS vessel_group, Length AS vessel_length, Width AS width, Draft AS draft, t1, t2, {rs("speed_mps")}, {rs("acceleration_mps2")}, sog, {rs("segment_duration_s")},
+      {", ".join(rs(c, 3) for c in _SEGMENT)} FROM s""",
+)
+def _(spark, d):
+    s = pings.segments(spark, d)
+    return s.select(
+        F.col("MMSI").alias("mmsi"), "trip_id", F.col("VesselType").alias("vessel_type"), F.col("VesselGroup").alias("vessel_group"), F.col("Length").alias("vessel_length"), F.col("Width").alias("width"), F.col("Draft").alias("draft"),
+        micros("segment_start_time").alias("t1"), micros("segment_end_time").alias("t2"), r("speed_mps"), r("acceleration_mps2"), "sog", r("segment_duration_s"), *(r(c, 3) for c in _SEGMENT),
+    )
+
+
+def _outlier_sql(v_max: str, passes: int = 10) -> str:
+    out = pings.P + ", o0 AS (SELECT *, floor(epoch_us(base_date_time) / 1e6) AS sec FROM p)"
+    for i in range(passes):
+        far = pings.haversine("lag(longitude) OVER v", "lag(latitude) OVER v", "longitude", "latitude")
+        out += f""", j{i} AS (SELECT *, {far} AS far, sec - lag(sec) OVER v AS dt FROM o{i} WINDOW v AS (PARTITION BY mmsi ORDER BY base_date_time, longitude, latitude, event_id)),
+        o{i + 1} AS (SELECT * EXCLUDE (far, dt) FROM j{i} WHERE NOT coalesce(far > 300 AND (dt <= 0 OR far > {v_max} * dt), false))"""
+    return f"WITH {out} SELECT event_id FROM o{passes}"
+
+
+@query("outliers_default", _outlier_sql("50e0"))
+def _(spark, d):
+    return outliers.filter_outliers(pings.read(spark, d), distance="haversine", ties=TIES).select("event_id")
+
+
+@query("outliers_many_passes", _outlier_sql("0.5e0"))
+def _(spark, d):
+    return outliers.filter_outliers(pings.read(spark, d), v_max=0.5, distance="haversine", ties=TIES).select("event_id")
+
+
+@query("outliers_geodesic")
+def _(spark, d):
+    return outliers.filter_outliers(pings.read(spark, d), v_max=0.5, ties=TIES).select("event_id")
+
+
+@query(
+    "outliers_anchor",
+    f"""WITH RECURSIVE {pings.P}, q AS (SELECT *, floor(epoch_us(base_date_time) / 1e6) AS sec, row_number() OVER (PARTITION BY mmsi ORDER BY base_date_time, longitude, latitude, event_id) AS n FROM p),
+    walk AS (SELECT mmsi, n, event_id, sec, longitude AS x, latitude AS y, true AS kept FROM q WHERE n = 1
+      UNION ALL SELECT q.mmsi, q.n, q.event_id, CASE WHEN bad THEN a.sec ELSE q.sec END, CASE WHEN bad THEN a.x ELSE q.longitude END, CASE WHEN bad THEN a.y ELSE q.latitude END, NOT bad
+      FROM walk a JOIN q ON q.mmsi = a.mmsi AND q.n = a.n + 1, LATERAL (SELECT {pings.haversine("a.x", "a.y", "q.longitude", "q.latitude")} AS far) f,
+      LATERAL (SELECT far > 300 AND (q.sec - a.sec <= 0 OR far > 0.5e0 * (q.sec - a.sec)) AS bad) b)
+    SELECT event_id FROM walk WHERE kept""",
+)
+def _(spark, d):
+    return outliers.filter_outliers(pings.read(spark, d), v_max=0.5, mode="anchor", distance="haversine", ties=TIES).select("event_id")
+
+
+@query("stop_areas")
+def _(spark, d):
+    return trajectory.stop_areas(pings.read(spark, d), 48 * 60, ties=TIES).select("event_id", r("rolling_area_m2", 3))
+
+
+@query("trajectorize")
+def _(spark, d):
+    t = trajectory.trajectorize(pings.read(spark, d), pings.GAP_HOURS, 48 * 60, 2000.0, ties=TIES)
+    return t.select("event_id", "trip_id", r("time_diff_s"), r("rolling_area_m2", 3), *(r(m) for m in _MEASURES))
+
+
+@query("geodesic_distance")
+def _(spark, d):
+    p = pings.read(spark, d)
+    return p.select("event_id", F.round(geodesic.geodesic(F.col("longitude"), F.col("latitude"), F.lit(4.05), F.lit(52.05)), 3).alias("metres"))
+
+
+@query(
+    "gap_sessions",
+    f"""WITH {pings.T} SELECT mmsi, min(epoch_us(base_date_time)) AS begin_us, max(epoch_us(base_date_time)) AS last_us, count(*) AS pings FROM t GROUP BY mmsi, trip_id""",
+)
+def _(spark, d):
+    return streaming.gap_sessions(pings.read(spark, d), pings.GAP_HOURS).select("mmsi", micros("begin").alias("begin_us"), micros("last").alias("last_us"), "pings")
+
+
+# --- events and gates ----------------------------------------------------------------------------------------------
+
+
+@query(
+    "line_crossings",
+    f"""WITH {pings.S}, {pings.G}, {pings.crossing_sql("s", "MMSI, trip_id, VesselGroup, sog, speed_mps, t1, t2")}
+    SELECT MMSI AS mmsi, trip_id, VesselGroup AS vessel_group, sog, {rs("speed_mps")}, PassageId AS passage, direction, round((t1 + round(share * (t2 - t1))) / 1e6, 3) AS t, round(degrees(px / 6378137e0), 6) AS lon FROM c""",
+)
+def _(spark, d):
+    c = events.line_crossings(pings.segments(spark, d), pings.gates(spark))
+    return c.select(
+        F.col("MMSI").alias("mmsi"), "trip_id", F.col("VesselGroup").alias("vessel_group"), "sog", r("speed_mps"), F.col("PassageId").alias("passage"), "direction",
+        F.round(micros("event_time") / 1e6, 3).alias("t"), F.round(F.col("points")[0]["x"], 6).alias("lon"),
+    )
+
+
+_PAIRS = f"""{pings.P}, w0 AS (SELECT mmsi, epoch_us(base_date_time) AS t1, lead(epoch_us(base_date_time)) OVER v AS t2, sog AS v0, lead(sog) OVER v AS v1, {pings.MX.format("longitude")} AS x1, {pings.MY.format("latitude")} AS y1,
+    lead({pings.MX.format("longitude")}) OVER v AS x2, lead({pings.MY.format("latitude")}) OVER v AS y2 FROM p WINDOW v AS (PARTITION BY mmsi ORDER BY base_date_time, event_id)), w AS (SELECT * FROM w0 WHERE t2 - t1 <= 86400000000)"""
+_SPEED = "coalesce(CASE WHEN v0 < 102.2e0 THEN v0 END, CASE WHEN v1 < 102.2e0 THEN v1 END) + share * (coalesce(CASE WHEN v1 < 102.2e0 THEN v1 END, CASE WHEN v0 < 102.2e0 THEN v0 END) - coalesce(CASE WHEN v0 < 102.2e0 THEN v0 END, CASE WHEN v1 < 102.2e0 THEN v1 END))"
+_BIN = " + ".join(f"CASE WHEN least(greatest(loc_fraction, 0e0), 1 - 1e-9) >= {e!r}::DOUBLE THEN 1 ELSE 0 END" for e in gates._edges(20)[1:-1])
+_CROSS = f"""{_PAIRS}, {pings.G}, {pings.crossing_sql("w", "mmsi, t1, t2, v0, v1")}, x AS (SELECT *, {_SPEED} AS speed, {_BIN} AS bin FROM c)"""
+
+
+def _crossed(spark, d):
+    return gates.gate_crossings(pings.read(spark, d), pings.gates(spark), max_gap_s=86400, track="mmsi", ties=TIES)
+
+
+@query("ping_pairs", f"WITH {_PAIRS} SELECT mmsi, t1, t2, v0, v1 FROM w")
+def _(spark, d):
+    p = gates.ping_pairs(pings.read(spark, d), 86400, "mmsi", ties=TIES)
+    return p.select(F.col("track").alias("mmsi"), F.col("t").alias("t1"), "t2", F.col("s0").alias("v0"), F.col("s1").alias("v1"))
+
+
+@query("crossing_speed", f"WITH {_CROSS} SELECT PassageId AS passage, {rs('speed')}, {rs('loc_fraction')}, direction FROM x")
+def _(spark, d):
+    return _crossed(spark, d).select(F.col("PassageId").alias("passage"), r("speed"), r("loc_fraction"), "direction")
+
+
+def _overall_sql() -> str:
+    parts = [f"(count(speed) FILTER (WHERE direction = '{k}'))::INT AS frequency_{k}, round(coalesce(median(speed) FILTER (WHERE direction = '{k}'), 0), 6) AS median_speed_{k}" for k in gates.DIRECTIONS]
+    return ", ".join(parts)
+
+
+@query("gate_overall", f"WITH {_CROSS} SELECT PassageId AS passage, {_overall_sql()} FROM x GROUP BY PassageId")
+def _(spark, d):
+    o = gates.overall(_crossed(spark, d))
+    return o.select(F.col("PassageId").alias("passage"), *(F.round(c, 6).alias(c) if c.startswith("median") else c for c in o.columns[1:]))
+
+
+@query("gate_bins_long", f"WITH {_CROSS} SELECT PassageId AS passage, direction, bin::INT AS bin, count(speed)::INT AS frequency, round(median(speed), 6) AS median_speed FROM x GROUP BY ALL")
+def _(spark, d):
+    b = gates.bin_stats(_crossed(spark, d))
+    return b.select(F.col("PassageId").alias("passage"), "direction", F.col("bin").cast("int").alias("bin"), "frequency", r("median_speed"))
+
+
+def _wide_sql() -> str:
+    out = []
+    for k in gates.DIRECTIONS:
+        for i in range(gates.BINS):
+            here = f"FILTER (WHERE direction = '{k}' AND bin = {i})"
+            out.append(f"(count(speed) {here})::INT AS loc_bin_{i}_{k}, round(coalesce(median(speed) {here}, 0), 6) AS median_speed_loc_{i}_{k}")
+    return ", ".join(out)
+
+
+@query("gate_statistics", f"WITH {_CROSS} SELECT PassageId AS passage, {_overall_sql()}, {_wide_sql()} FROM x GROUP BY PassageId")
+def _(spark, d):
+    g = gates.gate_statistics(pings.read(spark, d), pings.gates(spark), max_gap_s=86400, track="mmsi", ties=TIES)
+    return g.select(F.col("PassageId").alias("passage"), *(F.round(c, 6).alias(c) if c.startswith("median") else c for c in g.columns[1:]))
+
+
+@query("gate_bin_pivot", f"WITH {_CROSS} SELECT PassageId AS passage, {_wide_sql()} FROM x GROUP BY PassageId")
+def _(spark, d):
+    g = gates.bin_pivot(_crossed(spark, d))
+    return g.select(F.col("PassageId").alias("passage"), *(F.round(c, 6).alias(c) if c.startswith("median") else c for c in g.columns[1:]))
+
+
+@query(
+    "gate_bins_unpivot",
+    f"""WITH {_CROSS}, n AS (SELECT PassageId, sqrt(pow(bx - ax, 2) + pow("by" - ay, 2)) AS len FROM g)
+    SELECT x.PassageId AS passage, bin::INT AS bin, direction, count(speed)::INT AS frequency, round(median(speed), 6) AS median_speed, round(any_value(len), 3) AS gate_length, round(any_value(len) / 20, 3) AS width FROM x JOIN n ON n.PassageId = x.PassageId
+    GROUP BY x.PassageId, bin, direction HAVING count(speed) > 0""",
+)
+def _(spark, d):
+    layer = pings.gates(spark)
+    u = gates.unpivot_bins(gates.bin_pivot(_crossed(spark, d)), layer)
+    return u.select(
+        F.col("PassageId").alias("passage"), F.col("BinIndex").alias("bin"), F.col("Direction").alias("direction"), F.col("Frequency").alias("frequency"), F.round("MedianSpeed", 6).alias("median_speed"),
+        F.round("ProfileLength", 3).alias("gate_length"), F.round("BinWidth", 3).alias("width"),
+    )
+
+
+@query("active_gates", f"WITH {_CROSS} SELECT DISTINCT PassageId AS passage FROM x")
+def _(spark, d):
+    return pings.gates(spark).join(_crossed(spark, d), "PassageId", "left_semi").select(F.col("PassageId").alias("passage"))
+
+
+_BOXES = "b AS (SELECT id AS name, " + ", ".join(f"{m.format(c)} AS {n}" for m, c, n in ((pings.MX, "w", "bw"), (pings.MY, "s", "bs"), (pings.MX, "e", "be"), (pings.MY, "n", "bn"))) + " FROM (VALUES " + ", ".join(f"('{k}', {', '.join(f'{v}e0' for v in box)})" for k, box in pings.BOXES.items()) + ") AS q(id, w, s, e, n))"
+# the sides of each box as edges, their meetings with the segments that have one end inside, and the mean of these
+_SIDES = " UNION ALL ".join(f"SELECT name, {a} AS ax, {b} AS ay, {c} AS bx, {e} AS by_ FROM b" for a, b, c, e in (("bw", "bs", "be", "bs"), ("be", "bs", "be", "bn"), ("be", "bn", "bw", "bn"), ("bw", "bn", "bw", "bs")))
+_CROSSED = lambda a, b, c, e, p, q: f"(({c} - {a}) * ({q} - {b}) - ({e} - {b}) * ({p} - {a}))"
+_TRANSITIONS = f"""{pings.S}, {_BOXES}, sides AS ({_SIDES}),
+    i AS (SELECT * FROM (SELECT *, x1 BETWEEN bw AND be AND y1 BETWEEN bs AND bn AS in1, x2 BETWEEN bw AND be AND y2 BETWEEN bs AND bn AS in2 FROM s, b) WHERE in1 <> in2),
+    u0 AS (SELECT i.*, {_CROSSED("ax", "ay", "bx", "by_", "x1", "y1")} AS d1, {_CROSSED("ax", "ay", "bx", "by_", "x2", "y2")} AS d2, {_CROSSED("x1", "y1", "x2", "y2", "ax", "ay")} AS d3, {_CROSSED("x1", "y1", "x2", "y2", "bx", "by_")} AS d4,
+      greatest(0e0, least(1e0, ((ax - x1) * (x2 - x1) + (ay - y1) * (y2 - y1)) / nullif(pow(x2 - x1, 2) + pow(y2 - y1, 2), 0))) AS fa, greatest(0e0, least(1e0, ((bx - x1) * (x2 - x1) + (by_ - y1) * (y2 - y1)) / nullif(pow(x2 - x1, 2) + pow(y2 - y1, 2), 0))) AS fb
+      FROM i JOIN sides ON sides.name = i.name AND greatest(x1, x2) >= least(ax, bx) AND greatest(ax, bx) >= least(x1, x2) AND greatest(y1, y2) >= least(ay, by_) AND greatest(ay, by_) >= least(y1, y2)),
+    u1 AS (SELECT *, CASE WHEN d1 = d2 THEN (fa + fb) / 2 ELSE d1 / (d1 - d2) END AS f FROM u0 WHERE sign(d1) * sign(d2) <= 0 AND sign(d3) * sign(d4) <= 0),
+    u AS (SELECT "MMSI", trip_id, name, t1, t2, in2 AS is_entry, avg(f) AS share, avg(x1 + f * (x2 - x1)) AS px FROM u1 GROUP BY ALL)"""
+
+
+@query("polygon_transitions", f"WITH {_TRANSITIONS} SELECT trip_id, name, is_entry, round((t1 + round(share * (t2 - t1))) / 1e6, 2) AS t, round(degrees(px / 6378137e0), 6) AS lon FROM u")
+def _(spark, d):
+    t = events.transitions(pings.segments(spark, d), pings.polygons(spark))
+    return t.select("trip_id", "name", "is_entry", F.round(micros("event_time") / 1e6, 2).alias("t"), F.round("point.x", 6).alias("lon"))
+
+
+_VISITS = f"""{_TRANSITIONS}, v0 AS (SELECT MMSI, trip_id, name, is_entry, t1 + round(share * (t2 - t1)) AS t, lead(is_entry) OVER w AS then_entry, lead(t1 + round(share * (t2 - t1))) OVER w AS then_t FROM u WINDOW w AS (PARTITION BY name, trip_id ORDER BY t1, t1 + round(share * (t2 - t1)))),
+    v AS (SELECT MMSI, trip_id, name, t AS entry, CASE WHEN NOT then_entry THEN then_t END AS leave FROM v0 WHERE is_entry)"""
+
+
+@query("polygon_visits", f"WITH {_VISITS} SELECT trip_id, name, round(entry / 1e6, 2) AS entry, round(leave / 1e6, 2) AS leave, CASE WHEN leave IS NULL THEN 1 ELSE 2 END AS points FROM v")
+def _(spark, d):
+    v = events.polygon_visits(pings.segments(spark, d), pings.polygons(spark))
+    return v.select("trip_id", "name", F.round(micros("entry_time") / 1e6, 2).alias("entry"), F.round(micros("exit_time") / 1e6, 2).alias("leave"), F.size("points").alias("points"))
+
+
+@query(
+    "visit_merge",
+    f"""WITH {_VISITS}, m0 AS (SELECT *, CASE WHEN coalesce(entry - lag(leave) OVER w <= 720 * 6e7, false) THEN 0 ELSE 1 END AS fresh, row_number() OVER w AS n FROM v WINDOW w AS (PARTITION BY MMSI, name ORDER BY entry, trip_id)),
+    m AS (SELECT *, sum(fresh) OVER (PARTITION BY MMSI, name ORDER BY n) AS island FROM m0)
+    SELECT MMSI AS mmsi, name, round(min(entry) / 1e6, 2) AS entry, round((max(struct_pack(n := n, leave := leave))).leave / 1e6, 2) AS leave, arg_min(trip_id, n) AS trip_id FROM m GROUP BY MMSI, name, island""",
+)
+def _(spark, d):
+    v = events.polygon_visits(pings.segments(spark, d), pings.polygons(spark), merge_gap_minutes=720)
+    return v.select(F.col("MMSI").alias("mmsi"), "name", F.round(micros("entry_time") / 1e6, 2).alias("entry"), F.round(micros("exit_time") / 1e6, 2).alias("leave"), "trip_id")
+
+
+_FLAGS = f"""{pings.S}, {pings.G}, {pings.crossing_sql("s", "trip_id")}, f AS (SELECT trip_id, string_agg(DISTINCT PassageId, ',' ORDER BY PassageId) AS passes FROM c GROUP BY trip_id),
+    z AS (SELECT DISTINCT s.trip_id, coalesce(passes, '') AS passes, CASE WHEN passes LIKE '%east%' OR passes LIKE '%slant%' THEN 1 ELSE 0 END AS zone FROM s LEFT JOIN f ON f.trip_id = s.trip_id)"""
+
+
+def _flagged(spark, d):
+    lines = trajectory.trip_lines(pings.trips(spark, d), ties=TIES)
+    return gates.trip_flags(lines, pings.gates(spark), zones={"zone": ["east", "slant"]})
+
+
+@query("trip_gate_flags", f"WITH {_FLAGS} SELECT trip_id, passes, zone FROM z")
+def _(spark, d):
+    return _flagged(spark, d).select("trip_id", F.array_join("passes", ",").alias("passes"), "zone")
+
+
+@query("flag_propagation", f"WITH {_FLAGS} SELECT event_id, coalesce(zone, 0) AS zone FROM t LEFT JOIN z ON z.trip_id = t.trip_id")
+def _(spark, d):
+    return gates.propagate_flags(pings.trips(spark, d), _flagged(spark, d), ["zone"]).select("event_id", "zone")
+
+
+@query("flag_counts", f"WITH {_FLAGS} SELECT zone, count(*) AS n FROM z GROUP BY zone")
+def _(spark, d):
+    return _flagged(spark, d).groupBy("zone").agg(F.count("*").alias("n"))
+
+
+# --- layout --------------------------------------------------------------------------------------------------------
+
+
+def _hilbert_sql(p: int) -> str:
+    most = (1 << p) - 1
+    cell = lambda v, lo, hi: f"CAST(trunc(least(greatest(({v} - {lo}) / ({hi} - {lo}) * {most}, 0e0), {most}e0)) AS BIGINT)"
+    out = f"h0 AS (SELECT event_id, {cell('longitude', '4e0', '4.1e0')} AS x, {cell('latitude', '52e0', '52.1e0')} AS y, {cell('sec', '1704067200e0', '1706745600e0')} AS t, 0::BIGINT AS d FROM (SELECT *, floor(epoch_us(base_date_time) / 1e6) AS sec FROM p))"
+    for k in range(p):
+        s = 1 << (p - 1 - k)
+        rx, ry = f"((x // {s}) % 2)", f"((y // {s}) % 2)"
+        lx, ly = f"(x % {s})", f"(y % {s})"
+        fx, fy = f"CASE WHEN {rx} = 1 THEN {s - 1} - {lx} ELSE {lx} END", f"CASE WHEN {rx} = 1 THEN {s - 1} - {ly} ELSE {ly} END"
+        out += f", h{k + 1} AS (SELECT event_id, t, d + {s * s} * xor(3 * {rx}, {ry}) AS d, CASE WHEN {ry} = 0 THEN {fy} ELSE {lx} END AS x, CASE WHEN {ry} = 0 THEN {fx} ELSE {ly} END AS y FROM h{k})"
+    return f"WITH {pings.P}, {out} SELECT event_id, d * {1 << p} + t AS space_time FROM h{p}"
+
+
+_BOX = {"x": (4.0, 4.1), "y": (52.0, 52.1), "t": (1704067200.0, 1706745600.0)}
+
+
+@query("space_time_key", _hilbert_sql(8))
+def _(spark, d):
+    return ordering.space_time_index(pings.read(spark, d), _BOX, 8).select("event_id", "space_time")
+
+
+@query("space_time_cluster", f"WITH {pings.P} SELECT count(*) AS n FROM p")
+def _(spark, d):
+    return ordering.cluster(ordering.space_time_index(pings.read(spark, d), _BOX, 16), 8).agg(F.count("*").alias("n"))
+
+
+@query("total_bounds", f"WITH {pings.P} SELECT min(longitude) AS x0, max(longitude) AS x1, min(latitude) AS y0, max(latitude) AS y1, floor(min(epoch_us(base_date_time)) / 1e6)::BIGINT AS t0, floor(max(epoch_us(base_date_time)) / 1e6)::BIGINT AS t1 FROM p")
+def _(spark, d):
+    b = ordering.bounds(pings.read(spark, d))
+    return spark.range(1).select(*(F.lit(v).cast("long" if n == "t" else "double").alias(f"{n}{k}") for n, pair in b.items() for k, v in enumerate(pair)))
+
+
+# --- rasters -------------------------------------------------------------------------------------------------------
+
+_ZOOM, _SIZE = 9, 256
+_HALF = repr(tiles.HALF)
+_PX = {k: f"({e}) / (2 * {_HALF}) * {float(_SIZE << _ZOOM)!r} - 0.5e0" for k, e in (("x1", f"a1 + {_HALF}"), ("x2", f"a2 + {_HALF}"), ("y1", f"{_HALF} - b1"), ("y2", f"{_HALF} - b2"))}
+_DRAWN = f"""{pings.S}, r0 AS (SELECT trip_id, sog, speed_mps, VesselGroup, CASE WHEN flip THEN x2 ELSE x1 END AS a1, CASE WHEN flip THEN y2 ELSE y1 END AS b1, CASE WHEN flip THEN x1 ELSE x2 END AS a2, CASE WHEN flip THEN y1 ELSE y2 END AS b2
+      FROM (SELECT *, y2 < y1 OR (y2 = y1 AND x2 < x1) AS flip FROM s)),
+    r1 AS (SELECT trip_id, sog, speed_mps, VesselGroup, {", ".join(f"{e} AS {k}" for k, e in _PX.items())} FROM r0),
+    r2 AS (SELECT *, greatest(abs(floor(x2 + 0.5e0) - floor(x1 + 0.5e0)), abs(floor(y2 + 0.5e0) - floor(y1 + 0.5e0)))::BIGINT AS n FROM r1),
+    r3 AS (SELECT *, unnest(range(0, n + 1)) AS k FROM r2),
+    r4 AS (SELECT *, floor(CASE WHEN n = 0 THEN x1 ELSE x1 + (x2 - x1) * k / n END + 0.5e0)::BIGINT AS gx, floor(CASE WHEN n = 0 THEN y1 ELSE y1 + (y2 - y1) * k / n END + 0.5e0)::BIGINT AS gy FROM r3)"""
+_TILE = f"gx // {_SIZE} AS tile_x, gy // {_SIZE} AS tile_y, gx % {_SIZE} AS px, gy % {_SIZE} AS py"
+_KEYS = ("z", "tile_x", "tile_y", "band", "px", "py")
+
+
+def _rendered(spark, d, **options):
+    return raster.render(pings.segments(spark, d), _ZOOM, _SIZE, **options)
+
+
+def _cells(df: DataFrame) -> DataFrame:
+    return df.select(*_KEYS, r("value", 9))
+
+
+@query("tile_assign", f"WITH {pings.P} SELECT event_id, floor(({pings.MX.format('longitude')} + {_HALF}) / (2 * {_HALF}) * 16384e0)::BIGINT AS tile_x, floor(({_HALF} - ({pings.MY.format('latitude')})) / (2 * {_HALF}) * 16384e0)::BIGINT AS tile_y FROM p")
+def _(spark, d):
+    p = clean.reproject(pings.read(spark, d))
+    return p.select("event_id", F.floor(tiles.pixel_x(F.col("x"), 14, 1)).alias("tile_x"), F.floor(tiles.pixel_y(F.col("y"), 14, 1)).alias("tile_y"))
+
+
+@query("raster_count", f"WITH {_DRAWN} SELECT {_ZOOM} AS z, {_TILE}, 'transit_count' AS band, count(*)::DOUBLE AS value FROM r4 GROUP BY gx, gy")
+def _(spark, d):
+    return _cells(_rendered(spark, d))
+
+
+_MEAN_SQL = f"""WITH {_DRAWN}, q AS (SELECT gx, gy, count(*)::DOUBLE AS transit_count, avg(sog) AS sog, avg(speed_mps) AS speed_mps FROM r4 GROUP BY gx, gy)
+    SELECT {_ZOOM} AS z, {_TILE}, band, round(value, 9) AS value FROM (UNPIVOT q ON transit_count, sog, speed_mps INTO NAME band VALUE value)"""
+
+
+@query("raster_bands", _MEAN_SQL)
+def _(spark, d):
+    return _cells(_rendered(spark, d, bands=("transit_count", "sog", "speed_mps")))
+
+
+@query("raster_by_category", f"WITH {_DRAWN} SELECT {_ZOOM} AS z, {_TILE}, 'transit_count__' || replace(VesselGroup, '/', '-') AS band, count(*)::DOUBLE AS value FROM r4 GROUP BY gx, gy, VesselGroup")
+def _(spark, d):
+    return _cells(_rendered(spark, d, category="VesselGroup"))
+
+
+@query("raster_max", f"WITH {_DRAWN} SELECT {_ZOOM} AS z, {_TILE}, 'speed_mps' AS band, round(max(speed_mps), 9) AS value FROM r4 GROUP BY gx, gy HAVING max(speed_mps) IS NOT NULL")
+def _(spark, d):
+    return _cells(_rendered(spark, d, value=("speed_mps", "max")))
+
+
+@query(
+    "raster_antialiased",
+    f"""WITH {_DRAWN}, e AS (SELECT x1, y1, x2, y2, x2 - x1 AS dx, y2 - y1 AS dy, unnest(range(floor(least(x1, x2))::BIGINT - 2, ceil(greatest(x1, x2))::BIGINT + 3)) AS gx, floor(least(y1, y2))::BIGINT - 2 AS lo, ceil(greatest(y1, y2))::BIGINT + 3 AS hi FROM r1),
+    f AS (SELECT *, unnest(range(lo, hi)) AS gy FROM e), h AS (SELECT *, coalesce(least(1e0, greatest(0e0, ((gx - x1) * dx + (gy - y1) * dy) / nullif(dx * dx + dy * dy, 0))), 0) AS u FROM f),
+    j AS (SELECT gx, gy, greatest(0e0, 1 - sqrt(pow(gx - x1 - u * dx, 2) + pow(gy - y1 - u * dy, 2))) AS coverage FROM h)
+    SELECT {_ZOOM} AS z, {_TILE}, 'transit_count' AS band, round(sum(coverage), 9) AS value FROM j WHERE coverage > 0 GROUP BY gx, gy""",
+)
+def _(spark, d):
+    return _cells(_rendered(spark, d, width=1.0))
+
+
+@query("tile_stats", f"WITH {_DRAWN}, q AS (SELECT gx, gy, count(*)::DOUBLE AS v FROM r4 GROUP BY gx, gy) SELECT gx // {_SIZE} AS tile_x, gy // {_SIZE} AS tile_y, sum(v) AS total, max(v) AS most, count(*) AS pixels FROM q GROUP BY 1, 2")
+def _(spark, d):
+    return raster.tile_stats(_rendered(spark, d)).select("tile_x", "tile_y", "total", "most", "pixels")
+
+
+@query("pyramid_count", f"WITH {_DRAWN} SELECT {_ZOOM - 2} AS z, (gx // 4) // {_SIZE} AS tile_x, (gy // 4) // {_SIZE} AS tile_y, (gx // 4) % {_SIZE} AS px, (gy // 4) % {_SIZE} AS py, 'transit_count' AS band, count(*)::DOUBLE AS value FROM r4 GROUP BY gx // 4, gy // 4")
+def _(spark, d):
+    return _cells(raster.pyramid(_rendered(spark, d), _ZOOM, _ZOOM - 2, _SIZE).where(F.col("z") == _ZOOM - 2))
+
+
+@query(
+    "pyramid_weighted_mean",
+    f"""WITH {_DRAWN}, q AS (SELECT gx, gy, count(*)::DOUBLE AS n, avg(sog) AS v FROM r4 GROUP BY gx, gy), q2 AS (SELECT gx // 2 AS gx, gy // 2 AS gy, sum(v * n) / sum(CASE WHEN v IS NOT NULL THEN n END) AS v, sum(n) AS n FROM q GROUP BY 1, 2)
+    SELECT {_ZOOM - 1} AS z, {_TILE}, 'sog' AS band, round(v, 9) AS value FROM q2 WHERE v IS NOT NULL""",
+)
+def _(spark, d):
+    return _cells(raster.coarsen(_rendered(spark, d, bands=("transit_count", "sog")), _SIZE).where("band = 'sog'"))
+
+
+@query("pyramid_plain_mean", f"WITH {_DRAWN}, q AS (SELECT gx, gy, avg(sog) AS v FROM r4 GROUP BY gx, gy), w AS (SELECT gx // 2 AS gx, gy // 2 AS gy, sum(v) / 4 AS v FROM q WHERE v IS NOT NULL GROUP BY 1, 2) SELECT {_ZOOM - 1} AS z, {_TILE}, 'sog' AS band, round(v, 9) AS value FROM w")
+def _(spark, d):
+    return _cells(raster.coarsen(_rendered(spark, d, bands=("sog",)), _SIZE))
+
+
+_SHADED = f"{_DRAWN}, q AS (SELECT gx, gy, count(*)::DOUBLE AS v FROM r4 GROUP BY gx, gy), m AS (SELECT coalesce(quantile_cont(v, 0.98), 1) AS highest FROM q)"
+
+
+@query("robust_max", f"WITH {_SHADED} SELECT 'transit_count' AS band, round(highest, 6) AS highest FROM m")
+def _(spark, d):
+    return raster.robust_max(_rendered(spark, d)).select("band", r("highest"))
+
+
+@query("normalized_log", f"WITH {_SHADED} SELECT gx AS x, gy AS y, round(least(greatest(ln(1 + v) / ln(1 + highest), 0e0), 1e0), 6) AS shade FROM q, m")
+def _(spark, d):
+    level = _rendered(spark, d)
+    return raster.normalized(level, raster.robust_max(level)).select(F.expr(f"tile_x * {_SIZE} + px").alias("x"), F.expr(f"tile_y * {_SIZE} + py").alias("y"), r("shade"))
+
+
+@query("band_sum", f"WITH {_DRAWN} SELECT gx AS x, gy AS y, count(*)::DOUBLE AS value FROM r4 GROUP BY gx, gy")
+def _(spark, d):
+    level = raster.summed(_rendered(spark, d, category="VesselGroup"))
+    return level.select(F.expr(f"tile_x * {_SIZE} + px").alias("x"), F.expr(f"tile_y * {_SIZE} + py").alias("y"), "value")
+
+
+@query(
+    "segment_clip",
+    f"""WITH {pings.S}, b AS (SELECT {pings.MX.format("4.03e0")} AS w, {pings.MY.format("52.03e0")} AS lo, {pings.MX.format("4.07e0")} AS e, {pings.MY.format("52.07e0")} AS hi),
+    q AS (SELECT *, x2 - x1 AS dx, y2 - y1 AS dy FROM s, b),
+    c AS (SELECT *, greatest(0e0, coalesce(least((w - x1) / nullif(dx, 0), (e - x1) / nullif(dx, 0)), 0), coalesce(least((lo - y1) / nullif(dy, 0), (hi - y1) / nullif(dy, 0)), 0)) AS u,
+      least(1e0, coalesce(greatest((w - x1) / nullif(dx, 0), (e - x1) / nullif(dx, 0)), 1), coalesce(greatest((lo - y1) / nullif(dy, 0), (hi - y1) / nullif(dy, 0)), 1)) AS v FROM q WHERE (dx <> 0 OR x1 BETWEEN w AND e) AND (dy <> 0 OR y1 BETWEEN lo AND hi))
+    SELECT trip_id, t1, round(x1 + u * dx, 2) AS x1, round(y1 + u * dy, 2) AS y1, round(x1 + v * dx, 2) AS x2, round(y1 + v * dy, 2) AS y2 FROM c WHERE u < v""",
+)
+def _(spark, d):
+    import math
+
+    mx, my = (lambda v: 6378137.0 * math.radians(v)), (lambda v: 6378137.0 * math.log(math.tan(math.pi / 4 + math.radians(v) / 2)))
+    s = raster.clip_box(pings.segments(spark, d), mx(4.03), my(52.03), mx(4.07), my(52.07))
+    return s.select("trip_id", micros("segment_start_time").alias("t1"), *(r(c, 2) for c in _SEGMENT))
+
+
+@query("segment_canonical", f"WITH {pings.S} SELECT trip_id, t1, round(CASE WHEN f THEN x2 ELSE x1 END, 3) AS x1, round(CASE WHEN f THEN y1 ELSE y2 END, 3) AS y2 FROM (SELECT *, y2 < y1 OR (y2 = y1 AND x2 < x1) AS f FROM s)")
+def _(spark, d):
+    return raster.canonical(pings.segments(spark, d)).select("trip_id", micros("segment_start_time").alias("t1"), r("x1", 3), r("y2", 3))
+
+
+@query("segment_bbox_filter", f"WITH {pings.S}, {pings.G} SELECT trip_id, t1, count(*) AS boxes FROM s JOIN g ON greatest(x1, x2) >= least(ax, bx) AND greatest(ax, bx) >= least(x1, x2) AND greatest(y1, y2) >= least(ay, \"by\") AND greatest(ay, \"by\") >= least(y1, y2) GROUP BY trip_id, t1")
+def _(spark, d):
+    layer = pings.gates(spark).drop("length")
+    return spatial.candidates(pings.segments(spark, d), layer).groupBy("trip_id", micros("segment_start_time").alias("t1")).agg(F.count("*").alias("boxes"))
+
+
+@query("segment_grid_join", f"WITH {pings.S}, {pings.G} SELECT trip_id, t1, count(*) AS boxes FROM s JOIN g ON greatest(x1, x2) >= least(ax, bx) AND greatest(ax, bx) >= least(x1, x2) AND greatest(y1, y2) >= least(ay, \"by\") AND greatest(ay, \"by\") >= least(y1, y2) GROUP BY trip_id, t1")
+def _(spark, d):
+    layer = pings.gates(spark).drop("length")
+    return spatial.candidates(pings.segments(spark, d), layer, cell=2000.0, most_edges=0).groupBy("trip_id", micros("segment_start_time").alias("t1")).agg(F.count("*").alias("boxes"))
