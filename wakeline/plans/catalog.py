@@ -517,10 +517,10 @@ def _(spark, d):
     f"""WITH {_DRAWN}, e AS (SELECT x1, y1, x2, y2, x2 - x1 AS dx, y2 - y1 AS dy, unnest(range(floor(least(x1, x2))::BIGINT - 2, ceil(greatest(x1, x2))::BIGINT + 3)) AS gx, floor(least(y1, y2))::BIGINT - 2 AS lo, ceil(greatest(y1, y2))::BIGINT + 3 AS hi FROM r1),
     f AS (SELECT *, unnest(range(lo, hi)) AS gy FROM e), h AS (SELECT *, coalesce(least(1e0, greatest(0e0, ((gx - x1) * dx + (gy - y1) * dy) / nullif(dx * dx + dy * dy, 0))), 0) AS u FROM f),
     j AS (SELECT gx, gy, greatest(0e0, 1 - sqrt(pow(gx - x1 - u * dx, 2) + pow(gy - y1 - u * dy, 2))) AS coverage FROM h)
-    SELECT {_ZOOM} AS z, {_TILE}, 'transit_count' AS band, round(sum(coverage), 9) AS value FROM j WHERE coverage > 0 GROUP BY gx, gy""",
+    SELECT {_ZOOM} AS z, {_TILE}, 'transit_count' AS band, round(sum(coverage), 6) AS value FROM j WHERE coverage > 0 GROUP BY gx, gy""",
 )
 def _(spark, d):
-    return _cells(_rendered(spark, d, width=1.0))
+    return _rendered(spark, d, width=1.0).select(*_KEYS, r("value"))
 
 
 @query("tile_stats", f"WITH {_DRAWN}, q AS (SELECT gx, gy, count(*)::DOUBLE AS v FROM r4 GROUP BY gx, gy) SELECT gx // {_SIZE} AS tile_x, gy // {_SIZE} AS tile_y, sum(v) AS total, max(v) AS most, count(*) AS pixels FROM q GROUP BY 1, 2")
