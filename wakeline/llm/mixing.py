@@ -51,21 +51,34 @@ def uniform(id_col: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.coalesce(id_col.cast("string"), F.lit("")), F.lit(seed))), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def mixing(described: DataFrame, power: float = 0.7, rounds: int = 12, seed: str = "mix", targets: dict[str, DataFrame] | None = None, id_col: str = "doc_id") -> DataFrame:
+def rates(raked: DataFrame, fraction: float) -> DataFrame:
+    """raked with probability: min(1, scale * weight), with the scale at which the expected tokens are `fraction` of all.
+    The heaviest cells are kept whole while their share exceeds 1, and the others share what is left. The windows run
+    over the cells, one row for each combination of values, never over documents."""
+    order = Window.partitionBy(F.lit(1)).orderBy(F.desc("weight"), *DIMENSIONS)
+    above, rest = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
+    every = Window.partitionBy(F.lit(1))
+    c = raked.withColumn("_left", fraction * F.sum("tokens").over(every) - F.coalesce(F.sum("tokens").over(above), F.lit(0)))
+    c = c.withColumn("_scale", F.try_divide("_left", F.sum(F.col("tokens") * F.col("weight")).over(rest)))
+    fits = F.when(F.col("_scale") * F.col("weight") <= 1, F.col("_scale"))
+    c = c.withColumn("_scale", F.max(fits).over(every))
+    return c.withColumn("probability", F.least(F.coalesce(F.col("_scale") * F.col("weight"), F.lit(fraction)), F.lit(1.0))).drop("_left", "_scale")
+
+
+def mixing(described: DataFrame, power: float = 0.7, rounds: int = 12, fraction: float = 0.5, seed: str = "mix", targets: dict[str, DataFrame] | None = None, id_col: str = "doc_id") -> DataFrame:
     """described (id, source, lang, topic, tokens and others) with weight, probability and sampled.
 
-    Token weights are raked to the targets (tempered shares by default). A document is sampled with its weight over the
-    largest weight, so that expected token shares are the targets; the draw is a hash of its id, alike at every run.
-    Null values of a dimension are a value of their own; documents without tokens keep weight 1; an empty table gives none.
-    described should be a written table: it is read once for each margin's cells and once for the result.
+    Token weights are raked to the targets (tempered shares by default). A document is sampled with a probability in
+    proportion to its weight, up to 1, so that about `fraction` of all tokens is sampled and their shares are the
+    targets as far as no cell is used up; the draw is a hash of its id, alike at every run. Null values of a dimension
+    are a value of their own; documents without tokens have their cell's rate; an empty table gives none. described
+    should be a written table: it is read once for the cells and once for the result.
     """
     cells = cut(described.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")))
     targets = targets or {k: tempered(cells, k, power) for k in DIMENSIONS}
-    highest = F.max("weight").over(Window.partitionBy(F.lit(1)))
-    raked = cut(rake(cells, targets, rounds)).select(*(F.col(k).alias(f"_{k}") for k in DIMENSIONS), "weight", highest.alias("_max"))
+    raked = cut(rates(rake(cells, targets, rounds), fraction)).select(*(F.col(k).alias(f"_{k}") for k in DIMENSIONS), "weight", "probability")
     on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in DIMENSIONS]
     d = described.join(raked, on, "left").drop(*(f"_{k}" for k in DIMENSIONS))
-    d = d.withColumn("probability", F.col("weight") / F.col("_max")).drop("_max")
     return d.withColumn("sampled", uniform(F.col(id_col), seed) < F.col("probability"))
 
 
@@ -76,11 +89,11 @@ def describe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     return d.select("doc_id", "source", "lang", "topic", "tokens", *(["row"] if carry else []))
 
 
-def mix_documents(docs: DataFrame, power: float = 0.7, rounds: int = 12, seed: str = "mix", **cols: str) -> DataFrame:
+def mix_documents(docs: DataFrame, power: float = 0.7, rounds: int = 12, fraction: float = 0.5, seed: str = "mix", **cols: str) -> DataFrame:
     """doc_id, source, lang, topic, tokens, weight, probability, sampled of each document."""
-    return mixing(cut(describe(docs, **cols)), power, rounds, seed)
+    return mixing(cut(describe(docs, **cols)), power, rounds, fraction, seed)
 
 
-def sample_documents(docs: DataFrame, power: float = 0.7, rounds: int = 12, seed: str = "mix", **cols: str) -> DataFrame:
+def sample_documents(docs: DataFrame, power: float = 0.7, rounds: int = 12, fraction: float = 0.5, seed: str = "mix", **cols: str) -> DataFrame:
     """The documents that are sampled, with all their columns."""
-    return mixing(cut(describe(docs, carry=True, **cols)), power, rounds, seed).where("sampled").select("row.*")
+    return mixing(cut(describe(docs, carry=True, **cols)), power, rounds, fraction, seed).where("sampled").select("row.*")

@@ -81,9 +81,11 @@ def _mixing_sql(rounds: int = 12, power: float = 0.7) -> str:
             head += f""",
     w{n} AS (SELECT * REPLACE (CASE WHEN sum(tokens * weight) OVER m > 0 THEN weight * t_{k} * every / sum(tokens * weight) OVER m ELSE weight END AS weight) FROM w{n - 1} WINDOW m AS (PARTITION BY {k}))"""
     return head + f""",
-    r AS (SELECT *, max(weight) OVER () AS highest FROM w{n})
-    SELECT d.doc_id, d.topic, d.tokens, round(r.weight, 6) AS weight, round(r.weight / r.highest, 6) AS probability,
-      ('0x' || substr(md5(d.doc_id::VARCHAR || 'mix'), 1, 8))::BIGINT / 4294967296e0 < r.weight / r.highest AS sampled
+    a AS (SELECT *, (0.5e0 * sum(tokens) OVER () - coalesce(sum(tokens) OVER (ORDER BY weight DESC, source, lang, topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+      / nullif(sum(tokens * weight) OVER (ORDER BY weight DESC, source, lang, topic ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS scale FROM w{n}),
+    r AS (SELECT *, least(coalesce(max(CASE WHEN scale * weight <= 1 THEN scale END) OVER () * weight, 0.5e0), 1e0) AS probability FROM a)
+    SELECT d.doc_id, d.topic, d.tokens, round(r.weight, 6) AS weight, round(r.probability, 6) AS probability,
+      ('0x' || substr(md5(d.doc_id::VARCHAR || 'mix'), 1, 8))::BIGINT / 4294967296e0 < r.probability AS sampled
     FROM d LEFT JOIN r ON d.source IS NOT DISTINCT FROM r.source AND d.lang IS NOT DISTINCT FROM r.lang AND d.topic = r.topic"""
 
 
