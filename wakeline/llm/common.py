@@ -106,20 +106,21 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)), offsets
 
 
-def chunks(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, row after the last, lower-cased bytes, offsets from 0), each of about limit bytes or one row."""
+def chunks(column: pa.Array, limit: int = 1 << 20, lower: bool = True) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, row after the last, bytes, lower-cased if asked, and offsets from 0), each of about limit bytes or one row."""
     data, offsets = buffers(column)
     first, n = 0, len(offsets) - 1
     while first < n:
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
-        yield first, last, _LOWERED[data[offsets[first] : offsets[last]]], offsets[first : last + 1] - offsets[first]
+        part = data[offsets[first] : offsets[last]]
+        yield first, last, _LOWERED[part] if lower else part, offsets[first : last + 1] - offsets[first]
         first = last
 
 
-def word_hashes(a: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash for each word of the rows, and the offsets of each row's words among them."""
+def word_spans(a: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the words of the rows begin and end, and the offsets of each row's words among them."""
     if not len(a):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
     ink = ~_IS_SPACE[a]
     begins, ends = ink.copy(), ink.copy()
     begins[1:] &= ~ink[:-1]
@@ -128,12 +129,23 @@ def word_hashes(a: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     begins[inner] = ink[inner]
     stops = offsets[1:][np.diff(offsets) > 0] - 1
     ends[stops] = ink[stops]
-    b, e = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    b = np.flatnonzero(begins)
+    return b, np.flatnonzero(ends) + 1, np.searchsorted(b, offsets)
+
+
+def span_hashes(a: np.ndarray, b: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of bytes."""
     up, down = _powers(len(a))
     total = np.zeros(len(a) + 1, np.uint64)
     np.cumsum(_BYTE[a] * up[: len(a)], out=total[1:])
     h = (total[e] - total[b]) * down[b]
-    return mix(h + (e - b).astype(np.uint64) * _U(0xD6E8FEB86659FD93)), np.searchsorted(b, offsets)
+    return mix(h + (e - b).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+
+
+def word_hashes(a: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash for each word of the rows, and the offsets of each row's words among them."""
+    b, e, at = word_spans(a, offsets)
+    return span_hashes(a, b, e), at
 
 
 _PLACE = mix(np.arange(1, 65, dtype=np.uint64)) | _U(1)

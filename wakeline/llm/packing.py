@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import chunks, span_hashes, word_spans
+
 SCHEMA = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 #: Pieces of text that the pattern of the vocabulary file keeps; white space never occurs within one.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
@@ -24,14 +26,13 @@ _LOADED: dict = {}
 
 
 class Encoder:
-    """Whole texts to packed 32-bit ids, by the tokenizer file itself for each string of ink it has not seen lately.
+    """Whole texts to ids, by the tokenizer file itself for each string of ink it has not seen lately.
 
-    White space separates strings, so a text's ids are those of its strings in turn. Texts with the few characters on
-    whose nature as white space libraries differ, or with special tokens' marks, go to the tokenizer whole. The memory
-    of known strings is bounded: it is emptied when it holds `most` of them, which costs time only.
+    White space separates strings, so a text's ids are those of its strings in turn. Strings are told apart by 64-bit
+    hashes of their bytes; their ids lie in one growing array. At `most` strings all are forgotten, which costs time only.
     """
 
-    def __init__(self, path: str, most: int = 1_500_000) -> None:
+    def __init__(self, path: str, most: int = 2_000_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import regex
         from tokenizers import Tokenizer, pre_tokenizers
@@ -44,56 +45,73 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.odd = regex.compile("[\x1c-\x1f\x85᠎​﻿]|<\\||\\|>")
-        self.most, self.known = most, {}
         self.pieces = regex.compile(PATTERN).findall
         self.plain = regex.compile("[\x21-\x7eÀ-ɏ]+").fullmatch
+        self.most = most
+        self.forget()
 
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def forget(self) -> None:
+        self.slots: dict[int, int] = {}
+        self.ids, self.used = np.zeros(1 << 16, "<u4"), 0
+        self.begin, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
-    def lower(self, pieces: list[str]) -> list[bytes]:
-        """The ids of lower-cased pieces; the last token of each carries the mark of a word's end."""
-        out: list[bytes] = []
-        for k in range(0, len(pieces), 4096):
-            ids = np.array(self.bare.encode(" ".join(pieces[k : k + 4096]), add_special_tokens=False).ids, "<u4")
-            at, packed = [0, *(4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()], ids.tobytes()
-            out += [packed[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
-        return out
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, strings: set[str]) -> None:
-        """Strings of common Latin letters, digits and marks are put together from lower-cased pieces, which are kept as
-        strings of their own; others are encoded whole."""
-        known, wanted, split, rest = self.known, set(), [], []
+    def lower(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for strings of common Latin letters, digits and marks, from lower-cased pieces; the last
+        token of each piece carries the mark of a word's end."""
+        flat, counts = [], []
         for s in strings:
-            if not (s.isascii() or self.plain(s)):
-                rest.append(s)
-                continue
             low = s.lower()
-            pieces = (low,) if low.isalpha() else self.pieces(low)
-            wanted.update(pieces)
-            if low != s or len(pieces) > 1:
-                split.append((s, pieces))
-        new = list(wanted - known.keys())
-        known.update(zip(new, self.lower(new), strict=True))
-        known.update(zip(rest, self.whole(rest), strict=True))
-        for s, pieces in split:
-            known[s] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        odd = {i for i, t in enumerate(texts) if self.odd.search(t)}
-        strings = [[] if i in odd else t.split() for i, t in enumerate(texts)]
-        seen = set().union(*strings)
-        new = seen - self.known.keys()
-        if len(self.known) + len(new) > self.most:
-            self.known.clear()
-            new = seen
-        self.learn(new)
-        get = self.known.__getitem__
-        out = [b"".join(map(get, s)) for s in strings]
-        for i in odd:
-            out[i] = self.whole([texts[i]])[0]
-        return out
+            if low.isalpha():
+                flat.append(low)
+                counts.append(1)
+            else:
+                pieces = self.pieces(low)
+                flat += pieces
+                counts.append(len(pieces))
+        ids = np.array([i for k in range(0, len(flat), 4096) for i in self.bare.encode(" ".join(flat[k : k + 4096]), add_special_tokens=False).ids], "<u4")
+        last = (np.flatnonzero(self.ends[ids]) + 1)[np.cumsum(counts) - 1] if flat else np.zeros(0, np.int64)
+        return ids, np.diff(last, prepend=0)
+
+    def learn(self, keys: list[int], strings: list[str]) -> None:
+        easy = [bool(s.isascii() and s.isprintable() or self.plain(s)) for s in strings]
+        ids, size = self.lower([s for s, ok in zip(strings, easy, strict=True) if ok])
+        rest = self.whole([s for s, ok in zip(strings, easy, strict=True) if not ok])
+        keys = [k for k, ok in zip(keys, easy, strict=True) if ok] + [k for k, ok in zip(keys, easy, strict=True) if not ok]
+        ids, size = np.concatenate([ids, *rest]), np.concatenate([size, [len(r) for r in rest]]).astype(np.int64)
+        n = len(self.slots)
+        while len(self.begin) < n + len(keys):
+            self.begin, self.size = (np.concatenate((x, np.zeros_like(x))) for x in (self.begin, self.size))
+        while len(self.ids) < self.used + len(ids):
+            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.begin[n : n + len(keys)] = self.used + np.cumsum(size) - size
+        self.size[n : n + len(keys)] = size
+        self.slots.update(zip(keys, range(n, n + len(keys)), strict=True))
+        self.used += len(ids)
+
+    def encode(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(first row, ids of some rows, their offsets among these)."""
+        for first, _, a, offsets in chunks(column, 4 << 20, lower=False):
+            b, e, at = word_spans(a, offsets)
+            keys, place, back = np.unique(span_hashes(a, b, e), return_index=True, return_inverse=True)
+            keys = keys.tolist()
+            slots = list(map(self.slots.get, keys))
+            if len(self.slots) + slots.count(None) > self.most:
+                self.forget()
+                slots = [None] * len(keys)
+            if None in slots:
+                new = [k for k, s in enumerate(slots) if s is None]
+                raw = a.tobytes()
+                self.learn([keys[k] for k in new], [raw[i:j].decode() for i, j in zip(b[place[new]].tolist(), e[place[new]].tolist(), strict=True)])
+                slots = list(map(self.slots.get, keys))
+            slot = np.array(slots, np.int64)[back] if keys else np.zeros(0, np.int64)
+            size = self.size[slot]
+            until = np.concatenate(([0], np.cumsum(size)))
+            ids = self.ids[np.arange(until[-1]) + np.repeat(self.begin[slot] - until[:-1], size)]
+            yield first, ids, until[at]
 
 
 def encoder(path: str) -> Encoder:
@@ -175,11 +193,10 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = 409
         kind = None
         for batch in batches:
             kind = batch.column(0).type
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                out = []
-                for key, ids in zip(part.column(0).to_pylist(), enc.encode([t or "" for t in part.column(1).to_pylist()]), strict=True):
-                    ids += end
+            for first, flat, at in enc.encode(batch.column(1)):
+                out, packed, at = [], flat.tobytes(), (4 * at).tolist()
+                for key, i, j in zip(batch.column(0)[first : first + len(at) - 1].to_pylist(), at[:-1], at[1:], strict=True):
+                    ids = packed[i:j] + end
                     n = len(ids) // 4
                     for start, length in cuts(n, capacity):
                         out += bins.add((key, start, length, ids[4 * start : 4 * (start + length)], n))
