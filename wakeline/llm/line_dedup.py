@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,7 +96,7 @@ def _stars(keys: np.ndarray, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def _bands(width: int, bands: int, rows: int, buckets: int):
-    """bucket, a, b: packed keys and lines, or in bucket -1 packed links."""
+    """bucket, link, a, b: packed keys and lines, or packed links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,23 +118,21 @@ def _bands(width: int, bands: int, rows: int, buckets: int):
             order = np.argsort(to, kind="stable")
             key, line, to = key[order], line[order], to[order]
             at = np.searchsorted(to, np.arange(buckets + 1))
-            out = [(int(x), key[at[x] : at[x + 1]].tobytes(), line[at[x] : at[x + 1]].tobytes()) for x in np.flatnonzero(np.diff(at))]
+            out = [(int(x), False, key[at[x] : at[x + 1]].tobytes(), line[at[x] : at[x + 1]].tobytes()) for x in np.flatnonzero(np.diff(at))]
             if len(a):
-                out.append((-1, a.tobytes(), b.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True)], ["bucket", "a", "b"])
+                out.append((int(a[0] % _U(buckets)), True, a.tobytes(), b.tobytes()))
+            kinds = (pa.int32(), pa.bool_(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["bucket", "link", "a", "b"])
 
     return run
 
 
 def _met(table: pa.Table) -> pa.Table:
-    keys, lines = (np.frombuffer(b"".join(table[c].to_pylist()), np.uint64) for c in ("a", "b"))
+    """Links among the lines of each key of a bucket, and the links that came with it."""
+    link = table["link"]
+    keys, lines, one, two = (np.frombuffer(b"".join(table.filter(w)[c].to_pylist()), np.uint64) for w in (pc.invert(link), link) for c in ("a", "b"))
     _, _, a, b = _stars(keys, lines)
-    return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
-
-
-def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(batch.column(k).to_pylist()), np.int64)) for k in (0, 1)], ["a", "b"])
+    return pa.table({"a": np.concatenate((a, one)).view(np.int64), "b": np.concatenate((b, two)).view(np.int64)})
 
 
 def _verified(width: int, percent: int):
@@ -157,17 +156,16 @@ def _verified(width: int, percent: int):
 
 def candidate_links(docs: DataFrame, width: int, bands: int, rows: int, text_col: str) -> DataFrame:
     buckets = 4 * partitions(docs.sparkSession)
-    with small_batches(docs.sparkSession, 2500):
-        packed = cut(docs.select(text_col).mapInArrow(_bands(width, bands, rows, buckets), "bucket int, a binary, b binary"))
-    met = packed.where("bucket >= 0").groupBy("bucket").applyInArrow(_met, "a long, b long")
-    return met.unionByName(packed.where("bucket < 0").select("a", "b").mapInArrow(_unpacked, "a long, b long")).distinct()
+    packed = docs.select(text_col).mapInArrow(_bands(width, bands, rows, buckets), "bucket int, link boolean, a binary, b binary")
+    return packed.groupBy("bucket").applyInArrow(_met, "a long, b long").distinct()
 
 
 def line_components(docs: DataFrame, width: int = 8, percent: int = 75, bands: int = 14, rows: int = 4, text_col: str = "text", filter_bits: int = 23) -> DataFrame:
     """(node, component) of the lines, by 64-bit hash, that have a near copy. Only lines in a proposed pair are fetched:
     a bit map of 2 ** filter_bits bits leaves out most others before the join."""
     spark = docs.sparkSession
-    pairs = cut(candidate_links(docs, width, bands, rows, text_col))
+    with small_batches(spark, 2500):
+        pairs = cut(candidate_links(docs, width, bands, rows, text_col))
     ends = pairs.selectExpr("a AS line").unionByName(pairs.selectExpr("b AS line")).distinct()
     spot = F.shiftrightunsigned("line", 64 - filter_bits)
     words = ends.groupBy(F.shiftright(spot, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(line, {64 - filter_bits}) & 63 AS int))")).alias("bits")).toArrow()
