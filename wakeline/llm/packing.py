@@ -32,7 +32,7 @@ class Encoder:
     hashes of their bytes; their ids lie in one growing array. At `most` strings all are forgotten, which costs time only.
     """
 
-    def __init__(self, path: str, most: int = 2_000_000) -> None:
+    def __init__(self, path: str, most: int = 1_000_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import regex
         from tokenizers import Tokenizer, pre_tokenizers
