@@ -153,10 +153,10 @@ _PLACE = mix(np.arange(1, 65, dtype=np.uint64)) | _U(1)
 
 def shingles(words: np.ndarray, offsets: np.ndarray, width: int = 5) -> list[np.ndarray]:
     """For each row the sorted distinct hashes of its width-word shingles; fewer words are one shingle, none are none."""
-    n = len(words)
-    g = np.zeros(max(0, n - width + 1), np.uint64)
-    for j in range(width):
-        g += words[j : n - width + 1 + j] * _PLACE[j]
+    n = max(0, len(words) - width + 1)
+    g = np.zeros(n, np.uint64)
+    for j in range(width if n else 0):
+        g += words[j : n + j] * _PLACE[j]
     g = mix(g)
     out = []
     for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):

@@ -108,8 +108,8 @@ def predict(docs: DataFrame, model: Model, carry: list[Column], text_col: str =
                         lang[first + i], best[first + i] = labels[top[i]], p[i]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(best)], [*names, "lang_pred", "score"])
 
-    fields = ", ".join(f"{n} {plain.schema[n].dataType.simpleString()}" for n in names)
-    return plain.mapInArrow(score, f"{fields}, lang_pred string, score double")
+    fields = [*(f"{n} {plain.schema[n].dataType.simpleString()}" for n in names), "lang_pred string", "score double"]
+    return plain.mapInArrow(score, ", ".join(fields))
 
 
 def identify(docs: DataFrame, folds: int = 5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:

@@ -132,10 +132,11 @@ def similar_classes(docs: DataFrame, percent: int = 75, width: int = 5, sample:
     links: in some part of the work class a has that many links and reaches b, which is enough for components and counts.
 
     A link is 100 * common >= percent * total. A document of fewer than `width` words is one shingle of all its words.
-    Null and empty texts have no shingles and no links. Ids are integers; rows that repeat an id and text fall in one class.
+    Null and empty texts have no shingles and no links. Ids are integers; rows that repeat an id and text fall in one class, and a row without
+    an id in the class of an equal set, if there is one.
     """
     base = cut(sketches(docs, sample, width, id_col, text_col))
-    full = base.where("n > 0")
+    full = base.where("n > 0 AND doc_id IS NOT NULL")
     reps = full.groupBy("digest", "n").agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens"))
     reps = cut(reps.drop("digest"))
     # tokens that at least two classes have, with their document frequency
