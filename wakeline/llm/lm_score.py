@@ -8,7 +8,7 @@ next shorter one by that measure.
 
 Nothing of the corpus is held whole anywhere. Counts are packed arrays dealt into buckets of a 64-bit key space; texts
 ask for the counts they need by block of input and get them back aligned to their sorted keys. What is broadcast has a
-fixed size: a bit map of pairs seen twice (2 ** pair_bits bits), and a table of rounded word counts (2 ** count_bits
+fixed size: bit maps of pairs seen so often and of kept triples (2 ** pair_bits and 2 ** triple_bits bits), and a table of rounded word counts (2 ** count_bits
 bytes) that only the retention test uses.
 """
 
@@ -23,7 +23,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, cut, mix, partitions, word_hashes
+from .common import buffers, chunks, cut, mix, partitions, small_batches, trim, word_hashes
 
 _U = np.uint64
 _K = _U(0x9E3779B97F4A7C15)
@@ -65,15 +65,21 @@ class Keys:
             top = ~_U((1 << (64 - q)) - 1)
             self.triple[1:] = (self.pair[:-1] & top) | (mix(self.pair[:-1] * _K + self.w[1:]) >> _U(q))
 
-    def known(self, bits: np.ndarray, pair_bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """Which positions end a pair, and a triple, of whose pairs the bit map has all."""
-        i = self.pair >> _U(64 - pair_bits)
-        two = (self.depth >= 1) & ((bits[i >> _U(3)] >> (_U(7) - (i & _U(7))).astype(np.uint8)) & 1).astype(bool)
+    def known(self, bits: np.ndarray, pair_bits: int, kept: np.ndarray | None = None, triple_bits: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Which positions end a pair, and a triple, of whose pairs the bit map has all; with the map of kept triples
+        only those."""
+        two = (self.depth >= 1) & _marked(bits, self.pair >> _U(64 - pair_bits))
         three = two & (self.depth >= 2)
         three[1:] &= two[:-1]
+        if kept is not None:
+            three &= _marked(kept, self.triple >> _U(64 - triple_bits))
         return two, three
 
 
+def _marked(bits: np.ndarray, i: np.ndarray) -> np.ndarray:
+    return ((bits[i >> _U(3)] >> (_U(7) - (i & _U(7))).astype(np.uint8)) & 1).astype(bool)
+
+
 def _dealt(kind: int, block: int, keys: np.ndarray, values: list[np.ndarray], q: int) -> Iterator[tuple]:
     """Rows by bucket, the top q bits, of sorted keys; several arrays of values follow each other."""
     at = np.searchsorted(keys >> _U(64 - q), np.arange((1 << q) + 1, dtype=np.uint64))
@@ -102,17 +108,54 @@ def _joined(table: pa.Table, kind: int, column: str, dtype: str) -> np.ndarray:
 # --- learning ------------------------------------------------------------------------------------------------------
 
 
+#: Distinct keys that a task holds before it sends them on.
+_HELD = 2_000_000
+
+
+def _merged(parts: list[tuple[np.ndarray, ...]], counts: int) -> tuple[np.ndarray, ...]:
+    """Arrays of parts one after the other, one row per key, the first array; the array at `counts` adds up."""
+    joined = [np.concatenate(x) for x in zip(*parts, strict=True)]
+    order = np.argsort(joined[0], kind="stable")
+    keys = joined[0][order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    out = [x[order[first]] for x in joined]
+    if len(first):
+        out[counts] = np.add.reduceat(joined[counts][order], first)
+    return tuple(out)
+
+
+def _by_portion(batches: Iterator[pa.RecordBatch], q: int) -> Iterator[Keys]:
+    for batch in batches:
+        size = np.cumsum(np.diff(buffers(batch.column(0))[1]))
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + (2 << 20), "right")))
+            yield Keys(batch.column(0).slice(at, to - at), q)
+            at = to
+
+
 def _count_words(q: int):
+    def sent(words: list, pairs: list) -> pa.RecordBatch:
+        k, n = _merged(words, 1)
+        rows = list(_dealt(0, 0, k, [n.astype("<u4")], q))
+        # the 32 bits that follow the bucket's are enough to fill a bit map
+        k, n = _merged(pairs, 1)
+        at = np.searchsorted(k >> _U(32), np.arange((1 << q) + 1, dtype=np.uint64))
+        low, n = k.astype("<u4"), np.minimum(n, 255).astype(np.uint8)
+        rows += [(b, 1, 0, low[at[b] : at[b + 1]].tobytes(), n[at[b] : at[b + 1]].tobytes()) for b in np.flatnonzero(np.diff(at)).tolist()]
+        return _rows(rows)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            t = Keys(batch.column(0), q)
-            rows = list(_dealt(0, 0, *(lambda k, n: (k, [n.astype("<u4")]))(*np.unique(t.w, return_counts=True)), q))
-            # the 32 bits that follow the bucket's are enough to fill a bit map
-            pairs, n = np.unique(t.pair[t.depth > 0] >> _U(32 - q), return_counts=True)
-            at = np.searchsorted(pairs >> _U(32), np.arange((1 << q) + 1, dtype=np.uint64))
-            low, n = pairs.astype("<u4"), np.minimum(n, 255).astype(np.uint8)
-            rows += [(b, 1, 0, low[at[b] : at[b + 1]].tobytes(), n[at[b] : at[b + 1]].tobytes()) for b in np.flatnonzero(np.diff(at)).tolist()]
-            yield _rows(rows)
+        words, pairs = [], []
+        for t in _by_portion(batches, q):
+            words.append(np.unique(t.w, return_counts=True))
+            pairs.append(np.unique(t.pair[t.depth > 0] >> _U(32 - q), return_counts=True))
+            if sum(len(k) for k, _ in pairs) > _HELD:
+                yield sent(words, pairs)
+                words, pairs = [], []
+        if words:
+            yield sent(words, pairs)
+        trim()
 
     return run
 
@@ -137,20 +180,31 @@ def _sum_words(q: int, pair_bits: int, count_bits: int):
 def _count_contexts(q: int, sent, pair_bits: int):
     """kind 1: word contexts and next words; 2: pair contexts and next words; 3: pairs."""
 
+    def ready(held: dict[int, list]) -> pa.RecordBatch:
+        rows = []
+        for kind in (1, 2):
+            keys, context, after, n = _merged(held[kind], 3)
+            if kind == 1:
+                rows += _dealt(3, 0, keys, [n.astype("<u4")], q)
+            order = np.argsort(context, kind="stable")
+            rows += _dealt(kind, 0, context[order], [after[order], n[order].astype("<u4")], q)
+        return _rows(rows)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            t = Keys(batch.column(0), q)
+        held: dict[int, list] = {1: [], 2: []}
+        for t in _by_portion(batches, q):
             two, three = t.known(sent.value[0], pair_bits)
-            rows = []
             for kind, keys, where, context in ((1, t.pair, two, t.w), (2, t.triple, three, t.pair)):
                 at = np.flatnonzero(where)
                 found, first, n = np.unique(keys[at], return_index=True, return_counts=True)
-                if kind == 1:
-                    rows += _dealt(3, 0, found, [n.astype("<u4")], q)
                 at = at[first]
-                order = np.argsort(context[at - 1], kind="stable")
-                rows += _dealt(kind, 0, context[at - 1][order], [t.w[at][order], n[order].astype("<u4")], q)
-            yield _rows(rows)
+                held[kind].append((found, context[at - 1], t.w[at], n))
+            if sum(len(x[0]) for x in held[2]) > _HELD:
+                yield ready(held)
+                held = {1: [], 2: []}
+        if held[1]:
+            yield ready(held)
+        trim()
 
     return run
 
@@ -202,8 +256,9 @@ def _states(context: np.ndarray, n: np.ndarray, share: np.ndarray, total_of: tup
     return states[ok], ((DISCOUNT * kept + rest) / total)[ok].astype("<f4"), gain[ok].astype("<f4")
 
 
-def _learn(q: int, sent, count_bits: int):
-    """Of a bucket: word states (kind 3), pairs with counts (4), pair states (5), triples of pair states with counts (6)."""
+def _learn(q: int, sent, count_bits: int, triple_bits: int):
+    """Of a bucket: word states (kind 3), pairs with counts (4), pair states (5), triples of pair states with counts (6),
+    and its part of the bit map of these triples (7)."""
 
     def run(table: pa.Table, words: pa.Table) -> pa.Table:
         cells, all_words = sent.value[1], sent.value[2]
@@ -224,6 +279,9 @@ def _learn(q: int, sent, count_bits: int):
                 key = (context[mine] & top) | (mix(context[mine] * _K + after[mine]) >> _U(q))
                 order = np.argsort(key, kind="stable")
                 rows.append((bucket, 6, 0, key[order].tobytes(), m[mine][order].astype("<u4").tobytes()))
+                bits = np.zeros(1 << (triple_bits - q), np.uint8)
+                bits[(key >> _U(64 - triple_bits)) & _U((1 << (triple_bits - q)) - 1)] = 1
+                rows.append((bucket, 7, 0, np.packbits(bits).tobytes(), b""))
         return pa.Table.from_batches([_rows(rows)])
 
     return run
@@ -232,26 +290,67 @@ def _learn(q: int, sent, count_bits: int):
 # --- scoring -------------------------------------------------------------------------------------------------------
 
 
-def _ask(q: int, sent, pair_bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
+def _portions(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """(block, rows of it) of about `most` bytes of text; columns block, text and others."""
+    blocks = batch.column(0).to_numpy()
+    for block in np.unique(blocks).tolist():
+        part = batch.filter(pa.array(blocks == block))
+        size = np.cumsum(np.diff(buffers(part.column(1))[1]))
+        at = 0
+        while at < part.num_rows:
+            to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + most, "right")))
+            yield block, part.slice(at, to - at)
+            at = to
 
-        def asked(block: int, columns: list) -> pa.RecordBatch:
-            t = Keys(pa.chunked_array(columns).combine_chunks(), q)
-            two, three = t.known(sent.value[0], pair_bits)
-            rows = [r for kind, k in enumerate((t.w, t.pair[two], t.triple[three])) for r in _dealt(kind, block, np.unique(k), [], q)]
-            return _rows(rows)
 
+def _union(parts: list[np.ndarray]) -> np.ndarray:
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+
+
+class _Wanted:
+    """The sorted distinct keys of a block, gathered by portions of its texts."""
+
+    def __init__(self, q: int, sent, pair_bits: int, triple_bits: int) -> None:
+        self.q, self.maps, self.parts = q, (sent.value[0], pair_bits, sent.value[1], triple_bits), ([], [], [])
+
+    def read(self, texts: pa.Array) -> tuple[Keys, np.ndarray, np.ndarray]:
+        t = Keys(texts, self.q)
+        return t, *t.known(*self.maps)
+
+    def add(self, texts: pa.Array) -> None:
+        t, two, three = self.read(texts)
+        for part, k in zip(self.parts, (t.w, t.pair[two], t.triple[three]), strict=True):
+            part.append(np.unique(k))
+
+    def keys(self) -> list[np.ndarray]:
+        return [_union(p) for p in self.parts]
+
+
+def _ask(q: int, sent, pair_bits: int, triple_bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, _Wanted] = {}
         for batch in batches:
-            blocks = batch.column(0).to_numpy()
-            for block in np.unique(blocks).tolist():
-                held.setdefault(block, []).append(batch.column(1).filter(pa.array(blocks == block)))
+            for block, part in _portions(batch):
+                held.setdefault(block, _Wanted(q, sent, pair_bits, triple_bits)).add(part.column(1))
         for block in list(held):
-            yield asked(block, held.pop(block))
+            keys = held.pop(block).keys()
+            yield _rows([r for kind, k in enumerate(keys) for r in _dealt(kind, block, k, [], q)])
+            trim()
 
     return run
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """block and its rows in portions, compressed: half of what shuffling plain rows takes."""
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    for batch in batches:
+        for block, part in _portions(batch):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, part.schema, options=options) as out:
+                out.write_batch(part)
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "packed"])
+
+
 def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
     """Aligned to the keys: counts, and for words and pairs the mass left and the gain of their state, 0 without one."""
     pieces = {}
@@ -284,19 +383,26 @@ def _aligned(answers: pa.Table, kind: int, count: str) -> list[np.ndarray]:
     return [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, count), np.zeros(0, "<f4"), np.zeros(0, "<f4")]
 
 
-def _score(q: int, sent, pair_bits: int, n_train: int, n_vocabulary: int):
+def _score(q: int, sent, pair_bits: int, triple_bits: int, n_train: int, n_vocabulary: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        t = Keys(docs["text"].combine_chunks(), q)
-        two, three = t.known(sent.value[0], pair_bits)
-        w_at = np.unique(t.w, return_inverse=True)[1]
-        n_w, left1, gain1 = (x[w_at] for x in _aligned(answers, 0, "<i8"))
+        portions = lambda: (b for x in docs["packed"] for b in pa.ipc.open_stream(x.as_buffer()))
+        wanted = _Wanted(q, sent, pair_bits, triple_bits)
+        for part in portions():
+            wanted.add(part.column(1))
+        known = list(zip(wanted.keys(), (_aligned(answers, kind, count) for kind, count in enumerate(("<i8", "<u4", "<u4"))), strict=True))
+        out = pa.Table.from_batches([scored(wanted, part, known) for part in portions()])
+        del wanted, known
+        trim()
+        return out
+
+    def scored(wanted: _Wanted, part: pa.RecordBatch, known: list) -> pa.RecordBatch:
+        t, two, three = wanted.read(part.column(1))
+        n_w, left1, gain1 = (x[np.searchsorted(known[0][0], t.w)] for x in known[0][1])
         size = len(t.w)
         n2, left2, gain2, n3 = np.zeros(size, np.int64), np.zeros(size, "<f4"), np.zeros(size, "<f4"), np.zeros(size, np.int64)
-        if two.any():
-            at = np.unique(t.pair[two], return_inverse=True)[1]
-            n2[two], left2[two], gain2[two] = (x[at] for x in _aligned(answers, 1, "<u4"))
-        if three.any():
-            n3[three] = _aligned(answers, 2, "<u4")[0][np.unique(t.triple[three], return_inverse=True)[1]]
+        at = np.searchsorted(known[1][0], t.pair[two])
+        n2[two], left2[two], gain2[two] = (x[at] for x in known[1][1])
+        n3[three] = known[2][1][0][np.searchsorted(known[2][0], t.triple[three])]
         share = (n_w + 1) / (n_train + n_vocabulary + 1)
         before = lambda x: np.concatenate((x[:1], x[:-1]))  # noqa: E731  what the preceding word or pair has
         one, pair = (t.depth >= 1) & (before(left1) > 0), (t.depth >= 2) & (before(left2) > 0)
@@ -306,13 +412,12 @@ def _score(q: int, sent, pair_bits: int, n_train: int, n_vocabulary: int):
         p[at] = before(left1)[at] * share[at] + np.maximum(n2[at] - DISCOUNT, 0) * (n2[at] >= LEAST) / before(n_w)[at]
         p[pair] = before(left2)[pair] * share[pair] + np.maximum(n3[pair] - DISCOUNT, 0) / before(n2)[pair]
         total = lambda x: np.add.reduceat(x, t.starts) if size else x
-        return pa.table(
-            {
-                "doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": pa.array(t.sizes), "n_known": pa.array(total((n_w > 0).astype(np.int64))),
-                "train_tokens": pa.array(np.full(len(t.sizes), n_train, np.int64)), "base_score": pa.array(total(np.log10(share))), "score": pa.array(total(np.log10(p))),
-                "in_context": pa.array(total((one | pair).astype(np.int64))),
-            }
-        )
+        columns = {
+            "doc_id": part.column(2), "held_out": part.column(3), "n_tokens": pa.array(t.sizes), "n_known": pa.array(total((n_w > 0).astype(np.int64))),
+            "train_tokens": pa.array(np.full(len(t.sizes), n_train, np.int64)), "base_score": pa.array(total(np.log10(share))), "score": pa.array(total(np.log10(p))),
+            "in_context": pa.array(total((one | pair).astype(np.int64))),
+        }
+        return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return run
 
@@ -334,7 +439,7 @@ def _in_blocks(docs: DataFrame, columns: list[Column], block_bytes: int) -> Data
         return keyed(written, [F.col(c) for c in written.columns])
 
 
-def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str = "doc_id", text_col: str = "text", pair_bits: int = 27, count_bits: int = 24, block_bytes: int = 32 << 20) -> DataFrame:
+def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str = "doc_id", text_col: str = "text", pair_bits: int = 26, count_bits: int = 23, triple_bits: int = 25, block_bytes: int = 32 << 20) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and in_context (tokens scored in a context
     of one or two words) of each document.
 
@@ -347,7 +452,8 @@ def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str
     held = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == held_out, F.lit(False))
     d = _in_blocks(docs, [F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held.alias("held_out")], block_bytes)
     train = d.where("NOT held_out").select("text")
-    words = cut(train.mapInArrow(_count_words(q), PACKED).groupBy("bucket").applyInArrow(_sum_words(q, pair_bits, count_bits), PACKED))
+    with small_batches(spark, 2500):
+        words = cut(train.mapInArrow(_count_words(q), PACKED).groupBy("bucket").applyInArrow(_sum_words(q, pair_bits, count_bits), PACKED))
     _free(spark)
     n_train, n_vocabulary = words.where("kind = 0").agg(F.coalesce(F.sum("block"), F.lit(0)), F.coalesce(F.sum(F.octet_length("k") / 8), F.lit(0)).cast("long")).head()
     bits, cells = np.zeros(1 << (pair_bits - 3), np.uint8), np.zeros(1 << count_bits, np.uint8)
@@ -357,10 +463,20 @@ def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str
     sent = spark.sparkContext.broadcast((bits, cells, max(1, n_train)))
     vocabulary = words.where("kind = 0")
     contexts = train.mapInArrow(_count_contexts(q, sent, pair_bits), PACKED)
-    model = cut(contexts.groupBy("bucket").cogroup(vocabulary.groupBy("bucket")).applyInArrow(_learn(q, sent, count_bits), PACKED))
+    with small_batches(spark, 2500):
+        model = cut(contexts.groupBy("bucket").cogroup(vocabulary.groupBy("bucket")).applyInArrow(_learn(q, sent, count_bits, triple_bits), PACKED))
+    _free(spark)
+    kept = np.zeros(1 << (triple_bits - 3), np.uint8)
+    for row in model.where("kind = 7").select("bucket", "k").toLocalIterator():
+        part = np.frombuffer(row["k"], np.uint8)
+        kept[row["bucket"] * len(part) : (row["bucket"] + 1) * len(part)] = part
+    maps = spark.sparkContext.broadcast((bits, kept))
+    asked = d.select("block", "text").mapInArrow(_ask(q, maps, pair_bits, triple_bits), PACKED)
+    known = vocabulary.unionByName(model.where("kind < 7"))
+    with small_batches(spark, 2500):
+        answers = cut(asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_answer, PACKED))
     _free(spark)
-    asked = d.select("block", "text").mapInArrow(_ask(q, sent, pair_bits), PACKED)
-    answers = asked.groupBy("bucket").cogroup(vocabulary.unionByName(model).groupBy("bucket")).applyInArrow(_answer, PACKED)
     kind = docs.schema[id_col].dataType.simpleString()
     out = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, in_context long"
-    return d.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(q, sent, pair_bits, n_train, n_vocabulary), out)
+    texts = d.select("block", "text", "doc_id", "held_out").mapInArrow(_pack, "block long, packed binary")
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(q, maps, pair_bits, triple_bits, n_train, n_vocabulary), out)
