@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.clean import null_sentinels
 
@@ -29,11 +30,25 @@ PATHS = {
 NUMBERS = ("longitude", "latitude", "cog", "sog", "heading", "beam", "length", "draught")
 
 
-def leaf(json: Column, path: str) -> Column:
-    """Text at a dotted path: of an object its member value where it has one, even null, else its member code."""
-    raw = F.get_json_object(json, f"$.{path}")
-    keys = F.json_object_keys(raw)
-    unwrapped = F.when(F.array_contains(keys, "value"), F.get_json_object(raw, "$.value")).otherwise(F.get_json_object(raw, "$.code"))
+_PARTS = ["to_bow", "to_stern", "to_port", "to_starboard"]
+
+
+def _schema() -> T.StructType:
+    """All paths as text, which for a member that is an object is its JSON: one parse of a line finds everything."""
+
+    def struct(paths: list[list[str]]) -> T.StructType:
+        heads = dict.fromkeys(p[0] for p in paths)
+        below = {h: [p[1:] for p in paths if p[0] == h and len(p) > 1] for h in heads}
+        return T.StructType([T.StructField(h, struct(below[h]) if below[h] else T.StringType()) for h in heads])
+
+    every = [p for paths in PATHS.values() for p in paths] + [f"data.casco.{p}" for p in _PARTS]
+    return struct([p.split(".") for p in every])
+
+
+def leaf(raw: Column) -> Column:
+    """A member's text: of an object its member value where it has one, even null, else its member code."""
+    members = F.array(F.from_json(raw, T.MapType(T.StringType(), T.StringType())))
+    unwrapped = F.transform(members, lambda m: F.when(F.map_contains_key(m, "value"), m["value"]).otherwise(m["code"]))[0]
     return F.when(F.startswith(raw, F.lit("{")), unwrapped).otherwise(raw)
 
 
@@ -46,16 +61,16 @@ def flatten(lines: DataFrame, value: str = "value", keep: list[str] | None = Non
     """Pings of lines of JSON. Missing beams and lengths are put together from distances to the antenna; blank lines are
     dropped, numbers that do not parse are null."""
     keep = keep or []
-    j = F.col(value)
-    first = {k: F.coalesce(*(leaf(j, p) for p in paths)) for k, paths in PATHS.items()}
-    part = lambda name: _number(leaf(j, f"data.casco.{name}"))
+    first = {k: F.coalesce(*(leaf(F.col(f"_j.{p}")) for p in paths)) for k, paths in PATHS.items()}
+    part = lambda name: _number(leaf(F.col(f"_j.data.casco.{name}")))
     cols = {k: _number(v) if k in NUMBERS else v for k, v in first.items()}
     cols["beam"] = F.coalesce(cols["beam"], part("to_port") + part("to_starboard"))
     cols["length"] = F.coalesce(cols["length"], part("to_bow") + part("to_stern"))
     cols["base_date_time"] = F.to_timestamp(first["base_date_time"]).cast("timestamp_ntz")
     for k in ("imo", "name", "callsign"):
         cols[k] = F.trim(cols[k])
-    rows = lines.where(F.trim(value) != "").select(*keep, *(c.alias(k) for k, c in cols.items()))
+    parsed = lines.where(F.trim(value) != "").select(*keep, F.from_json(value, _schema()).alias("_j"))
+    rows = parsed.select(*keep, *(c.alias(k) for k, c in cols.items()))
     return null_sentinels(rows)
 
 
