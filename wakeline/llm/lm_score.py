@@ -93,8 +93,16 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()], strict=True)], NAMES)
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, a place of each, and how often each occurs."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    return ordered[first], order[first], np.diff(np.append(first, len(keys)))
+
+
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts[:0]
@@ -115,7 +123,7 @@ _HELD = 2_000_000
 def _merged(parts: list[tuple[np.ndarray, ...]], counts: int) -> tuple[np.ndarray, ...]:
     """Arrays of parts one after the other, one row per key, the first array; the array at `counts` adds up."""
     joined = [np.concatenate(x) for x in zip(*parts, strict=True)]
-    order = np.argsort(joined[0], kind="stable")
+    order = np.argsort(joined[0])
     keys = joined[0][order]
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
     out = [x[order[first]] for x in joined]
@@ -186,7 +194,7 @@ def _count_contexts(q: int, sent, pair_bits: int):
             keys, context, after, n = _merged(held[kind], 3)
             if kind == 1:
                 rows += _dealt(3, 0, keys, [n.astype("<u4")], q)
-            order = np.argsort(context, kind="stable")
+            order = np.argsort(context)
             rows += _dealt(kind, 0, context[order], [after[order], n[order].astype("<u4")], q)
         return _rows(rows)
 
@@ -196,7 +204,7 @@ def _count_contexts(q: int, sent, pair_bits: int):
             two, three = t.known(sent.value[0], pair_bits)
             for kind, keys, where, context in ((1, t.pair, two, t.w), (2, t.triple, three, t.pair)):
                 at = np.flatnonzero(where)
-                found, first, n = np.unique(keys[at], return_index=True, return_counts=True)
+                found, first, n = _distinct(keys[at])
                 at = at[first]
                 held[kind].append((found, context[at - 1], t.w[at], n))
             if sum(len(x[0]) for x in held[2]) > _HELD:
@@ -313,14 +321,12 @@ class _Wanted:
     def __init__(self, q: int, sent, pair_bits: int, triple_bits: int) -> None:
         self.q, self.maps, self.parts = q, (sent.value[0], pair_bits, sent.value[1], triple_bits), ([], [], [])
 
-    def read(self, texts: pa.Array) -> tuple[Keys, np.ndarray, np.ndarray]:
+    def add(self, texts: pa.Array) -> tuple[Keys, np.ndarray, np.ndarray]:
         t = Keys(texts, self.q)
-        return t, *t.known(*self.maps)
-
-    def add(self, texts: pa.Array) -> None:
-        t, two, three = self.read(texts)
+        two, three = t.known(*self.maps)
         for part, k in zip(self.parts, (t.w, t.pair[two], t.triple[three]), strict=True):
             part.append(np.unique(k))
+        return t, two, three
 
     def keys(self) -> list[np.ndarray]:
         return [_union(p) for p in self.parts]
@@ -385,18 +391,15 @@ def _aligned(answers: pa.Table, kind: int, count: str) -> list[np.ndarray]:
 
 def _score(q: int, sent, pair_bits: int, triple_bits: int, n_train: int, n_vocabulary: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        portions = lambda: (b for x in docs["packed"] for b in pa.ipc.open_stream(x.as_buffer()))
         wanted = _Wanted(q, sent, pair_bits, triple_bits)
-        for part in portions():
-            wanted.add(part.column(1))
+        portions = [(b, wanted.add(b.column(1))) for x in docs["packed"] for b in pa.ipc.open_stream(x.as_buffer())]
         known = list(zip(wanted.keys(), (_aligned(answers, kind, count) for kind, count in enumerate(("<i8", "<u4", "<u4"))), strict=True))
-        out = pa.Table.from_batches([scored(wanted, part, known) for part in portions()])
-        del wanted, known
+        out = pa.Table.from_batches([scored(*read, part, known) for part, read in portions])
+        del wanted, known, portions
         trim()
         return out
 
-    def scored(wanted: _Wanted, part: pa.RecordBatch, known: list) -> pa.RecordBatch:
-        t, two, three = wanted.read(part.column(1))
+    def scored(t: Keys, two: np.ndarray, three: np.ndarray, part: pa.RecordBatch, known: list) -> pa.RecordBatch:
         n_w, left1, gain1 = (x[np.searchsorted(known[0][0], t.w)] for x in known[0][1])
         size = len(t.w)
         n2, left2, gain2, n3 = np.zeros(size, np.int64), np.zeros(size, "<f4"), np.zeros(size, "<f4"), np.zeros(size, np.int64)
@@ -439,7 +442,7 @@ def _in_blocks(docs: DataFrame, columns: list[Column], block_bytes: int) -> Data
         return keyed(written, [F.col(c) for c in written.columns])
 
 
-def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str = "doc_id", text_col: str = "text", pair_bits: int = 26, count_bits: int = 23, triple_bits: int = 25, block_bytes: int = 32 << 20) -> DataFrame:
+def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str = "doc_id", text_col: str = "text", pair_bits: int = 26, count_bits: int = 23, triple_bits: int = 25, block_bytes: int = 4 << 20) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and in_context (tokens scored in a context
     of one or two words) of each document.
 
