@@ -6,7 +6,7 @@
    are done. For sets whose partners have at most `sample` tokens this is the exact prefix bound. Of larger ones the
    sample is a uniform draw from the union (lowest hashes), of which fewer than `least` common tokens come by chance 1 time in 10 ** 9 for a
    pair just at the threshold, and far less often above it.
-4. The other classes are dealt into groups of at most about `group` by their rarest common token. The matrix holds the
+4. The other classes are dealt into groups of at most about `group` by their lowest prefix token. The matrix holds the
    tokens of each group; two groups with a common token are opened together.
 5. In an opened pair a document's overlap with the other group's whole token union bounds its similarity to all
    members; only when that reaches the threshold is it compared to them, exactly, on whole sets.
@@ -138,15 +138,15 @@ def similar_classes(docs: DataFrame, percent: int = 75, width: int = 5, sample:
     base = cut(sketches(docs, sample, width, id_col, text_col))
     full = base.where("n > 0 AND doc_id IS NOT NULL")
     reps = full.groupBy("digest", "n").agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens"))
-    reps = cut(reps.drop("digest"))
+    reps = cut(reps)
     # tokens that at least two classes have, with their document frequency
     entries = reps.select("rep", F.explode("tokens").alias("token"))
     shared = cut(entries.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"))
     common = entries.join(shared, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct(F.when(F.col("df") > hot, F.col("df")).otherwise(0).alias("hot"), "token"))).alias("common"))
     spare = F.when(F.col("n") * 100 <= sample * percent, F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).otherwise(F.size("tokens") - least + 1) - (F.size("tokens") - F.size("common"))
-    probes = common.join(reps, "rep").select("rep", F.slice("common.token", F.lit(1), F.greatest(spare.cast("int"), F.lit(0))).alias("tokens")).where("size(tokens) > 0")
+    probes = common.join(reps.drop("digest"), "rep").select("rep", F.slice("common.token", F.lit(1), F.greatest(spare.cast("int"), F.lit(0))).alias("tokens")).where("size(tokens) > 0")
     probes = cut(probes)
-    # groups: classes with the same rarest common token, in pieces of about `group`
+    # groups: classes with the same lowest prefix token, in pieces of about `group`
     keyed = probes.select("rep", F.array_min("tokens").alias("key"))
     pieces = keyed.groupBy("key").agg(F.ceil(F.count("*") / group).alias("pieces"))
     grouped = cut(keyed.join(pieces, "key").select("rep", F.xxhash64("key", F.pmod(F.xxhash64("rep"), F.col("pieces"))).alias("gid")))
@@ -170,8 +170,8 @@ def similar_classes(docs: DataFrame, percent: int = 75, width: int = 5, sample:
     links = both.mapInArrow(_opened(percent, each), "a long, b long, common long, total long" if each else "a long, b long, links long")
     if each:
         links = links.selectExpr("least(a, b) AS a", "greatest(a, b) AS b", "common", "total")
-    classes = full.groupBy("digest", "n").agg(F.min("doc_id").alias("rep"))
-    members = base.select("doc_id", "n", "digest").join(classes, ["digest", "n"], "left").select("doc_id", "n", "rep")
+    # both sides are written tables, so that a large class of copies can be split among tasks
+    members = base.select("doc_id", "n", "digest").join(reps.select("digest", "n", "rep"), ["digest", "n"], "left").select("doc_id", "n", "rep")
     return members, links
 
 
