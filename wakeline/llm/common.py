@@ -33,9 +33,15 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df written to the shared folder and read again: lineage ends here and survives lost executors."""
+def cut(df: DataFrame, light: bool = False) -> DataFrame:
+    """df written to the shared folder and read again: lineage ends here and survives lost executors.
+
+    light is for tables of keys and links, whose shuffle partitions are small: at most four files are written for each
+    core of the cluster, rather than one for each partition.
+    """
     spark = df.sparkSession
+    if light:
+        df = df.coalesce(4 * spark.sparkContext.defaultParallelism)
     path = f"{shared_dir(spark)}/wakeline-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -188,7 +194,7 @@ def components(edges: DataFrame) -> DataFrame:
     smallest one, with partial minima before each shuffle, so a node with many links is no bottleneck. Each round is
     cut in the shared folder. Nodes without links and null ends do not occur in the result; no edges give no rows.
     """
-    e = cut(edges.selectExpr("greatest(a, b) AS a", "least(a, b) AS b").where("a <> b").distinct())
+    e = cut(edges.selectExpr("greatest(a, b) AS a", "least(a, b) AS b").where("a <> b").distinct(), light=True)
     before = None
     while True:
         both = e.unionByName(e.selectExpr("b AS a", "a AS b"))
@@ -196,7 +202,7 @@ def components(edges: DataFrame) -> DataFrame:
         e = both.where("b > a").join(low, "a").selectExpr("b AS a", "m AS b").where("a <> b").distinct()
         low = e.groupBy("a").agg(F.min("b").alias("m"))
         hung = e.join(low, "a").selectExpr("b AS a", "m AS b").where("a <> b").unionByName(low.selectExpr("a", "m AS b"))
-        e = cut(hung.distinct())
+        e = cut(hung.distinct(), light=True)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).head()
         if now == before:
             break

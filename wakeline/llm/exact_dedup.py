@@ -56,7 +56,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     d = cut(text_digests(docs, id_col, text_col))
     stats = d.join(F.broadcast(frequent(d, heavy)), "digest").groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    hot = cut(stats)
+    hot = cut(stats, light=True)
     here = d.join(F.broadcast(hot), "digest")
     losers = here.where("NOT doc_id <=> keep_id").withColumn("kept", F.lit(False))
     first = Window.partitionBy("digest").orderBy(F.desc("doc_id"))

@@ -165,7 +165,7 @@ def line_components(docs: DataFrame, width: int = 8, percent: int = 75, bands: i
     a bit map of 2 ** filter_bits bits leaves out most others before the join."""
     spark = docs.sparkSession
     with small_batches(spark, 2500):
-        pairs = cut(candidate_links(docs, width, bands, rows, text_col))
+        pairs = cut(candidate_links(docs, width, bands, rows, text_col), light=True)
     ends = pairs.selectExpr("a AS line").unionByName(pairs.selectExpr("b AS line")).distinct()
     spot = F.shiftrightunsigned("line", 64 - filter_bits)
     words = ends.groupBy(F.shiftright(spot, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(line, {64 - filter_bits}) & 63 AS int))")).alias("bits")).toArrow()
@@ -182,7 +182,7 @@ def line_components(docs: DataFrame, width: int = 8, percent: int = 75, bands: i
                 yield pa.RecordBatch.from_arrays([pa.array(line[at].view(np.int64)), pa.array([some[k] for k in at.tolist()], pa.string())], ["line", "text"])
 
     found = docs.select(text_col).mapInArrow(fetch, "line long, text string").join(ends, "line", "left_semi").groupBy("line").agg(F.min("text").alias("text"))
-    texts = cut(found)
+    texts = cut(found, light=True)
     one, two = (texts.select(F.col("line").alias(k), F.col("text").alias(f"t{k}")) for k in ("a", "b"))
     links = pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(_verified(width, percent), "a long, b long")
     return components(links)
@@ -230,7 +230,7 @@ def dedup_lines(docs: DataFrame, width: int = 8, percent: int = 75, bands: int =
                 kept_n.append(len(out))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(all_n, pa.int64()), pa.array(kept_n, pa.int64())], ["doc_id", "text", "n_lines", "n_kept"])
 
-    joined = plain.join(cut(kept).select(F.col("doc_id").alias("_id"), "kept"), F.col("doc_id").eqNullSafe(F.col("_id")), "left").select("doc_id", "text", "kept")
+    joined = plain.join(cut(kept, light=True).select(F.col("doc_id").alias("_id"), "kept"), F.col("doc_id").eqNullSafe(F.col("_id")), "left").select("doc_id", "text", "kept")
     return joined.mapInArrow(rebuild, f"doc_id {kind}, text string, n_lines long, n_kept long")
 
 

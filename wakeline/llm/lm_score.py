@@ -456,7 +456,7 @@ def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str
     d = _in_blocks(docs, [F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held.alias("held_out")], block_bytes)
     train = d.where("NOT held_out").select("text")
     with small_batches(spark, 2500):
-        words = cut(train.mapInArrow(_count_words(q), PACKED).groupBy("bucket").applyInArrow(_sum_words(q, pair_bits, count_bits), PACKED))
+        words = cut(train.mapInArrow(_count_words(q), PACKED).groupBy("bucket").applyInArrow(_sum_words(q, pair_bits, count_bits), PACKED), light=True)
     _free(spark)
     n_train, n_vocabulary = words.where("kind = 0").agg(F.coalesce(F.sum("block"), F.lit(0)), F.coalesce(F.sum(F.octet_length("k") / 8), F.lit(0)).cast("long")).head()
     bits, cells = np.zeros(1 << (pair_bits - 3), np.uint8), np.zeros(1 << count_bits, np.uint8)
@@ -467,7 +467,7 @@ def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str
     vocabulary = words.where("kind = 0")
     contexts = train.mapInArrow(_count_contexts(q, sent, pair_bits), PACKED)
     with small_batches(spark, 2500):
-        model = cut(contexts.groupBy("bucket").cogroup(vocabulary.groupBy("bucket")).applyInArrow(_learn(q, sent, count_bits, triple_bits), PACKED))
+        model = cut(contexts.groupBy("bucket").cogroup(vocabulary.groupBy("bucket")).applyInArrow(_learn(q, sent, count_bits, triple_bits), PACKED), light=True)
     _free(spark)
     kept = np.zeros(1 << (triple_bits - 3), np.uint8)
     for row in model.where("kind = 7").select("bucket", "k").toLocalIterator():
@@ -477,7 +477,7 @@ def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str
     asked = d.select("block", "text").mapInArrow(_ask(q, maps, pair_bits, triple_bits), PACKED)
     known = vocabulary.unionByName(model.where("kind < 7"))
     with small_batches(spark, 2500):
-        answers = cut(asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_answer, PACKED))
+        answers = cut(asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_answer, PACKED), light=True)
     _free(spark)
     kind = docs.schema[id_col].dataType.simpleString()
     out = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, in_context long"

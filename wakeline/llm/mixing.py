@@ -36,13 +36,13 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = 12, ever
     for k, t in targets.items():
         c = c.join(t.select(F.col("value").alias(f"_v_{k}"), F.col("share").alias(f"_t_{k}")), F.col(k).eqNullSafe(F.col(f"_v_{k}")), "left").drop(f"_v_{k}")
         c = c.withColumn(f"_t_{k}", F.coalesce(f"_t_{k}", F.when(F.col("tokens") > 0, 0.0).otherwise(1.0)))
-    c = cut(c.withColumn("_all", F.sum("tokens").over(Window.partitionBy(F.lit(1))).cast("double")))
+    c = cut(c.withColumn("_all", F.sum("tokens").over(Window.partitionBy(F.lit(1))).cast("double")), light=True)
     for i in range(rounds):
         for k in targets:
             now = F.sum(F.col("tokens") * F.col("weight")).over(Window.partitionBy(k))
             c = c.withColumn("weight", F.when(now > 0, F.col("weight") * F.col(f"_t_{k}") * F.col("_all") / now).otherwise(F.col("weight")))
         if i % every == every - 1 and i + 1 < rounds:
-            c = cut(c)
+            c = cut(c, light=True)
     return c.select(*cells.columns, "weight")
 
 
@@ -74,9 +74,9 @@ def mixing(described: DataFrame, power: float = 0.7, rounds: int = 12, fraction:
     are a value of their own; documents without tokens have their cell's rate; an empty table gives none. described
     should be a written table: it is read once for the cells and once for the result.
     """
-    cells = cut(described.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")))
+    cells = cut(described.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), light=True)
     targets = targets or {k: tempered(cells, k, power) for k in DIMENSIONS}
-    raked = cut(rates(rake(cells, targets, rounds), fraction)).select(*(F.col(k).alias(f"_{k}") for k in DIMENSIONS), "weight", "probability")
+    raked = cut(rates(rake(cells, targets, rounds), fraction), light=True).select(*(F.col(k).alias(f"_{k}") for k in DIMENSIONS), "weight", "probability")
     on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in DIMENSIONS]
     d = described.join(raked, on, "left").drop(*(f"_{k}" for k in DIMENSIONS))
     return d.withColumn("sampled", uniform(F.col(id_col), seed) < F.col("probability"))

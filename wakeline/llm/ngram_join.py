@@ -138,24 +138,24 @@ def similar_classes(docs: DataFrame, percent: int = 75, width: int = 5, sample:
     base = cut(sketches(docs, sample, width, id_col, text_col))
     full = base.where("n > 0 AND doc_id IS NOT NULL")
     reps = full.groupBy("digest", "n").agg(F.min("doc_id").alias("rep"), F.first("tokens").alias("tokens"))
-    reps = cut(reps)
+    reps = cut(reps, light=True)
     # tokens that at least two classes have, with their document frequency
     entries = reps.select("rep", F.explode("tokens").alias("token"))
-    shared = cut(entries.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"))
+    shared = cut(entries.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), light=True)
     common = entries.join(shared, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct(F.when(F.col("df") > hot, F.col("df")).otherwise(0).alias("hot"), "token"))).alias("common"))
     spare = F.when(F.col("n") * 100 <= sample * percent, F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).otherwise(F.size("tokens") - least + 1) - (F.size("tokens") - F.size("common"))
     probes = common.join(reps.drop("digest"), "rep").select("rep", F.slice("common.token", F.lit(1), F.greatest(spare.cast("int"), F.lit(0))).alias("tokens")).where("size(tokens) > 0")
-    probes = cut(probes)
+    probes = cut(probes, light=True)
     # groups: classes with the same lowest prefix token, in pieces of about `group`
     keyed = probes.select("rep", F.array_min("tokens").alias("key"))
     pieces = keyed.groupBy("key").agg(F.ceil(F.count("*") / group).alias("pieces"))
-    grouped = cut(keyed.join(pieces, "key").select("rep", F.xxhash64("key", F.pmod(F.xxhash64("rep"), F.col("pieces"))).alias("gid")))
+    grouped = cut(keyed.join(pieces, "key").select("rep", F.xxhash64("key", F.pmod(F.xxhash64("rep"), F.col("pieces"))).alias("gid")), light=True)
     # the matrix, and the pairs of groups it opens
     matrix = probes.select("rep", F.explode("tokens").alias("token")).join(grouped, "rep").select("token", "gid").distinct()
-    matrix = cut(matrix)
+    matrix = cut(matrix, light=True)
     met = matrix.selectExpr("token", "gid AS g1").join(matrix.selectExpr("token", "gid AS g2"), "token").where("g1 < g2").select("g1", "g2").distinct()
     alone = grouped.groupBy("gid").count().where("count > 1").selectExpr("gid AS g1", "gid AS g2")
-    pairs = cut(met.unionByName(alone))
+    pairs = cut(met.unionByName(alone), light=True)
     # whole sets of the members of opened groups only, packed by group; merge joins at any size, so that disk grows evenly
     opened = pairs.selectExpr("g1 AS gid").unionByName(pairs.selectExpr("g2 AS gid")).distinct()
     need = grouped.join(opened, "gid", "left_semi").withColumnRenamed("rep", "doc_id")
@@ -180,7 +180,7 @@ def similar_documents(docs: DataFrame, percent: int = 75, width: int = 5, id_col
     (of its class to other classes). Empty tables give no rows; see similar_classes for nulls and short texts."""
     members, links = similar_classes(docs, percent, width, each=False, id_col=id_col, text_col=text_col, **more)
     with small_batches(docs.sparkSession):
-        links = cut(links)
+        links = cut(links, light=True)
     comp = components(links.select("a", "b"))
     degree = links.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     found = degree.join(comp.withColumnRenamed("node", "rep"), "rep", "left")

@@ -96,7 +96,7 @@ def quartiles(sketches: DataFrame, by: list[str]) -> DataFrame:
 def thresholds(sketches: DataFrame, min_rows: int = 100) -> DataFrame:
     """lang, source and for each measure lo_ and hi_: from the group's own sketch if it has min_rows, else its
     language's, else that of all rows. Null languages and sources are groups of their own."""
-    sketches = cut(sketches)
+    sketches = cut(sketches, light=True)
     own, lang, every = quartiles(sketches, ["lang", "source"]), quartiles(sketches, ["lang"]), quartiles(sketches, [])
     names = [x.withColumnsRenamed({c: f"{p}_{c}" for c in ("rows", "q1", "q3")}) for x, p in ((own, "o"), (lang, "l"), (every, "e"))]
     lang = names[1].withColumnsRenamed({"lang": "l_lang", "measure": "l_measure"})

@@ -226,7 +226,7 @@ def round_trip(pages: DataFrame, **options) -> DataFrame:
         archives = cut(write(pages, **options))
     with small_batches(pages.sparkSession, 1):
         back = payloads(records(archives)).select("record_id", "type", "refers_to", F.octet_length("payload").cast("long").alias("bytes"), F.sha1("payload").alias("digest"))
-        back = cut(back)
+        back = cut(back, light=True)
     page = lambda c: F.substring(c, len(_PAGE) + 1, 64).cast("long")
     origin = back.where("type = 'response'").selectExpr("record_id AS refers_to", "bytes AS whole", "digest AS own").distinct()
     revisits = back.where("type = 'revisit'").drop("bytes", "digest").join(origin, "refers_to", "left")
