@@ -80,12 +80,30 @@ def _marked(bits: np.ndarray, i: np.ndarray) -> np.ndarray:
     return ((bits[i >> _U(3)] >> (_U(7) - (i & _U(7))).astype(np.uint8)) & 1).astype(bool)
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """First all lowest bytes, then all next ones: high bytes of small numbers make runs that compression removes."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
+def _unplaned(data: bytes, dtype: str) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
+
+
+def _thin(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences, by planes."""
+    return _planes(np.diff(keys, prepend=keys.dtype.type(0)))
+
+
+def _full(data: bytes, dtype: str = "<u8") -> np.ndarray:
+    return np.cumsum(_unplaned(data, dtype), dtype=dtype)
+
+
 def _dealt(kind: int, block: int, keys: np.ndarray, values: list[np.ndarray], q: int) -> Iterator[tuple]:
     """Rows by bucket, the top q bits, of sorted keys; several arrays of values follow each other."""
     at = np.searchsorted(keys >> _U(64 - q), np.arange((1 << q) + 1, dtype=np.uint64))
     for b in np.flatnonzero(np.diff(at)).tolist():
         i, j = at[b], at[b + 1]
-        yield b, kind, block, keys[i:j].tobytes(), b"".join([v[i:j].tobytes() for v in values])
+        yield b, kind, block, _thin(keys[i:j]), b"".join([_planes(v[i:j]) for v in values])
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -108,6 +126,13 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts[:0]
 
 
+def _arrived(table: pa.Table, kind: int, keys: str, counts: str) -> tuple[np.ndarray, np.ndarray]:
+    """All keys and counts of a kind that tasks have dealt."""
+    found = [(_full(k, keys), _unplaned(v, counts)) for x, k, v in zip(table["kind"].to_pylist(), table["k"].to_pylist(), table["v"].to_pylist(), strict=True) if x == kind]
+    k, v = zip(*found, strict=True) if found else ([np.zeros(0, keys)], [np.zeros(0, counts)])
+    return np.concatenate(k), np.concatenate(v).astype(np.int64)
+
+
 def _joined(table: pa.Table, kind: int, column: str, dtype: str) -> np.ndarray:
     kinds = table["kind"].to_numpy()
     return np.frombuffer(b"".join([x for x, k in zip(table[column].to_pylist(), kinds, strict=True) if k == kind]), dtype)
@@ -150,7 +175,7 @@ def _count_words(q: int):
         k, n = _merged(pairs, 1)
         at = np.searchsorted(k >> _U(32), np.arange((1 << q) + 1, dtype=np.uint64))
         low, n = k.astype("<u4"), np.minimum(n, 255).astype(np.uint8)
-        rows += [(b, 1, 0, low[at[b] : at[b + 1]].tobytes(), n[at[b] : at[b + 1]].tobytes()) for b in np.flatnonzero(np.diff(at)).tolist()]
+        rows += [(b, 1, 0, _thin(low[at[b] : at[b + 1]]), n[at[b] : at[b + 1]].tobytes()) for b in np.flatnonzero(np.diff(at)).tolist()]
         return _rows(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,8 +198,8 @@ def _sum_words(q: int, pair_bits: int, count_bits: int):
 
     def run(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()
-        words, n = _summed(_joined(table, 0, "k", "<u8"), _joined(table, 0, "v", "<u4").astype(np.int64))
-        pairs, m = _summed(_joined(table, 1, "k", "<u4"), _joined(table, 1, "v", "u1").astype(np.int64))
+        words, n = _summed(*_arrived(table, 0, "<u8", "<u4"))
+        pairs, m = _summed(*_arrived(table, 1, "<u4", "u1"))
         bits = np.zeros(1 << (pair_bits - q), np.uint8)
         bits[pairs[m >= LEAST] >> (32 - (pair_bits - q))] = 1
         cells = np.zeros(1 << (count_bits - q), np.uint8)
@@ -222,8 +247,8 @@ def _contexts(table: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray, np.nd
     ks, vs = [], []
     for k, v in ((k.as_py(), v.as_py()) for k, v, x in zip(table["k"], table["v"], table["kind"].to_pylist(), strict=True) if x == kind):
         n = len(k) // 8
-        ks.append(np.stack((np.frombuffer(k, "<u8"), np.frombuffer(v[: 8 * n], "<u8")), 1))
-        vs.append(np.frombuffer(v[8 * n :], "<u4"))
+        ks.append(np.stack((_full(k), _unplaned(v[: 8 * n], "<u8")), 1))
+        vs.append(_unplaned(v[8 * n :], "<u4"))
     if not ks:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     k, n = np.concatenate(ks), np.concatenate(vs).astype(np.int64)
@@ -272,7 +297,7 @@ def _learn(q: int, sent, count_bits: int, triple_bits: int):
         cells, all_words = sent.value[1], sent.value[2]
         bucket = (table if table.num_rows else words)["bucket"][0].as_py()
         vocabulary = (_joined(words, 0, "k", "<u8"), _joined(words, 0, "v", "<i8"))
-        pairs, n = _summed(_joined(table, 3, "k", "<u8"), _joined(table, 3, "v", "<u4").astype(np.int64))
+        pairs, n = _summed(*_arrived(table, 3, "<u8", "<u4"))
         pairs, n = pairs[n >= LEAST], n[n >= LEAST]
         rows = [(bucket, 4, 0, pairs.tobytes(), n.astype("<u4").tobytes())]
         for kind, totals in ((1, vocabulary), (2, (pairs, n))):
@@ -367,13 +392,13 @@ def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
         pieces[kind] = (k, v[: len(k)], v[len(k) :])
     rows = []
     for bucket, kind, block, k in zip(*(asked[c].to_pylist() for c in ("bucket", "kind", "block", "k")), strict=True):
-        wanted = np.frombuffer(k, "<u8")
+        wanted = _full(k)
         (n,) = _find(pieces[(0, 4, 6)[kind]][0], wanted, pieces[(0, 4, 6)[kind]][1])
         values = [n]
         if kind < 2:
             s = pieces[(3, 5)[kind]]
             values += _find(s[0], wanted, s[1], s[2])
-        rows.append((bucket, kind, block, b"", b"".join([x.tobytes() for x in values])))
+        rows.append((bucket, kind, block, b"", b"".join([_planes(x) for x in values])))
     return pa.Table.from_batches([_rows(rows)])
 
 
@@ -382,9 +407,10 @@ def _aligned(answers: pa.Table, kind: int, count: str) -> list[np.ndarray]:
     each, out = np.dtype(count).itemsize + (8 if kind < 2 else 0), []
     for _, v in found:
         n = len(v) // each
-        part = [np.frombuffer(v, count, n)]
+        size = n * np.dtype(count).itemsize
+        part = [_unplaned(v[:size], count)]
         if kind < 2:
-            part += [np.frombuffer(v, "<f4", n, part[0].nbytes), np.frombuffer(v, "<f4", n, part[0].nbytes + 4 * n)]
+            part += [_unplaned(v[size : size + 4 * n], "<f4"), _unplaned(v[size + 4 * n :], "<f4")]
         out.append(part)
     return [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, count), np.zeros(0, "<f4"), np.zeros(0, "<f4")]
 
