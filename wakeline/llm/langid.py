@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix
+from .common import mix, trim
 
 ORDERS = (1, 2, 3)
 _SPACE = 32
@@ -107,6 +107,7 @@ def predict(docs: DataFrame, model: Model, carry: list[Column], text_col: str =
                     if any(map(str.isalpha, t)):
                         lang[first + i], best[first + i] = labels[top[i]], p[i]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(best)], [*names, "lang_pred", "score"])
+        trim()
 
     fields = [*(f"{n} {plain.schema[n].dataType.simpleString()}" for n in names), "lang_pred string", "score double"]
     return plain.mapInArrow(score, ", ".join(fields))

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _powers, components, cut, mix, partitions, small_batches
+from .common import _powers, components, cut, mix, partitions, small_batches, trim
 
 _U = np.uint64
 
@@ -123,6 +123,7 @@ def _bands(width: int, bands: int, rows: int, buckets: int):
                 out.append((int(a[0] % _U(buckets)), True, a.tobytes(), b.tobytes()))
             kinds = (pa.int32(), pa.bool_(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["bucket", "link", "a", "b"])
+        trim()
 
     return run
 
@@ -180,6 +181,7 @@ def line_components(docs: DataFrame, width: int = 8, percent: int = 75, bands: i
                 i = line >> _U(64 - filter_bits)
                 at = np.flatnonzero((sent.value[i >> _U(6)] >> (i & _U(63))) & _U(1))
                 yield pa.RecordBatch.from_arrays([pa.array(line[at].view(np.int64)), pa.array([some[k] for k in at.tolist()], pa.string())], ["line", "text"])
+        trim()
 
     found = docs.select(text_col).mapInArrow(fetch, "line long, text string").join(ends, "line", "left_semi").groupBy("line").agg(F.min("text").alias("text"))
     texts = cut(found, light=True)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, components, cut, mix, shingles, small_batches, word_hashes
+from .common import chunks, components, cut, mix, shingles, small_batches, trim, word_hashes
 
 
 def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
@@ -45,6 +45,7 @@ def sketches(docs: DataFrame, sample: int, width: int, id_col: str = "doc_id", t
                     [batch.column(0)[i:j], pa.array(n), pa.array(digest), _lists([s[:sample].view(np.int64) for s in sets], pa.int64())],
                     ["doc_id", "n", "digest", "tokens"],
                 )
+        trim()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(sketch, f"doc_id {kind}, n long, digest long, tokens array<long>")
@@ -58,6 +59,7 @@ def shingle_sets(docs: DataFrame, width: int, id_col: str = "doc_id", text_col:
             for i, j, a, offsets in chunks(batch.column(1)):
                 sets = shingles(*word_hashes(a, offsets), width)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "grams"])
+        trim()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(pack, f"doc_id {kind}, grams binary")
@@ -122,6 +124,7 @@ def _opened(percent: int, each: bool):
                 out += links if each else _stars(links)
             cols = list(zip(*out, strict=True)) or [[]] * (4 if each else 3)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b", "common", "total"] if each else ["a", "b", "links"])
+        trim()
 
     return run
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, span_hashes, word_spans
+from .common import chunks, span_hashes, trim, word_spans
 
 SCHEMA = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 #: Pieces of text that the pattern of the vocabulary file keeps; white space never occurs within one.
@@ -32,7 +32,7 @@ class Encoder:
     hashes of their bytes; their ids lie in one growing array. At `most` strings all are forgotten, which costs time only.
     """
 
-    def __init__(self, path: str, most: int = 1_000_000) -> None:
+    def __init__(self, path: str, most: int = 400_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import regex
         from tokenizers import Tokenizer, pre_tokenizers
@@ -94,7 +94,7 @@ class Encoder:
 
     def encode(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first row, ids of some rows, their offsets among these)."""
-        for first, _, a, offsets in chunks(column, 4 << 20, lower=False):
+        for first, _, a, offsets in chunks(column, 2 << 20, lower=False):
             b, e, at = word_spans(a, offsets)
             keys, place, back = np.unique(span_hashes(a, b, e), return_index=True, return_inverse=True)
             keys = keys.tolist()
@@ -203,6 +203,7 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = 409
                 yield rows(out, kind)
         if kind is not None:
             yield rows(bins.rest(), kind)
+        trim()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, {SCHEMA}")
