@@ -32,7 +32,7 @@ class Encoder:
     hashes of their bytes; their ids lie in one growing array. At `most` strings all are forgotten, which costs time only.
     """
 
-    def __init__(self, path: str, most: int = 400_000) -> None:
+    def __init__(self, path: str, most: int = 800_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import regex
         from tokenizers import Tokenizer, pre_tokenizers
@@ -94,7 +94,7 @@ class Encoder:
 
     def encode(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first row, ids of some rows, their offsets among these)."""
-        for first, _, a, offsets in chunks(column, 2 << 20, lower=False):
+        for first, _, a, offsets in chunks(column, 4 << 20, lower=False):
             b, e, at = word_spans(a, offsets)
             keys, place, back = np.unique(span_hashes(a, b, e), return_index=True, return_inverse=True)
             keys = keys.tolist()
