@@ -92,6 +92,21 @@ def test_scores_by_brute_force(spark, documents):
     assert len(states) > 100 and deep > 100 and wrong <= 2
 
 
+def test_rare_contexts_stay_in_large_corpora(spark):
+    """A pair seen four times is a context, also beside 600 MB of other training text (white space, to be quick)."""
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 != 2][:4] + [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2][:1]
+    few = spark.createDataFrame([(i, f"a{i} zebra quagga b{i}") for i in ids], "doc_id long, text string")
+    blank = spark.range(300, numPartitions=32).selectExpr("cast(null AS long) AS doc_id", "repeat(' ', 2000000) AS text")
+    for docs in (few, few.unionByName(blank)):
+        got = {r.doc_id: r for r in lm_score.score_texts(docs).where("doc_id IS NOT NULL").collect()}
+        assert [got[i].in_context for i in ids] == [1] * 5
+
+
+def test_bit_maps_do_not_matter(spark, documents):
+    scores = [{r.doc_id: (r.score, r.in_context) for r in lm_score.score_texts(documents, pair_bits=b, triple_bits=b).collect()} for b in (14, 27)]
+    assert scores[0] == scores[1]
+
+
 def test_state_masses():
     context = np.array([1, 1, 1, 2, 2], np.uint64)
     n = np.array([50, 30, 10, 3, 3], np.int64)

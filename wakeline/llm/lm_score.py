@@ -3,13 +3,13 @@
 States are the empty context and the one- and two-word contexts that predict their next word better than the empty one
 does: a context is retained when its leave-one-out log-likelihood ratio (its divergence, counted without the occurrence
 at hand) is positive. Its distribution keeps the words seen at least three
-times, and once in 150 MB of training text (the smallest probability of a usual suffix tree), discounted, and leaves the rest of its mass
-to the smoothed word distribution. A word is scored by the longest retained suffix of what precedes it that beats the
+times, whatever the size of the corpus, discounted, and leaves the rest of its mass to the smoothed word distribution. A word is scored by the longest retained suffix of what precedes it that beats the
 next shorter one by that measure.
 
 Nothing of the corpus is held whole anywhere. Counts are packed arrays dealt into buckets of a 64-bit key space; texts
-ask for the counts they need by block of input and get them back aligned to their sorted keys. What is broadcast has a
-fixed size: bit maps of pairs seen so often and of kept triples (2 ** pair_bits and 2 ** triple_bits bits), and a table of rounded word counts (2 ** count_bits
+ask for the counts they need by block of input and get them back aligned to their sorted keys. What is broadcast is
+bounded: bit maps of pairs seen so often and of kept triples (2 ** pair_bits and 2 ** triple_bits bits), which only keep
+others from being sent and grow with the training text up to MOST_BITS, and a table of rounded word counts (2 ** count_bits
 bytes) that only the retention test uses.
 """
 
@@ -30,8 +30,10 @@ _U = np.uint64
 _K = _U(0x9E3779B97F4A7C15)
 END = int(mix(np.array([0x2545F4914F6CDD1D], np.uint64))[0])
 DISCOUNT = 0.75
-#: How often a pair or triple must occur at least to be kept in a context's distribution, however small the corpus.
+#: How often a pair or triple must occur at least to be kept in a context's distribution, at any size of corpus.
 LEAST = 3
+#: Bits of the map of pairs, as a power of 2: from 8 bytes of training text for a bit, within these bounds.
+LEAST_BITS, MOST_BITS = 26, 29
 PACKED = "bucket int, kind int, block long, k binary, v binary"
 NAMES = ["bucket", "kind", "block", "k", "v"]
 
@@ -194,7 +196,7 @@ def _count_words(q: int):
     return run
 
 
-def _sum_words(q: int, pair_bits: int, count_bits: int, least: int):
+def _sum_words(q: int, pair_bits: int, count_bits: int):
     """Of a bucket: its words and counts (kind 0, block: their sum), its part of the bit map (1) and of the count table (2)."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -202,7 +204,7 @@ def _sum_words(q: int, pair_bits: int, count_bits: int, least: int):
         words, n = _summed(*_arrived(table, 0, "<u8", "<u4"))
         pairs, m = _summed(*_arrived(table, 1, "<u4", "u1"))
         bits = np.zeros(1 << (pair_bits - q), np.uint8)
-        bits[pairs[m >= least] >> (32 - (pair_bits - q))] = 1
+        bits[pairs[m >= LEAST] >> (32 - (pair_bits - q))] = 1
         cells = np.zeros(1 << (count_bits - q), np.uint8)
         np.maximum.at(cells, (words >> _U(64 - count_bits)) & _U((1 << (count_bits - q)) - 1), np.minimum(255, np.ceil(6 * np.log2(n + 1))).astype(np.uint8))
         rows = [(bucket, 0, int(n.sum()), words.tobytes(), n.tobytes()), (bucket, 1, 0, np.packbits(bits).tobytes(), b""), (bucket, 2, 0, cells.tobytes(), b"")]
@@ -268,9 +270,9 @@ def _find(keys: np.ndarray, wanted: np.ndarray, *values: np.ndarray) -> list[np.
     return [np.where(hit, v[at], v.dtype.type(0)) for v in values]
 
 
-def _states(context: np.ndarray, n: np.ndarray, share: np.ndarray, total_of: tuple[np.ndarray, np.ndarray], least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _states(context: np.ndarray, n: np.ndarray, share: np.ndarray, total_of: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Retained contexts, the mass they leave to the word distribution, and their gain per occurrence. n is at least
-    least for each; share is the next word's share of all words."""
+    LEAST for each; share is the next word's share of all words."""
     if not len(context):
         return context, np.zeros(0, np.float32), np.zeros(0, np.float32)
     first = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
@@ -283,14 +285,14 @@ def _states(context: np.ndarray, n: np.ndarray, share: np.ndarray, total_of: tup
     less = np.maximum(total - 1, 1)
     left = (DISCOUNT * kept + rest) / less
     seen_again = np.log10(np.maximum((n - 1 - DISCOUNT) / each(less) / share + each(left), 1e-9))
-    dropped = np.log10(np.maximum((DISCOUNT * (kept - 1) + rest + least - 1) / less, 1e-9))
-    gain = np.add.reduceat(n * np.where(n > least, seen_again, each(dropped)), first)
+    dropped = np.log10(np.maximum((DISCOUNT * (kept - 1) + rest + LEAST - 1) / less, 1e-9))
+    gain = np.add.reduceat(n * np.where(n > LEAST, seen_again, each(dropped)), first)
     gain = (gain + rest * np.log10(np.maximum((DISCOUNT * kept + rest - 1) / less, 1e-9))) / total
     ok = gain > 0
     return states[ok], ((DISCOUNT * kept + rest) / total)[ok].astype("<f4"), gain[ok].astype("<f4")
 
 
-def _learn(q: int, sent, count_bits: int, triple_bits: int, least: int):
+def _learn(q: int, sent, count_bits: int, triple_bits: int):
     """Of a bucket: word states (kind 3), pairs with counts (4), pair states (5), triples of pair states with counts (6),
     and its part of the bit map of these triples (7)."""
 
@@ -299,13 +301,13 @@ def _learn(q: int, sent, count_bits: int, triple_bits: int, least: int):
         bucket = (table if table.num_rows else words)["bucket"][0].as_py()
         vocabulary = (_joined(words, 0, "k", "<u8"), _joined(words, 0, "v", "<i8"))
         pairs, n = _summed(*_arrived(table, 3, "<u8", "<u4"))
-        pairs, n = pairs[n >= least], n[n >= least]
+        pairs, n = pairs[n >= LEAST], n[n >= LEAST]
         rows = [(bucket, 4, 0, pairs.tobytes(), n.astype("<u4").tobytes())]
         for kind, totals in ((1, vocabulary), (2, (pairs, n))):
             context, after, m = _contexts(table, kind)
-            context, after, m = context[m >= least], after[m >= least], m[m >= least]
+            context, after, m = context[m >= LEAST], after[m >= LEAST], m[m >= LEAST]
             share = 2.0 ** (cells[after >> _U(64 - count_bits)] / 6) / all_words
-            states, left, gain = _states(context, m, share, totals, least)
+            states, left, gain = _states(context, m, share, totals)
             rows.append((bucket, 3 if kind == 1 else 5, 0, states.tobytes(), left.tobytes() + gain.tobytes()))
             if kind == 2:
                 (mine,) = _find(states, context, np.ones(len(states), bool))
@@ -416,7 +418,7 @@ def _aligned(answers: pa.Table, kind: int, count: str) -> list[np.ndarray]:
     return [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, count), np.zeros(0, "<f4"), np.zeros(0, "<f4")]
 
 
-def _score(q: int, sent, pair_bits: int, triple_bits: int, n_train: int, n_vocabulary: int, least: int):
+def _score(q: int, sent, pair_bits: int, triple_bits: int, n_train: int, n_vocabulary: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         wanted = _Wanted(q, sent, pair_bits, triple_bits)
         portions = [(b, wanted.add(b.column(1))) for x in docs["packed"] for b in pa.ipc.open_stream(x.as_buffer())]
@@ -439,7 +441,7 @@ def _score(q: int, sent, pair_bits: int, triple_bits: int, n_train: int, n_vocab
         pair &= ~one | (before(gain2) > before(gain1))
         p = share.copy()
         at = one & ~pair
-        p[at] = before(left1)[at] * share[at] + np.maximum(n2[at] - DISCOUNT, 0) * (n2[at] >= least) / before(n_w)[at]
+        p[at] = before(left1)[at] * share[at] + np.maximum(n2[at] - DISCOUNT, 0) * (n2[at] >= LEAST) / before(n_w)[at]
         p[pair] = before(left2)[pair] * share[pair] + np.maximum(n3[pair] - DISCOUNT, 0) / before(n2)[pair]
         total = lambda x: np.add.reduceat(x, t.starts) if size else x
         columns = {
@@ -469,22 +471,26 @@ def _in_blocks(docs: DataFrame, columns: list[Column], block_bytes: int) -> Data
         return keyed(written, [F.col(c) for c in written.columns])
 
 
-def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str = "doc_id", text_col: str = "text", pair_bits: int = 26, count_bits: int = 23, triple_bits: int = 25, block_bytes: int = 4 << 20, rare_bytes: int = 150_000_000) -> DataFrame:
+def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str = "doc_id", text_col: str = "text", pair_bits: int | None = None, count_bits: int = 23, triple_bits: int | None = None, block_bytes: int = 4 << 20) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and in_context (tokens scored in a context
     of one or two words) of each document.
 
     The model learns from the documents whose crc32 of the id as text is not `held_out` modulo `folds`. Words are ended
     by ASCII white space, A-Z lower-cased; each text ends with a token of its own, so null and empty texts have one
-    token. Rows that repeat count again. A null id is learned from. An empty table gives no rows.
+    token. Rows that repeat count again. A null id is learned from. An empty table gives no rows. pair_bits and
+    triple_bits do not change the scores; by default they follow the size of the training text.
     """
     spark = docs.sparkSession
     q = min(12, max(5, (2 * partitions(spark) - 1).bit_length()))
     held = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == held_out, F.lit(False))
     d = _in_blocks(docs, [F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held.alias("held_out")], block_bytes)
     train = d.where("NOT held_out").select("text")
-    least = max(LEAST, round((train.agg(F.sum(F.octet_length("text"))).head()[0] or 0) / rare_bytes))
+    if pair_bits is None:
+        size = train.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+        pair_bits = min(MOST_BITS, max(LEAST_BITS, (size // 8).bit_length()))
+    triple_bits = pair_bits - 1 if triple_bits is None else triple_bits
     with small_batches(spark, 2500):
-        words = cut(train.mapInArrow(_count_words(q), PACKED).groupBy("bucket").applyInArrow(_sum_words(q, pair_bits, count_bits, least), PACKED), light=True)
+        words = cut(train.mapInArrow(_count_words(q), PACKED).groupBy("bucket").applyInArrow(_sum_words(q, pair_bits, count_bits), PACKED), light=True)
     _free(spark)
     n_train, n_vocabulary = words.where("kind = 0").agg(F.coalesce(F.sum("block"), F.lit(0)), F.coalesce(F.sum(F.octet_length("k") / 8), F.lit(0)).cast("long")).head()
     bits, cells = np.zeros(1 << (pair_bits - 3), np.uint8), np.zeros(1 << count_bits, np.uint8)
@@ -495,7 +501,7 @@ def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str
     vocabulary = words.where("kind = 0")
     contexts = train.mapInArrow(_count_contexts(q, sent, pair_bits), PACKED)
     with small_batches(spark, 2500):
-        model = cut(contexts.groupBy("bucket").cogroup(vocabulary.groupBy("bucket")).applyInArrow(_learn(q, sent, count_bits, triple_bits, least), PACKED), light=True)
+        model = cut(contexts.groupBy("bucket").cogroup(vocabulary.groupBy("bucket")).applyInArrow(_learn(q, sent, count_bits, triple_bits), PACKED), light=True)
     _free(spark)
     kept = np.zeros(1 << (triple_bits - 3), np.uint8)
     for row in model.where("kind = 7").select("bucket", "k").toLocalIterator():
@@ -510,4 +516,4 @@ def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str
     kind = docs.schema[id_col].dataType.simpleString()
     out = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, in_context long"
     texts = d.select("block", "text", "doc_id", "held_out").mapInArrow(_pack, "block long, packed binary")
-    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(q, maps, pair_bits, triple_bits, n_train, n_vocabulary, least), out)
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(q, maps, pair_bits, triple_bits, n_train, n_vocabulary), out)
