@@ -187,6 +187,28 @@ def test_lines(spark, cases):
     assert wrong <= 0.005 * len(rows)
 
 
+@pytest.mark.parametrize("families, copies", [(30, 4), (300, 2)])
+def test_lines_of_a_template(spark, families, copies):
+    """All similar lines of a key are joined, also where its first line and the next one are unlike them."""
+    random.seed(5)
+    lines = []
+    for _ in range(families):
+        tail = [random.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(24)]
+        for _ in range(copies):
+            tail[random.randrange(3) * 11] = random.choice("0123456789")
+            lines.append("this line is a template that very many pages have in their foot " + "".join(tail))
+    lines = list(dict.fromkeys(lines))
+    g, first, ids = line_dedup.line_shingles(lines, 8)
+    sign, ids = line_dedup.signatures(g, first, 2), ids.view("int64").tolist()
+    sets = [frozenset(x[k : k + 8] for k in range(len(x) - 7)) for x in lines]
+    pairs = [(a, b) for a in range(len(lines)) for b in range(a) if (sign[:, a] == sign[:, b]).any()]
+    links = [(ids[a], ids[b]) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    want = {r.node: r.component for r in common.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string").repartition(5)
+    got = {r.node: r.component for r in line_dedup.line_components(docs, bands=2, rows=1).collect()}
+    assert got == want and families / 3 < len(set(want.values())) and len(links) < len(pairs) / 5
+
+
 def test_lines_edges(edges, none):
     got = line_dedup.dedup_lines(edges).collect()
     assert len(got) == edges.count() and line_dedup.dedup_lines(none).count() == 0

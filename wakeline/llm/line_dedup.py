@@ -4,8 +4,10 @@ Lines are compared by their distinct character shingles. MinHash signatures in b
 the defaults a pair just at the threshold is missed 5 times in 1000, one at 0.8 less than once in 1000), exact Jaccard
 similarity verifies them, and a distributed union-find gives the components, of which the first line stays.
 
-Band keys travel as packed arrays, dealt into buckets; each batch keeps one line for a key that many of its lines
-share and links the others to it on the spot, so a very common line is no bottleneck.
+Band keys travel as packed arrays, dealt into buckets. Of the lines of a key the first is compared with each and each
+with the next one, which joins most of them. Keys whose lines are then still in several components go on: all their
+lines of different components are compared, in tiles of bounded numbers of components, so that every proposed pair is
+either compared or within a component already. A very common line comes once from a batch and is no bottleneck.
 """
 
 from __future__ import annotations
@@ -14,7 +16,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,22 +82,31 @@ def signatures(g: np.ndarray, first: np.ndarray, count: int) -> np.ndarray:
     return out
 
 
+#: Lines of a key that its links, of each to the first and to the next one, compare completely.
+_FEW = 3
+#: Components of a key that one side of a tile holds, about.
+_SIDE = 128
+
+
 def _stars(keys: np.ndarray, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of (key, line): one line for each key, and links (a, b): of each key's lines to its first and to the next one."""
+    """Of (key, line): links (a, b) of each key's lines to its first and to the next one, and the distinct (key, line)
+    of keys with more lines than these links compare."""
     order = np.lexsort((lines, keys))
     keys, lines = keys[order], lines[order]
     new = np.concatenate(([True], (keys[1:] != keys[:-1]) | (lines[1:] != lines[:-1]))) if len(keys) else np.zeros(0, bool)
     keys, lines = keys[new], lines[new]
     head = np.concatenate(([True], keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, bool)
     at = np.flatnonzero(head)
-    leader = np.repeat(lines[at], np.diff(np.append(at, len(keys))))
+    size = np.diff(np.append(at, len(keys)))
+    leader, many = np.repeat(lines[at], size), np.repeat(size > _FEW, size)
     tail = np.flatnonzero(~head)
     a, b = np.concatenate((leader[tail], lines[tail - 1])), np.concatenate((lines[tail], lines[tail]))
-    return keys[at], lines[at], a, b
+    links = np.unique(np.stack((a, b), 1), axis=0) if len(a) else np.zeros((0, 2), np.uint64)
+    return links[:, 0], links[:, 1], keys[many], lines[many]
 
 
 def _bands(width: int, bands: int, rows: int, buckets: int):
-    """bucket, link, a, b: packed keys and lines, or packed links."""
+    """bucket, a, b: packed keys and lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,27 +123,25 @@ def _bands(width: int, bands: int, rows: int, buckets: int):
                     ids.append(line)
             if not keys:
                 continue
-            key, line, a, b = _stars(np.concatenate(keys), np.concatenate(ids))
+            key, line = np.concatenate(keys), np.concatenate(ids)
             to = (key % _U(buckets)).astype(np.int32)
             order = np.argsort(to, kind="stable")
             key, line, to = key[order], line[order], to[order]
             at = np.searchsorted(to, np.arange(buckets + 1))
-            out = [(int(x), False, key[at[x] : at[x + 1]].tobytes(), line[at[x] : at[x + 1]].tobytes()) for x in np.flatnonzero(np.diff(at))]
-            if len(a):
-                out.append((int(a[0] % _U(buckets)), True, a.tobytes(), b.tobytes()))
-            kinds = (pa.int32(), pa.bool_(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["bucket", "link", "a", "b"])
+            out = [(int(x), key[at[x] : at[x + 1]].tobytes(), line[at[x] : at[x + 1]].tobytes()) for x in np.flatnonzero(np.diff(at))]
+            kinds = (pa.int32(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["bucket", "a", "b"])
         trim()
 
     return run
 
 
 def _met(table: pa.Table) -> pa.Table:
-    """Links among the lines of each key of a bucket, and the links that came with it."""
-    link = table["link"]
-    keys, lines, one, two = (np.frombuffer(b"".join(table.filter(w)[c].to_pylist()), np.uint64) for w in (pc.invert(link), link) for c in ("a", "b"))
-    _, _, a, b = _stars(keys, lines)
-    return pa.table({"a": np.concatenate((a, one)).view(np.int64), "b": np.concatenate((b, two)).view(np.int64)})
+    """Of a bucket: links among the lines of each key, and members, the key as a and the line as b."""
+    keys, lines = (np.frombuffer(b"".join(table[c].to_pylist()), np.uint64) for c in ("a", "b"))
+    a, b, key, line = _stars(keys, lines)
+    member = np.arange(len(a) + len(key)) >= len(a)
+    return pa.table({"member": member, "a": np.concatenate((a, key)).view(np.int64), "b": np.concatenate((b, line)).view(np.int64)})
 
 
 def _verified(width: int, percent: int):
@@ -143,11 +151,12 @@ def _verified(width: int, percent: int):
             texts = [batch.column(k).to_pylist() for k in (2, 3)]
             ok = np.zeros(batch.num_rows, bool)
             for at in range(0, batch.num_rows, 256):
-                sets = []
-                for side in texts:
-                    g, first, _ = line_shingles(side[at : at + 256], width)
-                    sets.append([np.unique(x) for x in np.split(g, first[1:])])
-                for k, (x, y) in enumerate(zip(*sets, strict=True)):
+                # links come sorted by one of their lines, so the same texts recur
+                own = {t: k for k, t in enumerate(dict.fromkeys(t for side in texts for t in side[at : at + 256]))}
+                g, first, _ = line_shingles(list(own), width)
+                sets = [np.unique(x) for x in np.split(g, first[1:])]
+                for k, (t, u) in enumerate(zip(*(side[at : at + 256] for side in texts), strict=True)):
+                    x, y = sets[own[t]], sets[own[u]]
                     common = len(np.intersect1d(x, y, assume_unique=True))
                     ok[at + k] = 100 * common >= percent * (len(x) + len(y) - common)
             yield pa.RecordBatch.from_arrays([pa.array(ids[0][ok]), pa.array(ids[1][ok])], ["a", "b"])
@@ -156,9 +165,112 @@ def _verified(width: int, percent: int):
 
 
 def candidate_links(docs: DataFrame, width: int, bands: int, rows: int, text_col: str) -> DataFrame:
+    """member, a, b: links of lines, which may repeat, and the keys and lines of larger keys."""
     buckets = 4 * partitions(docs.sparkSession)
-    packed = docs.select(text_col).mapInArrow(_bands(width, bands, rows, buckets), "bucket int, link boolean, a binary, b binary")
-    return packed.groupBy("bucket").applyInArrow(_met, "a long, b long").distinct()
+    packed = docs.select(text_col).mapInArrow(_bands(width, bands, rows, buckets), "bucket int, a binary, b binary")
+    return packed.groupBy("bucket").applyInArrow(_met, "member boolean, a long, b long")
+
+
+def _forest(pairs: np.ndarray) -> list[tuple[int, int]]:
+    """Of pairs those that join what earlier ones have not."""
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (y := up.setdefault(x, x)) != x:
+            up[x] = x = up[y]
+        return x
+
+    out = []
+    for a, b in pairs.tolist():
+        x, y = root(a), root(b)
+        if x != y:
+            up[x] = y
+            out.append((a, b))
+    return out
+
+
+def similar_components(texts: list[str], comp: np.ndarray, side: np.ndarray, width: int, percent: int) -> list[tuple[int, int]]:
+    """Pairs of components that lines of theirs join: all lines of different components are compared, or only those of
+    different sides where there are two sides."""
+    g, first, _ = line_shingles(texts, width)
+    distinct, token = np.unique(g, return_inverse=True)
+    n = len(texts)
+    code = np.unique(np.repeat(np.arange(n), np.diff(np.append(first, len(g)))) * len(distinct) + token)
+    owner, token = code // len(distinct), code % len(distinct)
+    kind = np.float32 if len(code) < 1 << 17 else np.float64
+    size = np.bincount(owner, minlength=n).astype(kind)
+    # a shingle of one line is in no intersection
+    shared = np.bincount(token, minlength=len(distinct)) > 1
+    owner, token = owner[shared[token]], (np.cumsum(shared) - 1)[token[shared[token]]]
+    order = np.argsort(token, kind="stable")
+    owner, token = owner[order], token[order]
+    if side.any() and not side.all():
+        rows, every = sorted((np.flatnonzero(side), np.flatnonzero(~side)), key=len)
+        before = len(every)
+    else:
+        # a pair has at least one line outside the largest component; these meet it and the rows up to their own
+        _, which, count = np.unique(comp, return_inverse=True, return_counts=True)
+        rows, largest = np.flatnonzero(which != count.argmax()), np.flatnonzero(which == count.argmax())
+        every, before = np.concatenate((largest, rows)), len(largest)
+    step, found = max(64, (1 << 22) // n), []
+    for r in range(0, len(rows), 512):
+        some = rows[r : r + 512]
+        cols = every[: before + r + 512]
+        common = np.zeros((len(some), len(cols)), kind)
+        for at in range(0, int(shared.sum()), step):
+            i, j = np.searchsorted(token, (at, at + step))
+            has = np.zeros((n, min(step, int(shared.sum()) - at)), kind)
+            has[owner[i:j], token[i:j] - at] = 1
+            common += has[some] @ has[cols].T
+        near = 100 * common >= percent * (size[some][:, None] + size[cols] - common)
+        near &= comp[some][:, None] != comp[cols]
+        x, y = np.nonzero(near)
+        if len(x):
+            found.append(np.unique(np.stack((comp[some[x]], comp[cols[y]]), 1), axis=0))
+    return _forest(np.concatenate(found)) if found else []
+
+
+def _compared(width: int, percent: int):
+    """a, b: components joined, from rows of tile, comp, side and text that come tile by tile."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, []
+
+        def close() -> list[tuple[int, int]]:
+            if not held:
+                return []
+            comp, side, texts = zip(*held, strict=True)
+            held.clear()
+            return similar_components([t for x in texts for t in x], np.concatenate(comp), np.concatenate(side), width, percent)
+
+        for batch in batches:
+            tile, comp, side = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+            texts, out = batch.column(3).to_pylist(), []
+            ends = [*(np.flatnonzero(tile[1:] != tile[:-1]) + 1).tolist(), len(tile)] if len(tile) else []
+            for i, j in zip([0, *ends], ends, strict=False):
+                if tile[i] != last:
+                    out += close()
+                    last = tile[i]
+                held.append((comp[i:j], side[i:j], texts[i:j]))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+        out = close()
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+        trim()
+
+    return run
+
+
+def _joined(members: DataFrame, comp: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) of components between which a key of `members` has a pair of similar lines."""
+    m = members.join(comp.withColumnRenamed("node", "line"), "line", "left").select("key", "line", F.coalesce("component", "line").alias("comp"))
+    by_comp = m.groupBy("key", "comp").agg(F.count("*").alias("n"), F.bit_xor("line").alias("lines"))
+    keys = by_comp.groupBy("key").agg(F.count("*").alias("comps"), F.sum("n").alias("n"), F.bit_xor("lines").alias("lines")).where("comps > 1")
+    # keys of several bands that have the same lines are compared once
+    keys = keys.groupBy("lines", "n", "comps").agg(F.min("key").alias("key")).select("key", F.ceil(F.col("comps") / _SIDE).cast("int").alias("units"))
+    tiles = m.join(keys, "key").withColumn("u", F.pmod(F.xxhash64("comp"), "units").cast("int")).withColumn("v", F.explode(F.expr("sequence(0, units - 1)")))
+    tiles = tiles.select("line", "comp", F.xxhash64("key", F.least("u", "v"), F.greatest("u", "v")).alias("tile"), F.expr("u > v").alias("side"))
+    rows = tiles.join(texts, "line").select("tile", "comp", "side", "text").repartition("tile").sortWithinPartitions("tile")
+    return rows.mapInArrow(_compared(width, percent), "a long, b long")
 
 
 def line_components(docs: DataFrame, width: int = 8, percent: int = 75, bands: int = 14, rows: int = 4, text_col: str = "text", filter_bits: int = 23) -> DataFrame:
@@ -166,8 +278,9 @@ def line_components(docs: DataFrame, width: int = 8, percent: int = 75, bands: i
     a bit map of 2 ** filter_bits bits leaves out most others before the join."""
     spark = docs.sparkSession
     with small_batches(spark, 2500):
-        pairs = cut(candidate_links(docs, width, bands, rows, text_col), light=True)
-    ends = pairs.selectExpr("a AS line").unionByName(pairs.selectExpr("b AS line")).distinct()
+        met = cut(candidate_links(docs, width, bands, rows, text_col), light=True)
+    pairs = met.where("NOT member").select("a", "b").distinct()
+    ends = met.where("NOT member").select(F.explode(F.array("a", "b")).alias("line")).distinct()
     spot = F.shiftrightunsigned("line", 64 - filter_bits)
     words = ends.groupBy(F.shiftright(spot, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(line, {64 - filter_bits}) & 63 AS int))")).alias("bits")).toArrow()
     filled = np.zeros(1 << (filter_bits - 6), np.int64)
@@ -187,7 +300,10 @@ def line_components(docs: DataFrame, width: int = 8, percent: int = 75, bands: i
     texts = cut(found, light=True)
     one, two = (texts.select(F.col("line").alias(k), F.col("text").alias(f"t{k}")) for k in ("a", "b"))
     links = pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(_verified(width, percent), "a long, b long")
-    return components(links)
+    comp = components(links)
+    more = components(_joined(met.where("member").selectExpr("a AS key", "b AS line"), comp, texts, width, percent)).withColumnRenamed("component", "whole")
+    moved = comp.join(more.withColumnRenamed("node", "component"), "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
+    return moved.unionByName(more.join(comp, "node", "left_anti").selectExpr("node", "whole AS component"))
 
 
 def dedup_lines(docs: DataFrame, width: int = 8, percent: int = 75, bands: int = 14, rows: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
