@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 from wakeline.llm import langid, lm_score
@@ -102,6 +103,18 @@ def test_rare_contexts_stay_in_large_corpora(spark):
         assert [got[i].in_context for i in ids] == [1] * 5
 
 
+@pytest.mark.parametrize("least", [3, 300])
+def test_pairs_of_one_portion_reach_the_bit_map(monkeypatch, least):
+    monkeypatch.setattr(lm_score, "LEAST", least)
+    texts = pa.RecordBatch.from_arrays([pa.array(["zebra quagga " * 400])], ["text"])
+    q, rows = 5, pa.Table.from_batches(lm_score._count_words(5)(iter([texts])))
+    n = 0
+    for bucket in set(rows["bucket"].to_pylist()):
+        found = lm_score._sum_words(q, 26, 23)(rows.filter(pa.compute.equal(rows["bucket"], bucket)))
+        n += sum(np.unpackbits(np.frombuffer(k, np.uint8)).sum() for x, k in zip(found["kind"].to_pylist(), found["k"].to_pylist(), strict=True) if x == 1)
+    assert n == 2
+
+
 def test_bit_maps_do_not_matter(spark, documents):
     scores = [{r.doc_id: (r.score, r.in_context) for r in lm_score.score_texts(documents, pair_bits=b, triple_bits=b).collect()} for b in (14, 27)]
     assert scores[0] == scores[1]

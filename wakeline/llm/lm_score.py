@@ -177,8 +177,9 @@ def _count_words(q: int):
         # the 32 bits that follow the bucket's are enough to fill a bit map
         k, n = _merged(pairs, 1)
         at = np.searchsorted(k >> _U(32), np.arange((1 << q) + 1, dtype=np.uint64))
-        low, n = k.astype("<u4"), np.minimum(n, 255).astype(np.uint8)
-        rows += [(b, 1, 0, _thin(low[at[b] : at[b + 1]]), n[at[b] : at[b + 1]].tobytes()) for b in np.flatnonzero(np.diff(at)).tolist()]
+        # cut at LEAST, which is all that a bit map asks: a sum of cut counts reaches it just when the sum of counts does
+        low, n = k.astype("<u4"), np.minimum(n, LEAST).astype("<u2")
+        rows += [(b, 1, 0, _thin(low[at[b] : at[b + 1]]), _planes(n[at[b] : at[b + 1]])) for b in np.flatnonzero(np.diff(at)).tolist()]
         return _rows(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +203,7 @@ def _sum_words(q: int, pair_bits: int, count_bits: int):
     def run(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()
         words, n = _summed(*_arrived(table, 0, "<u8", "<u4"))
-        pairs, m = _summed(*_arrived(table, 1, "<u4", "u1"))
+        pairs, m = _summed(*_arrived(table, 1, "<u4", "<u2"))
         bits = np.zeros(1 << (pair_bits - q), np.uint8)
         bits[pairs[m >= LEAST] >> (32 - (pair_bits - q))] = 1
         cells = np.zeros(1 << (count_bits - q), np.uint8)
