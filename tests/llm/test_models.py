@@ -110,11 +110,25 @@ def test_pairs_of_one_portion_reach_the_bit_map(monkeypatch, least):
     q, rows = 5, pa.Table.from_batches(lm_score._count_words(5)(iter([texts])))
     n = 0
     for bucket in set(rows["bucket"].to_pylist()):
-        found = lm_score._sum_words(q, 26, 23)(rows.filter(pa.compute.equal(rows["bucket"], bucket)))
+        found = lm_score._sum_words(q, 26)(rows.filter(pa.compute.equal(rows["bucket"], bucket)))
         n += sum(np.unpackbits(np.frombuffer(k, np.uint8)).sum() for x, k in zip(found["kind"].to_pylist(), found["k"].to_pylist(), strict=True) if x == 1)
     assert n == 2
 
 
+def test_count_table_grows_with_the_vocabulary():
+    """Of 16 million words, and as many that are too rare, the rare ones seldom share a cell with a frequent one."""
+    q, size = 5, 1 << 19
+    bits = lm_score._count_bits(size << q)
+    rng = np.random.default_rng(1)
+    words = np.unique(rng.integers(0, 1 << 59, 2 * size, np.uint64))
+    n = rng.choice(np.array([3, 1000, 1, 2]), len(words))
+    cells = lm_score._cells(words, n, q, bits)
+    own = cells[words[n == 3] >> np.uint64(64 - bits)] == math.ceil(6 * math.log2(4))
+    assert own.mean() > 0.75
+    fixed = lm_score._cells(words, n, q, 23)
+    assert (fixed[words[n == 3] >> np.uint64(64 - 23)] == math.ceil(6 * math.log2(4))).mean() < 0.5
+
+
 def test_bit_maps_do_not_matter(spark, documents):
     scores = [{r.doc_id: (r.score, r.in_context) for r in lm_score.score_texts(documents, pair_bits=b, triple_bits=b).collect()} for b in (14, 27)]
     assert scores[0] == scores[1]

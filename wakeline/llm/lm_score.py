@@ -8,9 +8,9 @@ next shorter one by that measure.
 
 Nothing of the corpus is held whole anywhere. Counts are packed arrays dealt into buckets of a 64-bit key space; texts
 ask for the counts they need by block of input and get them back aligned to their sorted keys. What is broadcast is
-bounded: bit maps of pairs seen so often and of kept triples (2 ** pair_bits and 2 ** triple_bits bits), which only keep
-others from being sent and grow with the training text up to MOST_BITS, and a table of rounded word counts (2 ** count_bits
-bytes) that only the retention test uses.
+small: bit maps of pairs seen so often and of kept triples (2 ** pair_bits and 2 ** triple_bits bits), which only keep
+others from being sent and grow with the training text up to MOST_BITS. Only a table of rounded word counts (2 ** count_bits
+bytes), which the retention test uses, grows with the vocabulary: two to four bytes a word that is seen at least three times.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ DISCOUNT = 0.75
 LEAST = 3
 #: Bits of the map of pairs, as a power of 2: from 8 bytes of training text for a bit, within these bounds.
 LEAST_BITS, MOST_BITS = 26, 29
+#: Bytes of the table of word counts at least, as a power of 2.
+LEAST_COUNTS = 23
 PACKED = "bucket int, kind int, block long, k binary, v binary"
 NAMES = ["bucket", "kind", "block", "k", "v"]
 
@@ -197,8 +199,9 @@ def _count_words(q: int):
     return run
 
 
-def _sum_words(q: int, pair_bits: int, count_bits: int):
-    """Of a bucket: its words and counts (kind 0, block: their sum), its part of the bit map (1) and of the count table (2)."""
+def _sum_words(q: int, pair_bits: int):
+    """Of a bucket: its words and counts (kind 0, block: their sum) and its part of the bit map (1, block: its words that
+    are seen at least LEAST times)."""
 
     def run(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()
@@ -206,14 +209,36 @@ def _sum_words(q: int, pair_bits: int, count_bits: int):
         pairs, m = _summed(*_arrived(table, 1, "<u4", "<u2"))
         bits = np.zeros(1 << (pair_bits - q), np.uint8)
         bits[pairs[m >= LEAST] >> (32 - (pair_bits - q))] = 1
-        cells = np.zeros(1 << (count_bits - q), np.uint8)
-        np.maximum.at(cells, (words >> _U(64 - count_bits)) & _U((1 << (count_bits - q)) - 1), np.minimum(255, np.ceil(6 * np.log2(n + 1))).astype(np.uint8))
-        rows = [(bucket, 0, int(n.sum()), words.tobytes(), n.tobytes()), (bucket, 1, 0, np.packbits(bits).tobytes(), b""), (bucket, 2, 0, cells.tobytes(), b"")]
+        rows = [(bucket, 0, int(n.sum()), words.tobytes(), n.tobytes()), (bucket, 1, int((n >= LEAST).sum()), np.packbits(bits).tobytes(), b"")]
         return pa.Table.from_batches([_rows(rows)])
 
     return run
 
 
+def _count_bits(words: int) -> int:
+    return max(LEAST_COUNTS, words.bit_length() + 1)
+
+
+def _cells(words: np.ndarray, n: np.ndarray, q: int, count_bits: int) -> np.ndarray:
+    """A bucket's part of the count table. Rarer words than LEAST are no next words of a context and take no cell."""
+    words, n = words[n >= LEAST], n[n >= LEAST]
+    cells = np.zeros(1 << (count_bits - q), np.uint8)
+    np.maximum.at(cells, (words >> _U(64 - count_bits)) & _U((1 << (count_bits - q)) - 1), np.minimum(255, np.ceil(6 * np.log2(n + 1))).astype(np.uint8))
+    return cells
+
+
+def _count_table(q: int, count_bits: int):
+    """From words of buckets, kind 0: parts of the count table, kind 2."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket, k, v in zip(*(batch.column(c).to_pylist() for c in (0, 3, 4)), strict=True):
+                yield _rows([(bucket, 2, 0, _cells(np.frombuffer(k, "<u8"), np.frombuffer(v, "<i8"), q, count_bits).tobytes(), b"")])
+        trim()
+
+    return run
+
+
 def _count_contexts(q: int, sent, pair_bits: int):
     """kind 1: word contexts and next words; 2: pair contexts and next words; 3: pairs."""
 
@@ -472,7 +497,7 @@ def _in_blocks(docs: DataFrame, columns: list[Column], block_bytes: int) -> Data
         return keyed(written, [F.col(c) for c in written.columns])
 
 
-def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str = "doc_id", text_col: str = "text", pair_bits: int | None = None, count_bits: int = 23, triple_bits: int | None = None, block_bytes: int = 4 << 20) -> DataFrame:
+def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str = "doc_id", text_col: str = "text", pair_bits: int | None = None, count_bits: int | None = None, triple_bits: int | None = None, block_bytes: int = 4 << 20) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and in_context (tokens scored in a context
     of one or two words) of each document.
 
@@ -491,15 +516,19 @@ def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str
         pair_bits = min(MOST_BITS, max(LEAST_BITS, (size // 8).bit_length()))
     triple_bits = pair_bits - 1 if triple_bits is None else triple_bits
     with small_batches(spark, 2500):
-        words = cut(train.mapInArrow(_count_words(q), PACKED).groupBy("bucket").applyInArrow(_sum_words(q, pair_bits, count_bits), PACKED), light=True)
+        words = cut(train.mapInArrow(_count_words(q), PACKED).groupBy("bucket").applyInArrow(_sum_words(q, pair_bits), PACKED), light=True)
     _free(spark)
     n_train, n_vocabulary = words.where("kind = 0").agg(F.coalesce(F.sum("block"), F.lit(0)), F.coalesce(F.sum(F.octet_length("k") / 8), F.lit(0)).cast("long")).head()
+    vocabulary = words.where("kind = 0")
+    if count_bits is None:
+        count_bits = _count_bits(words.where("kind = 1").agg(F.coalesce(F.sum("block"), F.lit(0))).head()[0])
     bits, cells = np.zeros(1 << (pair_bits - 3), np.uint8), np.zeros(1 << count_bits, np.uint8)
-    for row in words.where("kind > 0").select("bucket", "kind", "k").toLocalIterator():
+    with small_batches(spark, 16):
+        table = cut(vocabulary.mapInArrow(_count_table(q, count_bits), PACKED), light=True)
+    for row in words.where("kind = 1").unionByName(table).select("bucket", "kind", "k").toLocalIterator():
         part = np.frombuffer(row["k"], np.uint8)
         (bits if row["kind"] == 1 else cells)[row["bucket"] * len(part) : (row["bucket"] + 1) * len(part)] = part
     sent = spark.sparkContext.broadcast((bits, cells, max(1, n_train)))
-    vocabulary = words.where("kind = 0")
     contexts = train.mapInArrow(_count_contexts(q, sent, pair_bits), PACKED)
     with small_batches(spark, 2500):
         model = cut(contexts.groupBy("bucket").cogroup(vocabulary.groupBy("bucket")).applyInArrow(_learn(q, sent, count_bits, triple_bits), PACKED), light=True)
