@@ -108,6 +108,15 @@ def test_near_duplicates(spark, cases, options):
     assert got == brute(rows)
 
 
+@pytest.mark.parametrize("options", [{}, {"group": 5, "hot": 3, "room": 500}])
+def test_near_components_alone(spark, cases, options):
+    """Without links within components the components are the same."""
+    rows = {r.doc_id: r.text for r in cases.collect()} | near_copies() | {7000 + i: t for i, t in near_copies(seed=2).items()}
+    d = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar_documents(d, within=False, **options).collect()}
+    assert got == {i: x[:2] for i, x in brute(rows).items()}
+
+
 def test_each_link(spark):
     rows = near_copies(30)
     d = spark.createDataFrame(list(rows.items()), "doc_id long, text string")

@@ -11,6 +11,7 @@ from contextlib import contextmanager, suppress
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -184,6 +185,27 @@ def shingles(words: np.ndarray, offsets: np.ndarray, width: int = 5) -> list[np.
     return out
 
 
+# --- bit maps ------------------------------------------------------------------------------------------------------
+
+
+def bit_map(hashes: DataFrame, column: str, least: int = 23, most: int = 29) -> tuple[int, Broadcast]:
+    """(bits, map) with a bit for each 64-bit hash in column, found by marked(): 2 ** bits bits, at least 8 for each hash
+    from `least` to `most` bits (1 to 64 MB), beyond which it fills up and lets more through."""
+    spark = hashes.sparkSession
+    bits = min(most, max(least, (8 * hashes.count()).bit_length()))
+    place = f"shiftrightunsigned({column}, {64 - bits})"
+    words = hashes.groupBy(F.expr(f"shiftright({place}, 6)").alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast({place} & 63 AS int))")).alias("b")).toArrow()
+    filled = np.zeros(1 << (bits - 6), np.int64)
+    filled[words["w"].to_numpy()] = words["b"].to_numpy()
+    return bits, spark.sparkContext.broadcast(filled.view(np.uint64))
+
+
+def marked(filled: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Which hashes have their bit in a map."""
+    i = hashes >> _U(64 - bits)
+    return ((filled[i >> _U(6)] >> (i & _U(63))) & _U(1)).astype(bool)
+
+
 # --- connected components ------------------------------------------------------------------------------------------
 
 
