@@ -38,10 +38,12 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         # the same vocabulary for pieces that are lower-cased and cut already: many at a time, with spaces between
         self.bare = Tokenizer.from_str(json.dumps(json.loads(self.tokenizer.to_str()) | {"normalizer": None, "added_tokens": []}))
         self.bare.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        #: strings that the file takes out of a text before anything else
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.shortest = min(map(len, self.special), default=0)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -76,7 +78,7 @@ class Encoder:
         return ids, np.diff(last, prepend=0)
 
     def learn(self, keys: list[int], strings: list[str]) -> None:
-        easy = [bool(s.isascii() and s.isprintable() or self.plain(s)) for s in strings]
+        easy = [bool(s.isascii() and s.isprintable() or self.plain(s)) and not (len(s) >= self.shortest and any(x in s for x in self.special)) for s in strings]
         ids, size = self.lower([s for s, ok in zip(strings, easy, strict=True) if ok])
         rest = self.whole([s for s, ok in zip(strings, easy, strict=True) if not ok])
         keys = [k for k, ok in zip(keys, easy, strict=True) if ok] + [k for k, ok in zip(keys, easy, strict=True) if not ok]
