@@ -206,6 +206,19 @@ def marked(filled: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
     return ((filled[i >> _U(6)] >> (i & _U(63))) & _U(1)).astype(bool)
 
 
+def split_by_ids(docs: DataFrame, ids: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose id is surely not in ids, a written table of one column; the others, with few more than those in it):
+    a join with ids need only shuffle the others. Texts do not leave the JVM."""
+    bits, sent = bit_map(ids.select(F.xxhash64(ids.columns[0]).alias("h")), "h")
+
+    @F.arrow_udf("boolean")
+    def maybe(h: pa.Array) -> pa.Array:
+        return pa.array(marked(sent.value, h.to_numpy(zero_copy_only=False).view(np.uint64), bits))
+
+    found = maybe(F.xxhash64(F.col(f"`{id_col}`").cast(ids.schema[0].dataType)))
+    return docs.where(~found), docs.where(found)
+
+
 # --- connected components ------------------------------------------------------------------------------------------
 
 

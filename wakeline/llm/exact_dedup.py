@@ -10,12 +10,13 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import _LOWERED, buffers, cut
+from .common import _LOWERED, buffers, cut, split_by_ids
 
 
 def text_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -57,22 +58,22 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     d = cut(text_digests(docs, id_col, text_col))
     stats = d.join(F.broadcast(frequent(d, heavy)), "digest").groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
     hot = cut(stats, light=True)
-    here = d.join(F.broadcast(hot), "digest")
-    losers = here.where("NOT doc_id <=> keep_id").withColumn("kept", F.lit(False))
+    cold = d.join(F.broadcast(hot.select("digest")), "digest", "left_anti")
+    # a join rather than windows: the rows of a digest are counted before the shuffle and never held together
+    parts = d.join(F.broadcast(hot), "digest"), cold.join(cold.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "digest")
     first = Window.partitionBy("digest").orderBy(F.desc("doc_id"))
-    tops = here.where("doc_id <=> keep_id").withColumn("kept", F.row_number().over(first) == 1)
-    group = Window.partitionBy("digest")
-    rest = d.join(F.broadcast(hot), "digest", "left_anti").select(
-        "*", F.max("doc_id").over(group).alias("keep_id"), F.count("*").over(group).alias("group_size"), (F.row_number().over(first) == 1).alias("kept")
-    )
-    cols = ["doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")]
-    return losers.select(*cols).unionByName(tops.select(*cols)).unionByName(rest.select(*cols))
+    out = []
+    for part in parts:
+        out.append(part.where("NOT doc_id <=> keep_id").withColumn("kept", F.lit(False)))
+        out.append(part.where("doc_id <=> keep_id").withColumn("kept", F.row_number().over(first) == 1))
+    return reduce(DataFrame.unionByName, out).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", heavy: int = 1024) -> DataFrame:
     """The documents that stay, with all their columns; ids must be unique but for rows that repeat whole."""
-    losers = exact_duplicates(docs, id_col, text_col, heavy).where("NOT kept AND NOT doc_id <=> keep_id").select(F.col("doc_id").alias("_lost"))
-    again = docs.groupBy(F.col(id_col).alias("_again")).count().where("count > 1").select("_again")
-    kept = docs.join(losers, F.col(id_col).eqNullSafe(F.col("_lost")), "left_anti")
+    losers = cut(exact_duplicates(docs, id_col, text_col, heavy).where("NOT kept AND NOT doc_id <=> keep_id").select(F.col("doc_id").alias("_lost")), light=True)
+    again = cut(docs.groupBy(F.col(id_col).alias("_again")).count().where("count > 1").select("_again"), light=True)
+    clear, rest = split_by_ids(docs, losers.unionByName(again.withColumnRenamed("_again", "_lost")).distinct(), id_col)
+    kept = rest.join(losers, F.col(id_col).eqNullSafe(F.col("_lost")), "left_anti")
     same = F.col(id_col).eqNullSafe(F.col("_again"))
-    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates([id_col, text_col]))
+    return clear.unionByName(kept.join(again, same, "left_anti")).unionByName(kept.join(again, same, "left_semi").dropDuplicates([id_col, text_col]))

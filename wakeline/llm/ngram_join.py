@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bit_map, chunks, components, cut, marked, mix, shingles, small_batches, trim, word_hashes
+from .common import bit_map, chunks, components, cut, marked, mix, shingles, small_batches, split_by_ids, trim, word_hashes
 
 
 def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
@@ -245,4 +245,6 @@ def drop_near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5, id_
     """The documents with all their columns; of each group of linked ones that with the smallest id stays. Texts without
     words have no links and stay; ids must be unique."""
     lost = similar_documents(docs, percent, width, id_col, text_col, within=False).where("doc_id <> component_id").select(F.col("doc_id").alias("_lost"))
-    return docs.join(lost, F.col(id_col) == F.col("_lost"), "left_anti")
+    lost = cut(lost, light=True)
+    clear, rest = split_by_ids(docs, lost, id_col)
+    return clear.unionByName(rest.join(lost, F.col(id_col) == F.col("_lost"), "left_anti"))
