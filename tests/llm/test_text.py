@@ -137,7 +137,6 @@ def encoded(texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     return [[*e.ids, 2] for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -176,6 +175,17 @@ def test_encoder_forgets():
             assert [*ids.tolist(), 2] == want and at.tolist() == [0, len(ids)] and len(e.slots) <= 100
 
 
+def test_special_strings():
+    """Ids are those of the tokenizer file alone, also for its special strings."""
+    import public_tokenizers
+    import pyarrow as pa
+
+    texts = ["<|endoftext|>abc", "a<|startoftext|><|endoftext|>b c", "<|ENDOFTEXT|> x", "<|endoftext| >", " <|endoftext|> ", "é<|endoftext|>é", "<|endoftext|>\u0301x", "<|endof", "|>", None]
+    e = packing.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    (_, ids, at), *_ = e.encode(pa.array(texts))
+    assert [[*ids[i:j].tolist(), 2] for i, j in zip(at[:-1], at[1:], strict=True)] == encoded(texts) and encoded(texts)[0] == [49407, 5334, 2]
+
+
 def test_packing_edges(edges, none):
     got = packing.pack(edges)
     assert got.select("doc_id").distinct().count() == edges.select("doc_id").distinct().count() and packing.pack(none).count() == 0
@@ -201,6 +211,38 @@ def test_archives(spark):
     assert warc.round_trip(d.where("false")).count() == 0
 
 
+def test_repeated_null_and_other_ids(spark):
+    """Every row has a record of its own and comes back."""
+    a, b, short = "A" * 80_000, "b" * 2000, "s" * 20
+    rows = [(1, a), (1, a), (1, b), (2, b), (2, b), (2, short), (2, short), (3, None), (None, b), (None, a), (None, None), (None, short), (None, "n" * 5000), (None, "n" * 5000)]
+
+    def expected(rows):
+        top = {}
+        for i, t in rows:
+            if len(t or "") >= 1000 and i is not None:
+                top[t] = max(i, top.get(t, i))
+        out = [(i, len(t or ""), hashlib.sha1((t or "").encode()).hexdigest(), top.get(t) if i is not None and top.get(t) != i else None) for i, t in rows]
+        return sorted([(i, n, h, "response" if r is None else "revisit", r) for i, n, h, r in out], key=str)
+
+    for kind, make in (("long", int), ("string", lambda i: f"p/{i} ~#%:\r\n"), ("int", int)):
+        given = [(None if i is None else make(i), None, t) for i, t in rows]
+        d = spark.createDataFrame(given, f"page_id {kind}, url string, html string")
+        got = warc.round_trip(d)
+        assert got.schema["page_id"].dataType.simpleString() == got.schema["refers_to"].dataType.simpleString() == d.schema["page_id"].dataType.simpleString()
+        assert sorted([tuple(r) for r in got.collect()], key=str) == expected([(i, t) for i, _, t in given])
+
+
+def test_malformed_records(spark):
+    """A record without a length, a cut one and broken gzip do not end the job; what precedes them is read."""
+    good = warc._header([("WARC-Type", "response"), ("WARC-Record-ID", "<urn:x:1>")], b"HTTP/1.1 200 OK\r\n\r\nhello", 3)
+    import gzip
+
+    odd = [gzip.compress(b"WARC/1.1\r\nWARC-Type: response\r\n\r\nxx\r\n\r\n"), good[:-20], b"\x1f\x8bjunk", gzip.compress(b"WARC/1.1\r\nContent-Length: many\r\n\r\n"), gzip.compress(b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 0\r\n\r\n\r\n\r\n"), b"", b"text"]
+    d = spark.createDataFrame([(i, good + x) for i, x in enumerate(odd)] + [(9, odd[0] + good)], "archive_id long, content binary")
+    got = warc.payloads(warc.records(d)).collect()
+    assert [(r.record_id, bytes(r.payload), r.complete) for r in got] == [("urn:x:1", b"hello", True)] * (len(odd) + 1)
+
+
 def test_archive_files_and_damage(spark, tmp_path):
     d, rows = pages(spark)
     archives = warc.write(d, segment=1000, archive=3000).collect()
