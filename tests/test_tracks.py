@@ -46,6 +46,51 @@ def test_trailing_window_leaves_later_ties_out():
     assert hull.trailing_areas(t, x, y, 10).tolist() == [0, 0, 0.5, 0.5]
 
 
+@pytest.mark.parametrize(("n", "step", "window"), [(400, 1.0, 60.0), (400, 1.0, 23.5), (300, 5.0, 1000.0), (50, 1.0, 1e9), (3, 1.0, 10.0)])
+def test_long_windows(n, step, window):
+    """Areas of windows of any length are those of their points."""
+    rng = np.random.default_rng(n)
+    t = np.cumsum(rng.choice([0.0, step, step, 40 * step], n))
+    x, y = np.cumsum(rng.normal(0, 5, n)), np.round(np.cumsum(rng.normal(0, 5, n)))
+    first = np.searchsorted(t, t - window, "left")
+    want = [hull.area(list(zip(x[first[i] : i + 1].tolist(), y[first[i] : i + 1].tolist(), strict=True))) for i in range(n)]
+    assert hull.trailing_areas(t, x, y, window) == pytest.approx(want, rel=1e-9, abs=1e-6)
+
+
+def brute_trips(rows, gap_s, window_s, radius):
+    """trip number, area and speed of each (second, lon, lat) of one vessel, straight from the rules."""
+    rows, out, n, before = sorted(rows), [], 0, False
+    s, lon, lat = (np.array(c, float) for c in zip(*rows, strict=True))
+    x, y = geodesic.local_plane(lon, lat, lon.mean(), lat.mean())
+    for i in range(len(rows)):
+        j = [k for k in range(i + 1) if s[k] >= s[i] - window_s]
+        a = hull.area([(x[k], y[k]) for k in j])
+        stopped = a < np.pi * radius**2
+        n += i == 0 or s[i] - s[i - 1] > gap_s or (before and not stopped)
+        same = i and out[-1][0] == n
+        d = geodesic.inverse(*(np.array([v]) for v in (lon[i - 1], lat[i - 1], lon[i], lat[i])))[0][0] if same else None
+        out.append((n, a, d / (s[i] - s[i - 1]) if same and s[i] > s[i - 1] else None))
+        before = stopped
+    return out
+
+
+def test_trips_against_the_rules(spark):
+    rng, rows, want = np.random.default_rng(3), [], {}
+    for vessel in range(5):
+        s = np.cumsum(rng.choice([60, 120, 600, 5000], 80, p=[0.5, 0.3, 0.15, 0.05]))
+        step = np.repeat(rng.choice([0.0, 0.00001, 0.002], 8), 10)
+        lon, lat = 4 + np.cumsum(rng.normal(0, 1, 80) * step), 52 + np.cumsum(rng.normal(0, 1, 80) * step)
+        own = list(zip(s.tolist(), lon.tolist(), lat.tolist(), strict=True))
+        rows += [(vessel, NOON + timedelta(seconds=t), a, b) for t, a, b in own]
+        want |= {(vessel, NOON + timedelta(seconds=t)): r for (t, _, _), r in zip(own, brute_trips(own, 3600, 1200, 50.0), strict=True)}
+    got = trajectory.trajectorize(track(spark, rows)).collect()
+    assert len(got) == len(want) and len({n for n, *_ in want.values()}) > 4
+    for r in got:
+        n, a, v = want[r.mmsi, r.base_date_time]
+        assert r.trip_id == f"{r.mmsi}_{n}" and r.rolling_area_m2 == pytest.approx(a, rel=1e-6, abs=1e-3)
+        assert r.speed_mps is None if v is None else r.speed_mps == pytest.approx(v, rel=1e-9, abs=1e-6)
+
+
 def test_geodesic_known_values():
     # Flinders Peak to Buninyong, and a degree of the equator and of a meridian
     d, az = geodesic.inverse(np.array([144.424867888]), np.array([-37.951033416]), np.array([143.926495527]), np.array([-37.652821138]))
@@ -77,6 +122,40 @@ def test_outliers_modes(spark):
         assert kept(distance=distance, mode="anchor") == [0.0, 0.001, 0.002, 0.003, 50.0, 60.0]
 
 
+def brute_outliers(rows, mode, v_max, d_min, passes=10):
+    """(second, lon, lat) rows of one vessel that survive, one link at a time."""
+    rows = sorted(rows)
+
+    def bad(p, q):
+        d = geodesic.inverse(*(np.array([v]) for v in (p[1], p[2], q[1], q[2])))[0][0]
+        return d > d_min and (q[0] <= p[0] or d / (q[0] - p[0]) > v_max)
+
+    if mode == "anchor":
+        kept = rows[:1]
+        for q in rows[1:]:
+            if not bad(kept[-1], q):
+                kept.append(q)
+        return kept
+    for _ in range(passes):
+        rows = [q for k, q in enumerate(rows) if not k or not bad(rows[k - 1], q)]
+    return rows
+
+
+@pytest.mark.parametrize("mode", ["iterative", "anchor"])
+def test_outliers_against_one_link_at_a_time(spark, mode):
+    rng, all_rows, want = np.random.default_rng(7), [], []
+    for vessel in range(4):
+        s = np.cumsum(rng.integers(0, 400, 300)) + np.repeat([0, 9_000_000, 18_000_000], 100)
+        x, y = np.cumsum(rng.normal(0, 0.01, 300)), np.cumsum(rng.normal(0, 0.01, 300))
+        x[rng.integers(0, 300, 60)] += rng.normal(0, 2, 60)
+        x[40 * vessel : 40 * vessel + 30] += 5
+        rows = list(zip(s.tolist(), x.tolist(), y.tolist(), strict=True))
+        all_rows += [(vessel, NOON + timedelta(seconds=t), a, b) for t, a, b in rows]
+        want += [(vessel, NOON + timedelta(seconds=t), a, b) for t, a, b in brute_outliers(rows, mode, 20.0, 300.0)]
+    got = [tuple(r) for r in outliers.filter_outliers(track(spark, all_rows), v_max=20.0, mode=mode).collect()]
+    assert sorted(got) == sorted(want) and 500 < len(got) < 1150
+
+
 def test_outliers_none_and_equal_times(spark):
     rows = [(1, NOON + timedelta(minutes=k), 0.0, 0.001 * k) for k in range(5)]
     assert outliers.filter_outliers(track(spark, rows)).count() == 5
@@ -90,6 +169,11 @@ def test_speeds(spark, given, raw, want):
     assert got == (None if want is None else pytest.approx(want))
 
 
+@pytest.mark.parametrize(("code", "group"), [("31", "Tug"), ("32.9", "Tug"), ("52", "Tug"), ("30", "Fishing"), ("35", "Military"), ("36", "Pleasure Craft/Sailing"), ("37", "Pleasure Craft/Sailing"), ("60", "Passenger"), ("69", "Passenger"), ("70", "Cargo"), ("79", "Cargo"), ("80", "Tanker"), ("89", "Tanker"), ("33", "Other"), ("34", "Other"), ("51", "Other"), ("53", "Other"), ("59", "Other"), ("90", "Other"), ("0", "Other"), ("", "Other"), (None, "Other"), ("pilot", "Other")])
+def test_vessel_groups(spark, code, group):
+    assert clean.classify(frame(spark, [(code,)], "k string"), "k", out="g").head().g == group
+
+
 def test_speed_warnings(spark):
     d, seen = clean.watch_speeds(frame(spark, [(v,) for v in [1023.0] + [10.0] * 9], "sog double"), raw_units=True)
     d.collect()

@@ -131,7 +131,7 @@ def _raster(spark, a: argparse.Namespace, out: str) -> int:
         return spark.read.parquet(f"{folder}/z={z}").withColumn("z", F.lit(z))
 
     every = raster.pyramid(base, a.base_zoom, size=size, write=write)
-    images.save(images.png_tiles(every, raster.robust_max(every), size, config["style"]), f"{a.input}/png", "png")
+    images.save(images.png_tiles(every, raster.robust_max(every, exact=False), size, config["style"]), f"{a.input}/png", "png")
     if a.cogs:
         images.save(images.geotiff_tiles(base, raster.categories(base, "band"), size), f"{a.input}/cogs", "tif")
     if a.clean_intermediate:

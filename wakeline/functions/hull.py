@@ -34,13 +34,37 @@ def area(points: list[tuple[float, float]]) -> float:
     return float(abs(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1))) / 2)
 
 
+#: Windows of more points are put together from hulls of two parts.
+_FEW = 24
+
+
 def trailing_areas(t: np.ndarray, x: np.ndarray, y: np.ndarray, window: float) -> np.ndarray:
-    """For each row, in time order, the hull area of the rows up to it whose time is at least its own less window."""
+    """For each row, in time order, the hull area of the rows up to it whose time is at least its own less window.
+
+    A long window is cut at a fixed row: hulls of the rows from each of its first rows to the cut are made once, and the
+    hull of what follows the cut grows with each row, so that a row costs its hulls' few vertices, not its window's points.
+    """
     out = np.zeros(len(t))
     begin = np.searchsorted(t, t - window, "left")
     pts = list(zip(x.tolist(), y.tolist(), strict=True))
+    cut, before, after = -1, [], []
     for i in np.flatnonzero(np.arange(len(t)) - begin >= 2).tolist():
-        out[i] = area(pts[begin[i] : i + 1])
+        first = int(begin[i])
+        if i - first < _FEW:
+            out[i], cut = area(pts[first : i + 1]), -1
+            continue
+        if first > cut or cut < 0:
+            # rows first..i-1 lie before the cut; before[k] is the hull of rows first + k to the cut
+            cut, start, before = i - 1, first, []
+            for p in reversed(pts[first:i]):
+                before.append(hull([*(before[-1] if before else ()), p]))
+            before.reverse()
+            after = []
+            done = i
+        while done <= i:
+            after = hull([*after, pts[done]])
+            done += 1
+        out[i] = area([*before[first - start], *after])
     return out
 
 

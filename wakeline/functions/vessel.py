@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 # fixed values: AIS ship-type codes (first, last, group)
 TYPE_GROUPS = [
     (30, 30, "Fishing"),
-    (31, 32, "Tug, Towing"),
-    (52, 52, "Tug, Towing"),
+    (31, 32, "Tug"),
+    (52, 52, "Tug"),
     (35, 35, "Military"),
     (36, 37, "Pleasure Craft/Sailing"),
     (60, 69, "Passenger"),

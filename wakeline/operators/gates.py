@@ -71,14 +71,15 @@ def gate_statistics(pings: DataFrame, gates: DataFrame, id_col: str = "PassageId
     c = gate_crossings(pings, gates, id_col, max_gap_s, **options)
     own = [x for x in gates.columns if x not in ("edges", "length", "lx", "ly", "bmin_x", "bmax_x", "bmin_y", "bmax_y")]
     b = c.withColumn("bin", lateral_bin(F.col("loc_fraction"), n))
-    is_d = {d: F.col("direction") == d for d in DIRECTIONS}
-    aggs = [F.count(F.when(is_d[d], F.col("speed"))).cast("int").alias(f"frequency_{d}") for d in DIRECTIONS]
-    aggs += [F.coalesce(F.median(F.when(is_d[d], F.col("speed"))), F.lit(0.0)).alias(f"median_speed_{d}") for d in DIRECTIONS]
-    for d in DIRECTIONS:
-        for i in range(n):
-            here = is_d[d] & (F.col("bin") == i)
-            aggs += [F.count(F.when(here, F.col("speed"))).cast("int").alias(f"loc_bin_{i}_{d}"), F.coalesce(F.median(F.when(here, F.col("speed"))), F.lit(0.0)).alias(f"median_speed_loc_{i}_{d}")]
-    return gates.select(*own).join(b.groupBy(id_col).agg(*aggs), id_col)
+    # medians by gate, direction and bin, and by gate and direction, in one shuffle; then at most 2 * (n + 1) rows a gate
+    sets = b.groupingSets([[id_col, "direction", "bin"], [id_col, "direction"]], id_col, "direction", "bin")
+    g = sets.agg(F.count("speed").cast("int").alias("f"), F.median("speed").alias("m"), F.grouping("bin").alias("whole"))
+    key = F.when(F.col("whole") == 1, F.col("direction")).otherwise(F.concat(F.col("bin").cast("string"), F.lit("_"), F.col("direction")))
+    names = [(d, f"frequency_{d}", f"median_speed_{d}") for d in DIRECTIONS] + [(f"{i}_{d}", f"loc_bin_{i}_{d}", f"median_speed_loc_{i}_{d}") for d in DIRECTIONS for i in range(n)]
+    pick = lambda k, c, empty, name: F.coalesce(F.max(F.when(F.col("key") == k, F.col(c))), F.lit(empty)).alias(name)
+    counts = [pick(k, "f", 0, f) for k, f, _ in names[:2]] + [pick(k, "m", 0.0, m) for k, _, m in names[:2]]
+    bins = [x for k, f, m in names[2:] for x in (pick(k, "f", 0, f), pick(k, "m", 0.0, m))]
+    return gates.select(*own).join(g.withColumn("key", key).groupBy(id_col).agg(*counts, *bins), id_col)
 
 
 def unpivot_bins(stats: DataFrame, gates: DataFrame | None = None, id_col: str = "PassageId", n: int = BINS) -> DataFrame:

@@ -3,7 +3,7 @@
 Two modes. "iterative": up to `passes` times all points are dropped whose jump from the previous surviving point is
 bad, so the return from a spike goes with it. "anchor": a walk along the track that keeps a point only if the jump from
 the last kept one is fine. Two distances: "haversine" runs as window functions alone (one shuffle, one sort for all
-passes); "geodesic" runs as one Arrow kernel per vessel on the ellipsoid.
+passes); "geodesic" runs as an Arrow kernel on the ellipsoid for each run of a vessel's pings without a very long pause.
 """
 
 from __future__ import annotations
@@ -17,6 +17,9 @@ from ..functions import geodesic as g
 from ..functions.geometry import haversine
 from ..schema import micros, time_column, vessel_column
 
+#: Metres: no two places are farther apart.
+HALFWAY = 20_037_509.0
+
 
 def _seconds(time: str):
     """Whole seconds, as the rule counts them."""
@@ -54,6 +57,24 @@ def _kernel(df: DataFrame, vessel: str, time: str, lon: str, lat: str, v_max: fl
         d, dt = metres(x[i], y[i], x[j], y[j]), s[j] - s[i]
         return (d > d_min) & ((dt <= 0) | (d > v_max * dt))
 
+    def walk(s, x, y) -> np.ndarray:
+        """Rows that a walk keeps: runs whose links are all fine at once, and after a bad link the next row that fits."""
+        links = np.concatenate(([False], bad(s, x, y, np.arange(len(s) - 1), np.arange(1, len(s)))))
+        stops, kept, at = np.flatnonzero(links), np.zeros(len(s), bool), 0
+        while at < len(s):
+            k = np.searchsorted(stops, at, "right")
+            end = int(stops[k]) if k < len(stops) else len(s)
+            kept[at:end] = True
+            last, at = end - 1, end
+            while at < len(s):
+                some = np.arange(at, min(at + 256, len(s)))
+                fits = np.flatnonzero(~bad(s, x, y, np.full(len(some), last), some))
+                if len(fits):
+                    at = int(some[fits[0]])
+                    break
+                at = int(some[-1]) + 1
+        return np.flatnonzero(kept)
+
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([(c, "ascending") for c in (time, lon, lat, *ties)])
         s, x, y = (table[c].to_numpy() for c in ("_s", lon, lat))
@@ -61,18 +82,19 @@ def _kernel(df: DataFrame, vessel: str, time: str, lon: str, lat: str, v_max: fl
         if table[vessel].null_count == 0:
             x, y = x.astype(float), y.astype(float)
             if mode == "anchor":
-                kept = [0]
-                for k in range(1, len(s)):
-                    i, j = np.array([kept[-1]]), np.array([k])
-                    if not bad(s, x, y, i, j)[0]:
-                        kept.append(k)
-                keep = np.array(kept)
+                keep = walk(s, x, y)
             else:
                 for _ in range(passes):
                     wrong = np.concatenate(([False], bad(s, x, y, keep[:-1], keep[1:])))
                     if not wrong.any():
                         break
                     keep = keep[~wrong]
-        return table.take(pa.array(keep)).drop_columns(["_s"])
+        return table.take(pa.array(keep)).drop_columns(["_s", "_island"])
 
-    return df.withColumn("_s", _seconds(time).cast("double")).groupBy(vessel).applyInArrow(run, df.schema)
+    # no jump over a pause in which v_max reaches the antipode is too fast: what lies beyond stands on its own
+    order = Window.partitionBy(vessel).orderBy(time, lon, lat, *ties)
+    d = df.withColumn("_s", _seconds(time).cast("double"))
+    pause = F.coalesce(F.col("_s") - F.lag("_s").over(order) > HALFWAY / max(v_max, 1e-9), F.lit(False))
+    # rows of a null vessel are not compared, so they need not lie together
+    d = d.withColumn("_island", F.when(F.col(vessel).isNull(), F.pmod(F.xxhash64(time, lon, lat), F.lit(1 << 16))).otherwise(F.sum(pause.cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0))))
+    return d.groupBy(vessel, "_island").applyInArrow(run, df.schema)

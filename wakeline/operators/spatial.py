@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
 
-#: Layers of at most this many edges are broadcast: 40 bytes each.
-MOST_BROADCAST_EDGES = 100_000
+#: Layers of at most this many edges are broadcast: 40 bytes each, and a comparison of boxes for each pair.
+MOST_BROADCAST_EDGES = 2_000
 
 
 def line_layer(df: DataFrame, path: str = "path", lonlat: bool = True) -> DataFrame:
@@ -43,12 +43,12 @@ def _near() -> Column:
 
 def candidates(segments: DataFrame, layer: DataFrame, cell: float = 20_000.0, most_edges: int = MOST_BROADCAST_EDGES) -> DataFrame:
     """Pairs whose bounding boxes meet. Column names of the two must differ. Segments need x1, y1, x2, y2."""
-    n = layer.agg(F.coalesce(F.sum(F.size("edges")), F.lit(0))).head()[0]
+    extent = (("bmin_x", F.min), ("bmax_x", F.max), ("bmin_y", F.min), ("bmax_y", F.max))
+    n, *box = layer.agg(F.coalesce(F.sum(F.size("edges")), F.lit(0)), *(f(c) for c, f in extent)).head()
     if n <= most_edges:
-        # the whole layer's box first: it needs no pair, and reaches the scan where x and y are stored
-        box = layer.agg(*(f(c).alias(c) for c, f in (("bmin_x", F.min), ("bmax_x", F.max), ("bmin_y", F.min), ("bmax_y", F.max)))).head()
         if box[0] is None:
             return segments.where("false").join(F.broadcast(layer), _near())
+        # the whole layer's box first: it needs no pair, and reaches the scan where x and y are stored
         inside = (F.greatest("x1", "x2") >= box[0]) & (F.least("x1", "x2") <= box[1]) & (F.greatest("y1", "y2") >= box[2]) & (F.least("y1", "y2") <= box[3])
         return segments.where(inside).join(F.broadcast(layer), _near())
     at = lambda c: F.floor(F.expr(c) / cell)

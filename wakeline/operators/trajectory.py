@@ -51,7 +51,8 @@ def stop_areas(df: DataFrame, stop_min: float = 20.0, vessel: str | None = None,
     vessel, time = vessel_column(df, vessel), time_column(df, time)
     window = round(stop_min * 60)
     order = _order(vessel, time, ties)
-    d = df.withColumns({"_t": micros(time), "_lon0": F.avg(lon).over(Window.partitionBy(vessel)), "_lat0": F.avg(lat).over(Window.partitionBy(vessel))})
+    centre = df.where(F.col(vessel).isNotNull()).groupBy(F.col(vessel).alias("_v")).agg(F.avg(lon).alias("_lon0"), F.avg(lat).alias("_lat0"))
+    d = df.withColumn("_t", micros(time)).join(centre, F.col(vessel) == F.col("_v")).drop("_v")
     pause = F.coalesce(F.col("_t") - F.lag("_t").over(order) > window * 1_000_000, F.lit(True))
     d = d.withColumn("_island", F.sum(pause.cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_row", F.row_number().over(order))
 

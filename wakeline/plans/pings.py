@@ -102,7 +102,7 @@ def sog(c: str = "sog", raw: bool = False) -> str:
 
 def group_sql(c: str, mapping: str = "NULL") -> str:
     n = f"trunc(TRY_CAST({c} AS DOUBLE))"
-    fixed = f"CASE WHEN {n} = 30 THEN 'Fishing' WHEN {n} IN (31, 32, 52) THEN 'Tug, Towing' WHEN {n} = 35 THEN 'Military' WHEN {n} IN (36, 37) THEN 'Pleasure Craft/Sailing' WHEN {n} BETWEEN 60 AND 69 THEN 'Passenger' WHEN {n} BETWEEN 70 AND 79 THEN 'Cargo' WHEN {n} BETWEEN 80 AND 89 THEN 'Tanker' ELSE 'Other' END"
+    fixed = f"CASE WHEN {n} = 30 THEN 'Fishing' WHEN {n} IN (31, 32, 52) THEN 'Tug' WHEN {n} = 35 THEN 'Military' WHEN {n} IN (36, 37) THEN 'Pleasure Craft/Sailing' WHEN {n} BETWEEN 60 AND 69 THEN 'Passenger' WHEN {n} BETWEEN 70 AND 79 THEN 'Cargo' WHEN {n} BETWEEN 80 AND 89 THEN 'Tanker' ELSE 'Other' END"
     return f"coalesce({mapping}, {fixed})"
 
 

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from .functions import geodesic
+
 
 def session(app: str = "wakeline", master: str | None = None, **conf: object) -> SparkSession:
-    """AQE with skew joins and coalescing, UTC, Kryo; further settings by keyword, with dots as double underscores.
+    """AQE with skew joins and coalescing, UTC, Kryo; further settings by keyword, with dots as double underscores. SQL
+    knows geodesic_m and hull_area.
 
     Shuffle partitions start high where AQE coalesces them, so that tasks stay small at 100 TB.
     """
@@ -24,4 +27,6 @@ def session(app: str = "wakeline", master: str | None = None, **conf: object) ->
     } | {k.replace("__", "."): str(v) for k, v in conf.items()}
     for k, v in settings.items():
         b = b.config(k, v)
-    return b.getOrCreate()
+    spark = b.getOrCreate()
+    geodesic.register(spark)
+    return spark

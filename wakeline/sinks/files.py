@@ -16,9 +16,10 @@ from ..operators.clean import date_parts
 
 
 def write_by_day(df: DataFrame, path: str, time: str = "base_date_time", mode: str = "overwrite") -> None:
-    """Folders year=/month=/day=; a shuffle by day first, so that each day is a few files. mode append adds a batch."""
+    """Folders year=/month=/day=; rows are rebalanced by day first, so that a small day is one file and a large one is
+    split over tasks by its size. mode append adds a batch."""
     d = date_parts(df, time)
-    d.repartition(F.col("year"), F.col("month"), F.col("day")).write.mode(mode).partitionBy("year", "month", "day").parquet(path)
+    d.hint("rebalance", "year", "month", "day").write.mode(mode).partitionBy("year", "month", "day").parquet(path)
 
 
 def write_table(df: DataFrame, path: str) -> None:

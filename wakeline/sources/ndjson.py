@@ -57,6 +57,14 @@ def _number(text: Column) -> Column:
     return F.when(~F.isnan(n), n)
 
 
+def naive_utc(text: Column) -> Column:
+    """ISO-8601 text as a time in UTC without zone, whatever the session's zone; text without a zone is in UTC."""
+    bare = text.rlike(r"^\s*\d{4}-\d{2}-\d{2}([T ]\d{1,2}:\d{2}(:\d{2}([.]\d*)?)?)?\s*$")
+    day = F.length(F.trim(text)) == 10
+    zoned = F.when(bare & day, F.concat(F.trim(text), F.lit("T00:00:00Z"))).when(bare, F.concat(F.trim(text), F.lit("Z"))).otherwise(text)
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.expr("INTERVAL '0.000001' SECOND") * F.unix_micros(F.to_timestamp(zoned))
+
+
 def flatten(lines: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
     """Pings of lines of JSON. Missing beams and lengths are put together from distances to the antenna; blank lines are
     dropped, numbers that do not parse are null."""
@@ -66,7 +74,7 @@ def flatten(lines: DataFrame, value: str = "value", keep: list[str] | None = Non
     cols = {k: _number(v) if k in NUMBERS else v for k, v in first.items()}
     cols["beam"] = F.coalesce(cols["beam"], part("to_port") + part("to_starboard"))
     cols["length"] = F.coalesce(cols["length"], part("to_bow") + part("to_stern"))
-    cols["base_date_time"] = F.to_timestamp(first["base_date_time"]).cast("timestamp_ntz")
+    cols["base_date_time"] = naive_utc(first["base_date_time"])
     for k in ("imo", "name", "callsign"):
         cols[k] = F.trim(cols[k])
     parsed = lines.where(F.trim(value) != "").select(*keep, F.from_json(value, _schema()).alias("_j"))
