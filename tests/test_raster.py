@@ -119,6 +119,26 @@ def test_geotiff(spark):
     assert pixels[2, 1] == 5 and pixels.sum() == 5
 
 
+def test_styles():
+    assert images.style("transit_count") == {"colormap": "oslo", "scale": "log"} and images.style("sog") == {"colormap": "plasma", "scale": "linear"}
+    assert images.style("sog", {"sog": {"log_scale": True, "colormap": "viridis"}}) == {"colormap": "viridis", "scale": "log"}
+    assert images.style("sog", {"log_scale": True, "sog": {"log_scale": False}}) == {"colormap": "plasma", "scale": "linear"}
+    assert images.style("transit_count", {"colormap": "gray", "log_scale": False}) == {"colormap": "gray", "scale": "linear"}
+    for name in images.MAPS:
+        assert images.palette(name).shape == (256, 4) and images.palette(name)[-1, 3] == 255
+    with pytest.raises(ValueError):
+        images.palette("nonsense")
+    images.add_map("two", [(0, 0, 0), (0, 0, 255)])
+    assert images.palette("two")[-1].tolist() == [0, 0, 255, 255]
+
+
+def test_zarr_tiles(spark, tmp_path):
+    v = level(spark, [("transit_count", 1, 2, 5.0), ("sog", 0, 0, 1.5)])
+    images.save_zarr(images.zarr_tiles(v, ["transit_count", "sog"], 4), str(tmp_path))
+    data = (tmp_path / "tile_1_0_0.zarr" / "data" / "0.0.0").read_bytes()
+    assert np.frombuffer(zlib.decompress(data), "<f4").reshape(4, 4)[2, 1] == 5 and (tmp_path / "tile_1_0_0.zarr" / "data" / ".zarray").exists()
+
+
 def test_zarr():
     f = images.zarr_files([np.eye(4)], ["transit_count"], (0, 0, 4, 4))
     assert np.array_equal(np.frombuffer(zlib.decompress(f["data/0.0.0"]), "<f4").reshape(4, 4), np.eye(4)) and b"EPSG:3857" in f["data/.zattrs"]

@@ -38,8 +38,9 @@ def _parser() -> argparse.ArgumentParser:
     command("line-crossings", "crossings of lines", ("--passage-file", {"required": True}))
     command("polygon-visits", "visits to polygons", ("--polygons-file", {"required": True}), ("--polygon-id-col", {"default": "name"}), ("--merge-gap-minutes", number(None)))
     command("analyze-passage", "statistics of gates", ("--passage-file", {"required": True}), ("--max-time-gap", number(7200.0)))
+    command("bin-segments", "the parts of gates with crossings, from a file of gate statistics")
     command("render", "density tiles", ("--config-file", {}), ("--zoom", {"type": int, "default": None}), ("--bands", {"default": raster.COUNT}), ("--category", {}), ("--bbox", {"nargs": 4, "type": float}), ("--resume", yes))
-    command("postprocess", "pyramid, PNG and GeoTIFF of rendered tiles", ("--base-zoom", {"type": int, "default": 7}), ("--config-file", {}), ("--clean-intermediate", yes), ("--cogs", yes))
+    command("postprocess", "pyramid, PNG and GeoTIFF of rendered tiles", ("--base-zoom", {"type": int, "default": 7}), ("--config-file", {}), ("--clean-intermediate", yes), ("--cogs", yes), ("--zarr", yes))
     return p
 
 
@@ -60,7 +61,14 @@ def main(argv: list[str] | None = None) -> int:
         return _raster(spark, a, out)
     if a.command == "analyze-passage":
         return _gates(spark, a, out)
-    files.write_table(_table(spark, a, read), out)
+    if a.command == "bin-segments":
+        files.write_features(gates.unpivot_bins(*reference.read_bin_stats(spark, a.input)), a.output or files.bin_segments_path(a.input))
+        return 0
+    table = _table(spark, a, read)
+    if a.command == "convert-wkb" or not out.endswith(".geoparquet"):
+        files.write_table(table, out)
+    else:
+        files.write_geoparquet(table, out)
     return 0
 
 
@@ -104,11 +112,16 @@ def _gates(spark, a: argparse.Namespace, out: str) -> int:
     degrees = F.transform("edges", lambda e: F.struct(geo.mercator_lon(e["ax"]).alias("x"), geo.mercator_lat(e["ay"]).alias("y")))
     last = F.element_at("edges", -1)
     line = F.concat(degrees, F.array(F.struct(geo.mercator_lon(last["bx"]).alias("x"), geo.mercator_lat(last["by"]).alias("y"))))
-    files.write_geojson(stats.join(layer.select("PassageId", line.alias("line")), "PassageId"), out)
+    files.write_features(stats.join(layer.select("PassageId", line.alias("line")), "PassageId"), out)
     files.write_geojson(gates.unpivot_bins(stats, layer), files.bin_segments_path(out))
     return 0
 
 
+def _styles(config: dict) -> dict:
+    """Styles of bands, and for the run the colormap and log_scale of the sections style or visualization."""
+    return {k: config["visualization"][k] for k in ("colormap", "log_scale") if k in config["visualization"]} | config["style"]
+
+
 def _raster(spark, a: argparse.Namespace, out: str) -> int:
     config = reference.config(a.config_file) if a.config_file else {"visualization": {}, "style": {}}
     v = {"zoom": 7, "tile_size": 1024, "line_width": 0} | config["visualization"]
@@ -131,7 +144,9 @@ def _raster(spark, a: argparse.Namespace, out: str) -> int:
         return spark.read.parquet(f"{folder}/z={z}").withColumn("z", F.lit(z))
 
     every = raster.pyramid(base, a.base_zoom, size=size, write=write)
-    images.save(images.png_tiles(every, raster.robust_max(every, exact=False), size, config["style"]), f"{a.input}/png", "png")
+    images.save(images.png_tiles(every, raster.robust_max(every, exact=False), size, _styles(config)), f"{a.input}/png", "png")
+    if a.zarr:
+        images.save_zarr(images.zarr_tiles(every, raster.categories(base, "band"), size), f"{a.input}/zarr")
     if a.cogs:
         images.save(images.geotiff_tiles(base, raster.categories(base, "band"), size), f"{a.input}/cogs", "tif")
     if a.clean_intermediate:

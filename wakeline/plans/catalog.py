@@ -226,7 +226,16 @@ def _(spark, d):
     return outliers.filter_outliers(pings.read(spark, d), v_max=0.5, distance="haversine", ties=TIES).select("event_id")
 
 
-@query("outliers_geodesic")
+def _geodesic_outlier_sql(v_max: str, passes: int = 10) -> str:
+    out = pings.P + ", o0 AS (SELECT event_id, mmsi, base_date_time, longitude, latitude, floor(epoch_us(base_date_time) / 1e6) AS sec FROM p)"
+    for i in range(passes):
+        out += f""", l{i} AS (SELECT *, lag(longitude) OVER v AS lon0, lag(latitude) OVER v AS lat0, sec - lag(sec) OVER v AS dt FROM o{i} WINDOW v AS (PARTITION BY mmsi ORDER BY base_date_time, longitude, latitude, event_id)),
+        {pings.geodesic_sql(f"j{i}", f"l{i}", "*", "lon0", "lat0", "longitude", "latitude")},
+        o{i + 1} AS (SELECT * EXCLUDE (lon0, lat0, far, azimuth, dt) FROM j{i} WHERE NOT coalesce(far > 300 AND (dt <= 0 OR far > {v_max} * dt), false))"""
+    return f"WITH {out} SELECT event_id FROM o{passes}"
+
+
+@query("outliers_geodesic", _geodesic_outlier_sql("0.5e0"))
 def _(spark, d):
     return outliers.filter_outliers(pings.read(spark, d), v_max=0.5, ties=TIES).select("event_id")
 
@@ -244,18 +253,33 @@ def _(spark, d):
     return outliers.filter_outliers(pings.read(spark, d), v_max=0.5, mode="anchor", distance="haversine", ties=TIES).select("event_id")
 
 
-@query("stop_areas")
+# areas of up to a hundred square kilometres, from places that are exact to some nanometres: to a square decametre
+_STOPS = pings.stops_sql(48 * 3600)
+
+
+@query("stop_areas", f"WITH RECURSIVE {pings.P}, {_STOPS} SELECT event_id, {rs('rolling_area_m2', -2)} FROM areas")
 def _(spark, d):
-    return trajectory.stop_areas(pings.read(spark, d), 48 * 60, ties=TIES).select("event_id", r("rolling_area_m2", 3))
+    return trajectory.stop_areas(pings.read(spark, d), 48 * 60, ties=TIES).select("event_id", r("rolling_area_m2", -2))
+
+
+_TURNED = lambda c: f"CASE WHEN dt > 0 THEN (({c} - lag({c}) OVER w + 180e0) - 360e0 * floor(({c} - lag({c}) OVER w + 180e0) / 360e0) - 180e0) / dt END"
+_TRIPS = f"""{_STOPS},
+    y0 AS (SELECT *, (us - lag(us) OVER v) / 1e6 AS time_diff_s, rolling_area_m2 < pi() * 2000e0 * 2000e0 AS stopped FROM areas WINDOW v AS (PARTITION BY mmsi ORDER BY n)),
+    y1 AS (SELECT *, CASE WHEN time_diff_s IS NULL OR time_diff_s > {pings.GAP_HOURS * 3600} OR (lag(stopped, 1, false) OVER (PARTITION BY mmsi ORDER BY n) AND NOT stopped) THEN 1 ELSE 0 END AS fresh FROM y0),
+    y2 AS (SELECT * EXCLUDE (far, azimuth), mmsi || '_' || sum(fresh) OVER (PARTITION BY mmsi ORDER BY n ROWS UNBOUNDED PRECEDING) AS trip_id FROM y1),
+    y3 AS (SELECT *, (us - lag(us) OVER w) / 1e6 AS dt, lag(longitude) OVER w AS x_before, lag(latitude) OVER w AS y_before FROM y2 WINDOW w AS (PARTITION BY trip_id ORDER BY n)),
+    {pings.geodesic_sql("y4", "y3", "*", "x_before", "y_before", "longitude", "latitude")},
+    y5 AS (SELECT *, CASE WHEN dt > 0 THEN far / dt END AS speed_mps FROM y4),
+    y AS (SELECT *, CASE WHEN dt > 0 THEN (speed_mps - lag(speed_mps) OVER w) / dt END AS acceleration_mps2, {_TURNED("cog")} AS turn_rate_from_cog, {_TURNED("heading")} AS turn_rate_from_heading FROM y5 WINDOW w AS (PARTITION BY trip_id ORDER BY n))"""
 
 
-@query("trajectorize")
+@query("trajectorize", f"WITH RECURSIVE {pings.P}, {_TRIPS} SELECT event_id, trip_id, {rs('time_diff_s')}, {rs('rolling_area_m2', -2)}, {', '.join(rs(m) for m in _MEASURES)} FROM y")
 def _(spark, d):
     t = trajectory.trajectorize(pings.read(spark, d), pings.GAP_HOURS, 48 * 60, 2000.0, ties=TIES)
-    return t.select("event_id", "trip_id", r("time_diff_s"), r("rolling_area_m2", 3), *(r(m) for m in _MEASURES))
+    return t.select("event_id", "trip_id", r("time_diff_s"), r("rolling_area_m2", -2), *(r(m) for m in _MEASURES))
 
 
-@query("geodesic_distance")
+@query("geodesic_distance", f"WITH {pings.P}, {pings.geodesic_sql('g', 'p', 'event_id', 'longitude', 'latitude', '4.05e0', '52.05e0')} SELECT event_id, round(far, 3) AS metres FROM g")
 def _(spark, d):
     p = pings.read(spark, d)
     return p.select("event_id", F.round(geodesic.geodesic(F.col("longitude"), F.col("latitude"), F.lit(4.05), F.lit(52.05)), 3).alias("metres"))

@@ -82,6 +82,46 @@ def haversine(x1: str, y1: str, x2: str, y2: str) -> str:
     return f"2 * 6371008.8e0 * asin(least(1e0, sqrt({a})))"
 
 
+def geodesic_sql(name: str, source: str, keep: str, x1: str, y1: str, x2: str, y2: str, rounds: int = 6) -> str:
+    """CTEs that end in `name`: the columns `keep` of source with far and azimuth on the WGS84 ellipsoid, by Vincenty's
+    method with a fixed number of rounds, enough for places a few degrees apart. Null in, null out."""
+    f, a, b = "(1e0 / 298.257223563e0)", "6378137e0", "(6378137e0 * (1 - 1e0 / 298.257223563e0))"
+    half = lambda y: f"atan((1 - {f}) * tan(radians({y})))"
+    out = f"""{name}_0 AS (SELECT {keep}, radians({x2}) - radians({x1}) AS _d, radians({x2}) - radians({x1}) AS _l, sin({half(y1)}) AS _s1, cos({half(y1)}) AS _c1, sin({half(y2)}) AS _s2, cos({half(y2)}) AS _c2 FROM {source})"""
+    angles = f"""sqrt(pow(_c2 * sin(_l), 2) + pow(_c1 * _s2 - _s1 * _c2 * cos(_l), 2)) AS _ss, _s1 * _s2 + _c1 * _c2 * cos(_l) AS _cs, atan2(_ss, _cs) AS _sigma,
+      CASE WHEN _ss > 0 THEN _c1 * _c2 * sin(_l) / _ss ELSE 0e0 END AS _sa, 1 - _sa * _sa AS _ca, CASE WHEN _ca > 0 THEN _cs - 2 * _s1 * _s2 / _ca ELSE 0e0 END AS _cm"""
+    passing = "_ss, _cs, _sigma, _sa, _ca, _cm"
+    for k in range(rounds):
+        out += f""",
+    {name}_{k + 1} AS (SELECT * EXCLUDE ({passing}, _c) REPLACE (_d + (1 - _c) * {f} * _sa * (_sigma + _c * _ss * (_cm + _c * _cs * (2 * _cm * _cm - 1))) AS _l)
+      FROM (SELECT *, {angles}, {f} / 16 * _ca * (4 + {f} * (4 - 3 * _ca)) AS _c FROM {name}_{k}))"""
+    return out + f""",
+    {name} AS (SELECT * EXCLUDE (_d, _l, _s1, _c1, _s2, _c2, {passing}, _u, _ka, _kb),
+      {b} * _ka * (_sigma - _kb * _ss * (_cm + _kb / 4 * (_cs * (2 * _cm * _cm - 1) - _kb / 6 * _cm * (4 * _ss * _ss - 3) * (4 * _cm * _cm - 3)))) AS far, atan2(_c2 * sin(_l), _c1 * _s2 - _s1 * _c2 * cos(_l)) AS azimuth
+      FROM (SELECT *, {angles}, _ca * ({a} * {a} - {b} * {b}) / ({b} * {b}) AS _u, 1 + _u / 16384 * (4096 + _u * (_u * (320 - 175 * _u) - 768)) AS _ka, _u / 1024 * (256 + _u * (_u * (74 - 47 * _u) - 128)) AS _kb FROM {name}_{rounds}))"""
+
+
+def stops_sql(window_s: int) -> str:
+    """CTEs (after p) that end in areas: p with its place n, sec and rolling_area_m2, the hull area of the pings of the
+    trailing window. Hulls are wrapped point by point: from the lowest point on, the next one is the first to the left."""
+    plane = geodesic_sql("q1", "q0", "*", "lon0", "lat0", "longitude", "latitude")
+    return f"""q0 AS (SELECT *, epoch_us(base_date_time) AS us, avg(longitude) OVER (PARTITION BY mmsi) AS lon0, avg(latitude) OVER (PARTITION BY mmsi) AS lat0,
+      row_number() OVER (PARTITION BY mmsi ORDER BY base_date_time, event_id) AS n FROM p),
+    {plane},
+    q AS (SELECT *, far * sin(azimuth) AS px, far * cos(azimuth) AS py FROM q1),
+    near AS (SELECT DISTINCT a.event_id, b.px, b.py FROM q a JOIN q b ON a.mmsi = b.mmsi AND b.n <= a.n AND b.us >= a.us - {window_s * 1_000_000}),
+    many AS (SELECT event_id FROM near GROUP BY event_id HAVING count(*) >= 3),
+    pts AS (SELECT * FROM near SEMI JOIN many USING (event_id)),
+    starts AS (SELECT event_id, min(struct_pack(y := py, x := px)) AS s FROM pts GROUP BY event_id),
+    wrap AS (SELECT event_id, s.x AS sx, s.y AS sy, s.x AS cx, s.y AS cy, 0e0 AS dir, 0e0 AS twice, 0 AS k FROM starts
+      UNION ALL SELECT w.event_id, w.sx, w.sy, w.b.x, w.b.y, w.b.dir, w.twice + (w.cx - w.sx) * (w.b.y - w.sy) - (w.b.x - w.sx) * (w.cy - w.sy), w.k + 1
+        FROM (SELECT w.event_id, w.sx, w.sy, w.cx, w.cy, w.twice, w.k, min(struct_pack(turn := CASE WHEN atan2(py - cy, px - cx) - dir < 0 THEN atan2(py - cy, px - cx) - dir + 2 * pi() ELSE atan2(py - cy, px - cx) - dir END,
+            back := -(pow(px - cx, 2) + pow(py - cy, 2)), x := px, y := py, dir := CASE WHEN atan2(py - cy, px - cx) < 0 THEN atan2(py - cy, px - cx) + 2 * pi() ELSE atan2(py - cy, px - cx) END)) AS b
+          FROM wrap w JOIN pts USING (event_id) WHERE (px <> cx OR py <> cy) AND (w.k = 0 OR cx <> sx OR cy <> sy) AND w.k < 100 GROUP BY ALL) w),
+    hulls AS (SELECT event_id, arg_max(twice, k) / 2 AS area FROM wrap GROUP BY event_id),
+    areas AS (SELECT q.*, coalesce(area, 0e0) AS rolling_area_m2 FROM q LEFT JOIN hulls USING (event_id))"""
+
+
 P = f"p AS (SELECT {COLUMNS} FROM events)"
 T = f"""{P},
     p1 AS (SELECT *, (epoch_us(base_date_time) - lag(epoch_us(base_date_time)) OVER v) / 1e6 AS time_diff_s FROM p WINDOW v AS (PARTITION BY mmsi ORDER BY base_date_time, event_id)),

@@ -15,13 +15,29 @@ from pyspark.sql import functions as F
 from ..functions.tiles import tile_bounds
 
 #: Colours from low to high: a few anchors, between which shades run evenly.
-MAPS = {"oslo": [(1, 1, 1), (13, 40, 72), (41, 92, 152), (120, 160, 216), (255, 255, 255)], "plasma": [(13, 8, 135), (126, 3, 168), (204, 71, 120), (248, 149, 64), (240, 249, 33)]}
+MAPS = {
+    "oslo": [(1, 1, 1), (13, 40, 72), (41, 92, 152), (120, 160, 216), (255, 255, 255)],
+    "plasma": [(13, 8, 135), (126, 3, 168), (204, 71, 120), (248, 149, 64), (240, 249, 33)],
+    "viridis": [(68, 1, 84), (59, 82, 139), (33, 145, 140), (94, 201, 98), (253, 231, 37)],
+    "inferno": [(0, 0, 4), (87, 16, 110), (188, 55, 84), (249, 142, 9), (252, 255, 164)],
+    "magma": [(0, 0, 4), (81, 18, 124), (183, 55, 121), (252, 137, 97), (252, 253, 191)],
+    "cividis": [(0, 34, 78), (65, 77, 107), (124, 123, 120), (188, 174, 108), (254, 232, 56)],
+    "gray": [(0, 0, 0), (255, 255, 255)],
+    "hot": [(11, 0, 0), (255, 0, 0), (255, 255, 0), (255, 255, 255)],
+}
 #: The least alpha of a visible pixel, and the share of the colours that it starts from.
 FLOORS = {"oslo": 0.2}
 
 
+def add_map(name: str, anchors: list[tuple[int, int, int]]) -> None:
+    """Makes a palette known by its colours from low to high, evenly spaced."""
+    MAPS[name] = anchors
+
+
 def palette(name: str, steps: int = 256) -> np.ndarray:
     """steps x RGBA; alpha rises with the shade."""
+    if name not in MAPS:
+        raise ValueError(f"unknown colormap {name!r}; known are {', '.join(sorted(MAPS))}, and others by add_map()")
     at, low = np.array(MAPS[name], float), FLOORS.get(name, 0.0)
     t = np.linspace(0, 1, steps)
     rgb = [np.interp(low + (1 - low) * t, np.linspace(0, 1, len(at)), at[:, k]) for k in range(3)]
@@ -29,10 +45,17 @@ def palette(name: str, steps: int = 256) -> np.ndarray:
 
 
 def style(band: str, overrides: dict | None = None) -> dict:
-    """Colours and scale of a band: counts oslo and log, means plasma and linear, unless overridden."""
+    """colormap and scale (log or linear) of a band. Settings of the band itself come first, then those of the run, which
+    are the values that are no tables; a count has oslo and log, a mean plasma and linear unless set. log_scale, true or
+    false, is another word for scale."""
     base = {"colormap": "oslo", "scale": "log"} if "count" in band else {"colormap": "plasma", "scale": "linear"}
     top = {k: v for k, v in (overrides or {}).items() if not isinstance(v, dict)}
-    return base | top | (overrides or {}).get(band, {})
+    out = base
+    for given in (top, (overrides or {}).get(band, {})):
+        out = out | given
+        if "log_scale" in given and "scale" not in given:
+            out["scale"] = "log" if given["log_scale"] else "linear"
+    return {k: v for k, v in out.items() if k != "log_scale"}
 
 
 def png(rgba: np.ndarray) -> bytes:
@@ -131,6 +154,35 @@ def zarr_files(bands: list[np.ndarray], names: list[str], bounds: tuple[float, f
     return out | {f"data/{k}.0.0": zlib.compress(b.astype("<f4").tobytes(), 5) for k, b in enumerate(bands)}
 
 
+def zarr_tiles(level: DataFrame, bands: list[str], size: int = 1024) -> DataFrame:
+    """(z, tile_x, tile_y, path, content): the files of a Zarr group for each tile, with the given bands in order. Tiles
+    without pixels have none."""
+
+    def make(table: pa.Table) -> pa.Table:
+        z, x, y = (table[c][0].as_py() for c in ("z", "tile_x", "tile_y"))
+        names = np.array(table["band"].to_pylist())
+        px, py, value = (table[c].to_numpy() for c in ("px", "py", "value"))
+        found = zarr_files([_dense(px[names == b], py[names == b], value[names == b], size) for b in bands], bands, tile_bounds(x, y, z))
+        n = len(found)
+        return pa.table({"z": [z] * n, "tile_x": [x] * n, "tile_y": [y] * n, "path": list(found), "content": list(found.values())}, schema=schema)
+
+    schema = pa.schema([("z", pa.int32()), ("tile_x", pa.int64()), ("tile_y", pa.int64()), ("path", pa.string()), ("content", pa.binary())])
+    return level.where(F.col("band").isin(bands)).groupBy("z", "tile_x", "tile_y").applyInArrow(make, "z int, tile_x long, tile_y long, path string, content binary")
+
+
+def save_zarr(files: DataFrame, folder: str) -> None:
+    """Groups folder/tile_z_x_y.zarr of zarr_tiles(). folder must be one that every executor shares."""
+    from pathlib import Path
+
+    def put(rows) -> None:
+        for r in rows:
+            p = Path(folder, f"tile_{r['z']}_{r['tile_x']}_{r['tile_y']}.zarr", r["path"])
+            p.parent.mkdir(parents=True, exist_ok=True)
+            p.write_bytes(r["content"])
+
+    files.foreachPartition(put)
+
+
 def save(tiles: DataFrame, folder: str, extension: str) -> None:
     """Files folder[/band]/z/x/y.extension of a DataFrame with content. folder must be one that every executor shares."""
     from pathlib import Path

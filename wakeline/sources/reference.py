@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import math
 import sqlite3
 import tomllib
+from itertools import pairwise
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,18 +51,36 @@ def _gpkg(path: str) -> list[tuple[dict, str, list]]:
 
 
 def read_lines(spark: SparkSession, path: str, id_col: str = "PassageId") -> DataFrame:
-    """A layer of lines for spatial operators; anything but a LineString is refused."""
+    """A layer of lines for spatial operators: LineStrings, and of MultiLineStrings the longest line in Web Mercator.
+    Anything else is refused."""
     rows = []
     for props, kind, parts in _features(path):
-        if kind != "LineString":
-            raise ValueError(f"{id_col} {props.get(id_col)} is a {kind}, not a LineString")
+        if kind not in ("LineString", "MultiLineString") or not parts:
+            raise ValueError(f"{id_col} {props.get(id_col)} is a {kind}, not a line")
         if id_col not in props:
             raise KeyError(f"no {id_col} among {sorted(props)}")
-        rows.append((str(props[id_col]), [{"x": float(x), "y": float(y)} for x, y in parts[0]]))
+        rows.append((str(props[id_col]), [{"x": float(x), "y": float(y)} for x, y in max(parts, key=_mercator_length)]))
     df = spark.createDataFrame(rows, f"`{id_col}` string, path array<struct<x: double, y: double>>")
     return spatial.line_layer(df).drop("path")
 
 
+def _mercator_length(line: list[tuple[float, float]]) -> float:
+    flat = [(math.radians(x), math.asinh(math.tan(math.radians(y)))) for x, y in line]
+    return sum(math.dist(p, q) for p, q in pairwise(flat))
+
+
+def read_bin_stats(spark: SparkSession, path: str, id_col: str = "PassageId") -> tuple[DataFrame, DataFrame]:
+    """(statistics, layer) of a file of gate statistics: the wide bin columns, and the gates as a layer of lines."""
+    features = _features(path)
+    if not features:
+        raise ValueError(f"{path} has no gates")
+    wide = sorted({k for props, _, _ in features for k in props if k.startswith(("loc_bin_", "median_speed_loc_"))})
+    kinds = ["int" if k.startswith("loc_bin_") else "double" for k in wide]
+    rows = [(str(p[id_col]), *(int(p.get(k) or 0) if t == "int" else float(p.get(k) or 0) for k, t in zip(wide, kinds, strict=True))) for p, _, _ in features]
+    schema = ", ".join([f"`{id_col}` string", *(f"{k} {t}" for k, t in zip(wide, kinds, strict=True))])
+    return spark.createDataFrame(rows, schema), read_lines(spark, path, id_col)
+
+
 def read_polygons(spark: SparkSession, path: str, id_col: str = "name") -> DataFrame:
     rows = []
     for props, kind, parts in _features(path):
