@@ -87,12 +87,29 @@ def test_scores_by_brute_force(spark, documents):
             two = states.get(tuple(t[i - 2 : i])) if i >= 2 else None
             s = two if two and (not one or two[3] > one[3]) else one
             deep += s is not None and s is two
-            want += math.log10(q if s is None else s[2] * q + (max(s[0][w] - lm_score.DISCOUNT, 0) / s[1] if w in s[0] else 0))
+            p = q
+            for state in (one, two) if s is two else (one,):
+                if state:
+                    p = state[2] * p + (max(state[0][w] - lm_score.DISCOUNT, 0) / state[1] if w in state[0] else 0)
+            want += math.log10(p)
         wrong += abs(r.score - want) > 1e-4 * abs(want)
     # a gain a hair from 0, or of two states alike, may fall the other way in 32-bit floats
     assert len(states) > 100 and deep > 100 and wrong <= 2
 
 
+def test_suffixes_smooth_longer_contexts(spark, documents):
+    """After a pair whose next words are all other ones, the last word's own next words are likelier than by chance."""
+    ids = [i for i in range(20_000, 21_000) if zlib.crc32(str(i).encode()) % 7 != 2]
+    held = next(i for i in range(20_000, 21_000) if zlib.crc32(str(i).encode()) % 7 == 2)
+    rows = [(i, "amber kestrel dives" if k % 2 else f"x{k % 7} kestrel glides", None, None, 0) for k, i in enumerate(ids)]
+    got = {}
+    for t in ("amber kestrel glides", "amber kestrel amber"):
+        d = documents.unionByName(spark.createDataFrame([*rows, (held, t, None, None, 0)], documents.schema))
+        r = lm_score.score_texts(d).where(f"doc_id = {held}").head()
+        got[t] = r.score - r.base_score
+    assert got["amber kestrel glides"] > got["amber kestrel amber"] + 0.2
+
+
 def test_rare_contexts_stay_in_large_corpora(spark):
     """A pair seen four times is a context, also beside 600 MB of other training text (white space, to be quick)."""
     ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 != 2][:4] + [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2][:1]

@@ -97,15 +97,17 @@ _POWERS: list[np.ndarray] = []
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """_BASE ** i and its inverse modulo 2 ** 64 for i up to n."""
-    if not _POWERS or len(_POWERS[0]) <= n:
-        size = max(1 << 20, 1 << n.bit_length())
-        _POWERS[:] = []
-        for base in (_BASE, _INVERSE):
-            p = np.full(size + 1, base, np.uint64)
-            p[0] = 1
-            _POWERS.append(np.multiply.accumulate(p))
-    return _POWERS[0], _POWERS[1]
+    """_BASE ** i and its inverse modulo 2 ** 64 for i up to n. Those of very long texts are not kept."""
+    if _POWERS and len(_POWERS[0]) > n:
+        return _POWERS[0], _POWERS[1]
+    out = []
+    for base in (_BASE, _INVERSE):
+        p = np.full(max(1 << 20, n) + 1, base, np.uint64)
+        p[0] = 1
+        out.append(np.multiply.accumulate(p))
+    if n <= 1 << 20:
+        _POWERS[:] = out
+    return out[0], out[1]
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

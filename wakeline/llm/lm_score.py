@@ -2,9 +2,10 @@
 
 States are the empty context and the one- and two-word contexts that predict their next word better than the empty one
 does: a context is retained when its leave-one-out log-likelihood ratio (its divergence, counted without the occurrence
-at hand) is positive. Its distribution keeps the words seen at least three
-times, whatever the size of the corpus, discounted, and leaves the rest of its mass to the smoothed word distribution. A word is scored by the longest retained suffix of what precedes it that beats the
-next shorter one by that measure.
+at hand) is positive. Its distribution keeps the words seen at least three times, whatever the size of the corpus,
+discounted, and leaves the rest of its mass to that of the next shorter retained suffix, at last to the smoothed word
+distribution. A word is scored by the longest retained suffix of what precedes it that beats the next shorter one by that
+measure.
 
 Nothing of the corpus is held whole anywhere. Counts are packed arrays dealt into buckets of a 64-bit key space; texts
 ask for the counts they need by block of input and get them back aligned to their sorted keys. What is broadcast is
@@ -121,7 +122,7 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     order = np.argsort(keys)
     ordered = keys[order]
     first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(keys) else np.zeros(0, np.int64)
-    return ordered[first], order[first], np.diff(np.append(first, len(keys)))
+    return ordered[first], order[first], np.diff(np.append(first, len(keys))).astype("<u4")
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -147,18 +148,25 @@ def _joined(table: pa.Table, kind: int, column: str, dtype: str) -> np.ndarray:
 
 
 #: Distinct keys that a task holds before it sends them on.
-_HELD = 2_000_000
+_HELD = 1_500_000
 
 
 def _merged(parts: list[tuple[np.ndarray, ...]], counts: int) -> tuple[np.ndarray, ...]:
-    """Arrays of parts one after the other, one row per key, the first array; the array at `counts` adds up."""
-    joined = [np.concatenate(x) for x in zip(*parts, strict=True)]
-    order = np.argsort(joined[0])
-    keys = joined[0][order]
+    """Arrays of parts one after the other, one row per key, the first array; the array at `counts` adds up. parts is
+    emptied, column by column, so that little is held twice."""
+    columns: list = [list(x) for x in zip(*parts, strict=True)]
+    parts.clear()
+    keys = np.concatenate(columns[0])
+    columns[0] = None
+    order = np.argsort(keys)
+    keys = keys[order]
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
-    out = [x[order[first]] for x in joined]
-    if len(first):
-        out[counts] = np.add.reduceat(joined[counts][order], first)
+    keys = keys[first]
+    out, place = [keys], order[first]
+    for k in range(1, len(columns)):
+        x = np.concatenate(columns[k])
+        columns[k] = None
+        out.append(np.add.reduceat(x[order], first) if k == counts and len(first) else x[place])
     return tuple(out)
 
 
@@ -167,7 +175,7 @@ def _by_portion(batches: Iterator[pa.RecordBatch], q: int) -> Iterator[Keys]:
         size = np.cumsum(np.diff(buffers(batch.column(0))[1]))
         at = 0
         while at < batch.num_rows:
-            to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + (2 << 20), "right")))
+            to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + (1 << 20), "right")))
             yield Keys(batch.column(0).slice(at, to - at), q)
             at = to
 
@@ -248,8 +256,10 @@ def _count_contexts(q: int, sent, pair_bits: int):
             keys, context, after, n = _merged(held[kind], 3)
             if kind == 1:
                 rows += _dealt(3, 0, keys, [n.astype("<u4")], q)
+            del keys
             order = np.argsort(context)
             rows += _dealt(kind, 0, context[order], [after[order], n[order].astype("<u4")], q)
+            del context, after, n, order
         return _rows(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,7 +271,7 @@ def _count_contexts(q: int, sent, pair_bits: int):
                 found, first, n = _distinct(keys[at])
                 at = at[first]
                 held[kind].append((found, context[at - 1], t.w[at], n))
-            if sum(len(x[0]) for x in held[2]) > _HELD:
+            if sum(len(x[0]) for kind in held for x in held[kind]) > _HELD:
                 yield ready(held)
                 held = {1: [], 2: []}
         if held[1]:
@@ -466,9 +476,9 @@ def _score(q: int, sent, pair_bits: int, triple_bits: int, n_train: int, n_vocab
         one, pair = (t.depth >= 1) & (before(left1) > 0), (t.depth >= 2) & (before(left2) > 0)
         pair &= ~one | (before(gain2) > before(gain1))
         p = share.copy()
-        at = one & ~pair
-        p[at] = before(left1)[at] * share[at] + np.maximum(n2[at] - DISCOUNT, 0) * (n2[at] >= LEAST) / before(n_w)[at]
-        p[pair] = before(left2)[pair] * share[pair] + np.maximum(n3[pair] - DISCOUNT, 0) / before(n2)[pair]
+        p[one] = before(left1)[one] * share[one] + np.maximum(n2[one] - DISCOUNT, 0) * (n2[one] >= LEAST) / before(n_w)[one]
+        # what a pair leaves goes to its suffix, the word, where that is a state
+        p[pair] = before(left2)[pair] * p[pair] + np.maximum(n3[pair] - DISCOUNT, 0) / before(n2)[pair]
         total = lambda x: np.add.reduceat(x, t.starts) if size else x
         columns = {
             "doc_id": part.column(2), "held_out": part.column(3), "n_tokens": pa.array(t.sizes), "n_known": pa.array(total((n_w > 0).astype(np.int64))),
