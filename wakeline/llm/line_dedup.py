@@ -333,7 +333,9 @@ def dedup_lines(docs: DataFrame, width: int = 8, percent: int = 75, bands: int =
             )
 
     lines = plain.mapInArrow(number, f"doc_id {kind}, place int, line long")
-    first = lines.join(comp.withColumnRenamed("node", "line"), "line", "left").groupBy(F.coalesce("component", "line").alias("c")).agg(F.min(F.struct("doc_id", "place")).alias("f"))
+    # the first place of each line before the join: a very common line is one row in it
+    once = lines.groupBy("line").agg(F.min(F.struct("doc_id", "place")).alias("f"))
+    first = once.join(comp.withColumnRenamed("node", "line"), "line", "left").groupBy(F.coalesce("component", "line").alias("c")).agg(F.min("f").alias("f"))
     kept = first.select("f.doc_id", "f.place").groupBy("doc_id").agg(F.collect_set("place").alias("kept"))
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
