@@ -39,6 +39,8 @@ LEAST_BITS, MOST_BITS = 26, 29
 LEAST_COUNTS = 23
 PACKED = "bucket int, kind int, block long, k binary, v binary"
 NAMES = ["bucket", "kind", "block", "k", "v"]
+#: Next words of one context are told apart by the upper 40 bits of their hashes: two of 100,000 meet with a probability of 0.5 %.
+_AFTER = ~_U((1 << 24) - 1)
 
 
 def _free(spark: SparkSession) -> None:
@@ -69,7 +71,7 @@ class Keys:
             self.pair[1:] = mix(self.w[:-1] * _K + self.w[1:])
             # a triple lies in the bucket of its context, the pair before it
             top = ~_U((1 << (64 - q)) - 1)
-            self.triple[1:] = (self.pair[:-1] & top) | (mix(self.pair[:-1] * _K + self.w[1:]) >> _U(q))
+            self.triple[1:] = (self.pair[:-1] & top) | (mix(self.pair[:-1] * _K + (self.w[1:] & _AFTER)) >> _U(q))
 
     def known(self, bits: np.ndarray, pair_bits: int, kept: np.ndarray | None = None, triple_bits: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Which positions end a pair, and a triple, of whose pairs the bit map has all; with the map of kept triples
@@ -95,13 +97,37 @@ def _unplaned(data: bytes, dtype: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
 
 
+def _zipped(data: bytes) -> bytes:
+    """Compressed, after its size: bytes of small numbers take few bits, which the codec of shuffles doesn't reach."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True) if data else b""
+
+
+def _unzipped(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True) if data else b""
+
+
 def _thin(keys: np.ndarray) -> bytes:
     """Sorted keys as differences, by planes."""
-    return _planes(np.diff(keys, prepend=keys.dtype.type(0)))
+    return _zipped(_planes(np.diff(keys, prepend=keys.dtype.type(0))))
 
 
 def _full(data: bytes, dtype: str = "<u8") -> np.ndarray:
-    return np.cumsum(_unplaned(data, dtype), dtype=dtype)
+    return np.cumsum(_unplaned(_unzipped(data), dtype), dtype=dtype)
+
+
+def _values(*values: np.ndarray) -> bytes:
+    """Arrays one after the other."""
+    return _zipped(b"".join([_planes(v) for v in values]))
+
+
+def _parts(data: bytes, *dtypes: str) -> list[np.ndarray]:
+    """The arrays of _values, which are equally long."""
+    data, at, out = _unzipped(data), 0, []
+    n = len(data) // sum(np.dtype(t).itemsize for t in dtypes)
+    for t in dtypes:
+        out.append(_unplaned(data[at : at + n * np.dtype(t).itemsize], t))
+        at += n * np.dtype(t).itemsize
+    return out
 
 
 def _dealt(kind: int, block: int, keys: np.ndarray, values: list[np.ndarray], q: int) -> Iterator[tuple]:
@@ -109,7 +135,7 @@ def _dealt(kind: int, block: int, keys: np.ndarray, values: list[np.ndarray], q:
     at = np.searchsorted(keys >> _U(64 - q), np.arange((1 << q) + 1, dtype=np.uint64))
     for b in np.flatnonzero(np.diff(at)).tolist():
         i, j = at[b], at[b + 1]
-        yield b, kind, block, _thin(keys[i:j]), b"".join([_planes(v[i:j]) for v in values])
+        yield b, kind, block, _thin(keys[i:j]), _values(*[v[i:j] for v in values])
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -134,7 +160,7 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def _arrived(table: pa.Table, kind: int, keys: str, counts: str) -> tuple[np.ndarray, np.ndarray]:
     """All keys and counts of a kind that tasks have dealt."""
-    found = [(_full(k, keys), _unplaned(v, counts)) for x, k, v in zip(table["kind"].to_pylist(), table["k"].to_pylist(), table["v"].to_pylist(), strict=True) if x == kind]
+    found = [(_full(k, keys), *_parts(v, counts)) for x, k, v in zip(table["kind"].to_pylist(), table["k"].to_pylist(), table["v"].to_pylist(), strict=True) if x == kind]
     k, v = zip(*found, strict=True) if found else ([np.zeros(0, keys)], [np.zeros(0, counts)])
     return np.concatenate(k), np.concatenate(v).astype(np.int64)
 
@@ -189,7 +215,7 @@ def _count_words(q: int):
         at = np.searchsorted(k >> _U(32), np.arange((1 << q) + 1, dtype=np.uint64))
         # cut at LEAST, which is all that a bit map asks: a sum of cut counts reaches it just when the sum of counts does
         low, n = k.astype("<u4"), np.minimum(n, LEAST).astype("<u2")
-        rows += [(b, 1, 0, _thin(low[at[b] : at[b + 1]]), _planes(n[at[b] : at[b + 1]])) for b in np.flatnonzero(np.diff(at)).tolist()]
+        rows += [(b, 1, 0, _thin(low[at[b] : at[b + 1]]), _values(n[at[b] : at[b + 1]])) for b in np.flatnonzero(np.diff(at)).tolist()]
         return _rows(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,7 +296,7 @@ def _count_contexts(q: int, sent, pair_bits: int):
                 at = np.flatnonzero(where)
                 found, first, n = _distinct(keys[at])
                 at = at[first]
-                held[kind].append((found, context[at - 1], t.w[at], n))
+                held[kind].append((found, context[at - 1], t.w[at] & _AFTER, n))
             if sum(len(x[0]) for kind in held for x in held[kind]) > _HELD:
                 yield ready(held)
                 held = {1: [], 2: []}
@@ -285,9 +311,9 @@ def _contexts(table: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray, np.nd
     """Distinct (context, next) and their counts."""
     ks, vs = [], []
     for k, v in ((k.as_py(), v.as_py()) for k, v, x in zip(table["k"], table["v"], table["kind"].to_pylist(), strict=True) if x == kind):
-        n = len(k) // 8
-        ks.append(np.stack((_full(k), _unplaned(v[: 8 * n], "<u8")), 1))
-        vs.append(_unplaned(v[8 * n :], "<u4"))
+        after, n = _parts(v, "<u8", "<u4")
+        ks.append(np.stack((_full(k), after), 1))
+        vs.append(n)
     if not ks:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     k, n = np.concatenate(ks), np.concatenate(vs).astype(np.int64)
@@ -307,10 +333,10 @@ def _find(keys: np.ndarray, wanted: np.ndarray, *values: np.ndarray) -> list[np.
 
 
 def _states(context: np.ndarray, n: np.ndarray, share: np.ndarray, total_of: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Retained contexts, the mass they leave to the word distribution, and their gain per occurrence. n is at least
-    LEAST for each; share is the next word's share of all words."""
+    """Retained contexts, the mass they leave to the shorter suffix, and their gain per occurrence. n is at least LEAST
+    for each; share is the next word's share of all words."""
     if not len(context):
-        return context, np.zeros(0, np.float32), np.zeros(0, np.float32)
+        return context, np.zeros(0), np.zeros(0, np.float32)
     first = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
     states = context[first]
     (total,) = _find(*total_of[:1], states, total_of[1])
@@ -325,7 +351,7 @@ def _states(context: np.ndarray, n: np.ndarray, share: np.ndarray, total_of: tup
     gain = np.add.reduceat(n * np.where(n > LEAST, seen_again, each(dropped)), first)
     gain = (gain + rest * np.log10(np.maximum((DISCOUNT * kept + rest - 1) / less, 1e-9))) / total
     ok = gain > 0
-    return states[ok], ((DISCOUNT * kept + rest) / total)[ok].astype("<f4"), gain[ok].astype("<f4")
+    return states[ok], ((DISCOUNT * kept + rest) / total)[ok], gain[ok].astype("<f4")
 
 
 def _learn(q: int, sent, count_bits: int, triple_bits: int):
@@ -338,19 +364,21 @@ def _learn(q: int, sent, count_bits: int, triple_bits: int):
         vocabulary = (_joined(words, 0, "k", "<u8"), _joined(words, 0, "v", "<i8"))
         pairs, n = _summed(*_arrived(table, 3, "<u8", "<u4"))
         pairs, n = pairs[n >= LEAST], n[n >= LEAST]
-        rows = [(bucket, 4, 0, pairs.tobytes(), n.astype("<u4").tobytes())]
+        rows = [(bucket, 4, 0, _thin(pairs), _values(n.astype("<u4")))]
         for kind, totals in ((1, vocabulary), (2, (pairs, n))):
             context, after, m = _contexts(table, kind)
             context, after, m = context[m >= LEAST], after[m >= LEAST], m[m >= LEAST]
             share = 2.0 ** (cells[after >> _U(64 - count_bits)] / 6) / all_words
             states, left, gain = _states(context, m, share, totals)
-            rows.append((bucket, 3 if kind == 1 else 5, 0, states.tobytes(), left.tobytes() + gain.tobytes()))
+            # four times the occurrences that the state doesn't leave: a small whole number, since discounts are quarters
+            taken = np.rint(4 * (1 - left) * _find(*totals[:1], states, totals[1])[0]).astype("<i8")
+            rows.append((bucket, 3 if kind == 1 else 5, 0, _thin(states), _values(taken, gain)))
             if kind == 2:
                 (mine,) = _find(states, context, np.ones(len(states), bool))
                 top = ~_U((1 << (64 - q)) - 1)
                 key = (context[mine] & top) | (mix(context[mine] * _K + after[mine]) >> _U(q))
                 order = np.argsort(key, kind="stable")
-                rows.append((bucket, 6, 0, key[order].tobytes(), m[mine][order].astype("<u4").tobytes()))
+                rows.append((bucket, 6, 0, _thin(key[order]), _values(m[mine][order].astype("<u4"))))
                 bits = np.zeros(1 << (triple_bits - q), np.uint8)
                 bits[(key >> _U(64 - triple_bits)) & _U((1 << (triple_bits - q)) - 1)] = 1
                 rows.append((bucket, 7, 0, np.packbits(bits).tobytes(), b""))
@@ -422,13 +450,10 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
-    """Aligned to the keys: counts, and for words and pairs the mass left and the gain of their state, 0 without one."""
-    pieces = {}
-    for kind, counts in ((0, "<i8"), (4, "<u4"), (6, "<u4")):
-        pieces[kind] = (_joined(known, kind, "k", "<u8"), _joined(known, kind, "v", counts))
-    for kind in (3, 5):
-        k, v = _joined(known, kind, "k", "<u8"), _joined(known, kind, "v", "<f4")
-        pieces[kind] = (k, v[: len(k)], v[len(k) :])
+    """Aligned to the keys: counts, and for words and pairs what their state takes and its gain, 0 without one."""
+    pieces = {0: (_joined(known, 0, "k", "<u8"), _joined(known, 0, "v", "<i8"))}
+    for kind, values in ((3, ("<i8", "<f4")), (4, ("<u4",)), (5, ("<i8", "<f4")), (6, ("<u4",))):
+        pieces[kind] = next(((_full(k), *_parts(v, *values)) for x, k, v in zip(*(known[c].to_pylist() for c in ("kind", "k", "v")), strict=True) if x == kind), tuple(np.zeros(0, t) for t in ("<u8", *values)))
     rows = []
     for bucket, kind, block, k in zip(*(asked[c].to_pylist() for c in ("bucket", "kind", "block", "k")), strict=True):
         wanted = _full(k)
@@ -437,21 +462,14 @@ def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
         if kind < 2:
             s = pieces[(3, 5)[kind]]
             values += _find(s[0], wanted, s[1], s[2])
-        rows.append((bucket, kind, block, b"", b"".join([_planes(x) for x in values])))
+        rows.append((bucket, kind, block, b"", _values(*values)))
     return pa.Table.from_batches([_rows(rows)])
 
 
 def _aligned(answers: pa.Table, kind: int, count: str) -> list[np.ndarray]:
     found = sorted((b, v) for b, x, v in zip(answers["bucket"].to_pylist(), answers["kind"].to_pylist(), answers["v"].to_pylist(), strict=True) if x == kind)
-    each, out = np.dtype(count).itemsize + (8 if kind < 2 else 0), []
-    for _, v in found:
-        n = len(v) // each
-        size = n * np.dtype(count).itemsize
-        part = [_unplaned(v[:size], count)]
-        if kind < 2:
-            part += [_unplaned(v[size : size + 4 * n], "<f4"), _unplaned(v[size + 4 * n :], "<f4")]
-        out.append(part)
-    return [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, count), np.zeros(0, "<f4"), np.zeros(0, "<f4")]
+    out = [_parts(v, *((count, "<i8", "<f4") if kind < 2 else (count,))) for _, v in found]
+    return [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, count), np.zeros(0, "<i8"), np.zeros(0, "<f4")]
 
 
 def _score(q: int, sent, pair_bits: int, triple_bits: int, n_train: int, n_vocabulary: int):
@@ -465,20 +483,21 @@ def _score(q: int, sent, pair_bits: int, triple_bits: int, n_train: int, n_vocab
         return out
 
     def scored(t: Keys, two: np.ndarray, three: np.ndarray, part: pa.RecordBatch, known: list) -> pa.RecordBatch:
-        n_w, left1, gain1 = (x[np.searchsorted(known[0][0], t.w)] for x in known[0][1])
+        n_w, taken1, gain1 = (x[np.searchsorted(known[0][0], t.w)] for x in known[0][1])
         size = len(t.w)
-        n2, left2, gain2, n3 = np.zeros(size, np.int64), np.zeros(size, "<f4"), np.zeros(size, "<f4"), np.zeros(size, np.int64)
+        n2, taken2, gain2, n3 = np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size, "<f4"), np.zeros(size, np.int64)
         at = np.searchsorted(known[1][0], t.pair[two])
-        n2[two], left2[two], gain2[two] = (x[at] for x in known[1][1])
+        n2[two], taken2[two], gain2[two] = (x[at] for x in known[1][1])
         n3[three] = known[2][1][0][np.searchsorted(known[2][0], t.triple[three])]
         share = (n_w + 1) / (n_train + n_vocabulary + 1)
         before = lambda x: np.concatenate((x[:1], x[:-1]))  # noqa: E731  what the preceding word or pair has
-        one, pair = (t.depth >= 1) & (before(left1) > 0), (t.depth >= 2) & (before(left2) > 0)
+        one, pair = (t.depth >= 1) & (before(taken1) > 0), (t.depth >= 2) & (before(taken2) > 0)
         pair &= ~one | (before(gain2) > before(gain1))
         p = share.copy()
-        p[one] = before(left1)[one] * share[one] + np.maximum(n2[one] - DISCOUNT, 0) * (n2[one] >= LEAST) / before(n_w)[one]
+        left = lambda taken, n: 1 - taken / (4 * n)  # noqa: E731  the mass left to the shorter suffix
+        p[one] = left(before(taken1)[one], before(n_w)[one]) * share[one] + np.maximum(n2[one] - DISCOUNT, 0) * (n2[one] >= LEAST) / before(n_w)[one]
         # what a pair leaves goes to its suffix, the word, where that is a state
-        p[pair] = before(left2)[pair] * p[pair] + np.maximum(n3[pair] - DISCOUNT, 0) / before(n2)[pair]
+        p[pair] = left(before(taken2)[pair], before(n2)[pair]) * p[pair] + np.maximum(n3[pair] - DISCOUNT, 0) / before(n2)[pair]
         total = lambda x: np.add.reduceat(x, t.starts) if size else x
         columns = {
             "doc_id": part.column(2), "held_out": part.column(3), "n_tokens": pa.array(t.sizes), "n_known": pa.array(total((n_w > 0).astype(np.int64))),
@@ -524,7 +543,7 @@ def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str
     if pair_bits is None:
         size = train.agg(F.sum(F.octet_length("text"))).head()[0] or 0
         pair_bits = min(MOST_BITS, max(LEAST_BITS, (size // 8).bit_length()))
-    triple_bits = pair_bits - 1 if triple_bits is None else triple_bits
+    triple_bits = pair_bits if triple_bits is None else triple_bits
     with small_batches(spark, 2500):
         words = cut(train.mapInArrow(_count_words(q), PACKED).groupBy("bucket").applyInArrow(_sum_words(q, pair_bits), PACKED), light=True)
     _free(spark)
