@@ -33,7 +33,7 @@ END = int(mix(np.array([0x2545F4914F6CDD1D], np.uint64))[0])
 DISCOUNT = 0.75
 #: How often a pair or triple must occur at least to be kept in a context's distribution, at any size of corpus.
 LEAST = 3
-#: Bits of the map of pairs, as a power of 2: from 8 bytes of training text for a bit, within these bounds.
+#: Bits of the map of pairs, as a power of 2: from 4 bytes of training text for a bit, within these bounds.
 LEAST_BITS, MOST_BITS = 26, 29
 #: Bytes of the table of word counts at least, as a power of 2.
 LEAST_COUNTS = 23
@@ -174,7 +174,7 @@ def _joined(table: pa.Table, kind: int, column: str, dtype: str) -> np.ndarray:
 
 
 #: Distinct keys that a task holds before it sends them on.
-_HELD = 1_500_000
+_HELD = 3_000_000
 
 
 def _merged(parts: list[tuple[np.ndarray, ...]], counts: int) -> tuple[np.ndarray, ...]:
@@ -542,7 +542,7 @@ def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str
     train = d.where("NOT held_out").select("text")
     if pair_bits is None:
         size = train.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-        pair_bits = min(MOST_BITS, max(LEAST_BITS, (size // 8).bit_length()))
+        pair_bits = min(MOST_BITS, max(LEAST_BITS, (size // 4).bit_length()))
     triple_bits = pair_bits if triple_bits is None else triple_bits
     with small_batches(spark, 2500):
         words = cut(train.mapInArrow(_count_words(q), PACKED).groupBy("bucket").applyInArrow(_sum_words(q, pair_bits), PACKED), light=True)
