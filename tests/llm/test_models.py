@@ -124,7 +124,7 @@ def test_rare_contexts_stay_in_large_corpora(spark):
 def test_pairs_of_one_portion_reach_the_bit_map(monkeypatch, least):
     monkeypatch.setattr(lm_score, "LEAST", least)
     texts = pa.RecordBatch.from_arrays([pa.array(["zebra quagga " * 400])], ["text"])
-    q, rows = 5, pa.Table.from_batches(lm_score._count_words(5)(iter([texts])))
+    q, rows = 5, pa.Table.from_batches(lm_score._count_words(5, 48)(iter([texts])))
     n = 0
     for bucket in set(rows["bucket"].to_pylist()):
         found = lm_score._sum_words(q, 26)(rows.filter(pa.compute.equal(rows["bucket"], bucket)))

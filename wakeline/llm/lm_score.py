@@ -7,11 +7,12 @@ discounted, and leaves the rest of its mass to that of the next shorter retained
 distribution. A word is scored by the longest retained suffix of what precedes it that beats the next shorter one by that
 measure.
 
-Nothing of the corpus is held whole anywhere. Counts are packed arrays dealt into buckets of a 64-bit key space; texts
-ask for the counts they need by block of input and get them back aligned to their sorted keys. What is broadcast is
-small: bit maps of pairs seen so often and of kept triples (2 ** pair_bits and 2 ** triple_bits bits), which only keep
-others from being sent and grow with the training text up to MOST_BITS. Only a table of rounded word counts (2 ** count_bits
-bytes), which the retention test uses, grows with the vocabulary: two to four bytes a word that is seen at least three times.
+Nothing of the corpus is held whole anywhere. Counts are packed arrays dealt into buckets of a key space, of 64 bits for
+words and of 48 or more for pairs and triples; texts ask for the counts they need by block of input and get them back
+aligned to their sorted keys. What is broadcast is small: bit maps of pairs seen so often and of kept triples
+(2 ** pair_bits and 2 ** triple_bits bits), which only keep others from being sent and grow with the training text up to
+MOST_BITS. Only a table of rounded word counts (2 ** count_bits bytes), which the retention test uses, grows with the
+vocabulary: two to four bytes a word that is seen at least three times.
 """
 
 from __future__ import annotations
@@ -35,6 +36,9 @@ DISCOUNT = 0.75
 LEAST = 3
 #: Bits of the map of pairs, as a power of 2: from 4 bytes of training text for a bit, within these bounds.
 LEAST_BITS, MOST_BITS = 26, 29
+#: Bits of the keys of pairs and triples at least. From 64 GB of training text they grow with it, so that of the keys that
+#: are looked up at most about one in 70,000 meets another one's counts (at 0.5 GB, one in 9 million).
+LEAST_KEY_BITS = 48
 #: Bytes of the table of word counts at least, as a power of 2.
 LEAST_COUNTS = 23
 PACKED = "bucket int, kind int, block long, k binary, v binary"
@@ -50,10 +54,20 @@ def _free(spark: SparkSession) -> None:
         spark.sparkContext._jvm.System.gc()
 
 
+def _cut(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Keys of which the upper bits stay: differences of sorted keys then end with zeros, which compression removes."""
+    return keys & ~_U((1 << (64 - bits)) - 1)
+
+
+def _triples(pair: np.ndarray, after: np.ndarray, q: int, key_bits: int) -> np.ndarray:
+    """Keys of triples, which lie in the bucket of their context, a pair."""
+    return _cut((pair & ~_U((1 << (64 - q)) - 1)) | (mix(pair * _K + after) >> _U(q)), key_bits)
+
+
 class Keys:
     """Of a list of texts: words with the end mark, and the keys of pairs and triples that end at each of them."""
 
-    def __init__(self, column: pa.Array, q: int) -> None:
+    def __init__(self, column: pa.Array, q: int, key_bits: int) -> None:
         words, sizes = [], []
         for _, _, a, offsets in chunks(column):
             h, at = word_hashes(a, offsets)
@@ -68,10 +82,8 @@ class Keys:
         self.pair = np.zeros(n, np.uint64)
         self.triple = np.zeros(n, np.uint64)
         if n:
-            self.pair[1:] = mix(self.w[:-1] * _K + self.w[1:])
-            # a triple lies in the bucket of its context, the pair before it
-            top = ~_U((1 << (64 - q)) - 1)
-            self.triple[1:] = (self.pair[:-1] & top) | (mix(self.pair[:-1] * _K + (self.w[1:] & _AFTER)) >> _U(q))
+            self.pair[1:] = _cut(mix(self.w[:-1] * _K + self.w[1:]), key_bits)
+            self.triple[1:] = _triples(self.pair[:-1], self.w[1:] & _AFTER, q, key_bits)
 
     def known(self, bits: np.ndarray, pair_bits: int, kept: np.ndarray | None = None, triple_bits: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Which positions end a pair, and a triple, of whose pairs the bit map has all; with the map of kept triples
@@ -196,17 +208,17 @@ def _merged(parts: list[tuple[np.ndarray, ...]], counts: int) -> tuple[np.ndarra
     return tuple(out)
 
 
-def _by_portion(batches: Iterator[pa.RecordBatch], q: int) -> Iterator[Keys]:
+def _by_portion(batches: Iterator[pa.RecordBatch], q: int, key_bits: int) -> Iterator[Keys]:
     for batch in batches:
         size = np.cumsum(np.diff(buffers(batch.column(0))[1]))
         at = 0
         while at < batch.num_rows:
             to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + (1 << 20), "right")))
-            yield Keys(batch.column(0).slice(at, to - at), q)
+            yield Keys(batch.column(0).slice(at, to - at), q, key_bits)
             at = to
 
 
-def _count_words(q: int):
+def _count_words(q: int, key_bits: int):
     def sent(words: list, pairs: list) -> pa.RecordBatch:
         k, n = _merged(words, 1)
         rows = list(_dealt(0, 0, k, [n.astype("<u4")], q))
@@ -220,7 +232,7 @@ def _count_words(q: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, pairs = [], []
-        for t in _by_portion(batches, q):
+        for t in _by_portion(batches, q, key_bits):
             words.append(np.unique(t.w, return_counts=True))
             pairs.append(np.unique(t.pair[t.depth > 0] >> _U(32 - q), return_counts=True))
             if sum(len(k) for k, _ in pairs) > _HELD:
@@ -273,7 +285,7 @@ def _count_table(q: int, count_bits: int):
     return run
 
 
-def _count_contexts(q: int, sent, pair_bits: int):
+def _count_contexts(q: int, sent, key_bits: int, pair_bits: int):
     """kind 1: word contexts and next words; 2: pair contexts and next words; 3: pairs."""
 
     def ready(held: dict[int, list]) -> pa.RecordBatch:
@@ -290,7 +302,7 @@ def _count_contexts(q: int, sent, pair_bits: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {1: [], 2: []}
-        for t in _by_portion(batches, q):
+        for t in _by_portion(batches, q, key_bits):
             two, three = t.known(sent.value[0], pair_bits)
             for kind, keys, where, context in ((1, t.pair, two, t.w), (2, t.triple, three, t.pair)):
                 at = np.flatnonzero(where)
@@ -354,7 +366,7 @@ def _states(context: np.ndarray, n: np.ndarray, share: np.ndarray, total_of: tup
     return states[ok], ((DISCOUNT * kept + rest) / total)[ok], gain[ok].astype("<f4")
 
 
-def _learn(q: int, sent, count_bits: int, triple_bits: int):
+def _learn(q: int, sent, key_bits: int, count_bits: int, triple_bits: int):
     """Of a bucket: word states (kind 3), pairs with counts (4), pair states (5), triples of pair states with counts (6),
     and its part of the bit map of these triples (7)."""
 
@@ -377,8 +389,7 @@ def _learn(q: int, sent, count_bits: int, triple_bits: int):
             rows.append((bucket, 3 if kind == 1 else 5, 0, _thin(states), _values(taken, gain)))
             if kind == 2:
                 (mine,) = _find(states, context, np.ones(len(states), bool))
-                top = ~_U((1 << (64 - q)) - 1)
-                key = (context[mine] & top) | (mix(context[mine] * _K + after[mine]) >> _U(q))
+                key = _triples(context[mine], after[mine], q, key_bits)
                 order = np.argsort(key, kind="stable")
                 rows.append((bucket, 6, 0, _thin(key[order]), _values(m[mine][order].astype("<u4"))))
                 bits = np.zeros(1 << (triple_bits - q), np.uint8)
@@ -412,11 +423,11 @@ def _union(parts: list[np.ndarray]) -> np.ndarray:
 class _Wanted:
     """The sorted distinct keys of a block, gathered by portions of its texts."""
 
-    def __init__(self, q: int, sent, pair_bits: int, triple_bits: int) -> None:
-        self.q, self.maps, self.parts = q, (sent.value[0], pair_bits, sent.value[1], triple_bits), ([], [], [])
+    def __init__(self, q: int, sent, key_bits: int, pair_bits: int, triple_bits: int) -> None:
+        self.q, self.key_bits, self.maps, self.parts = q, key_bits, (sent.value[0], pair_bits, sent.value[1], triple_bits), ([], [], [])
 
     def add(self, texts: pa.Array) -> tuple[Keys, np.ndarray, np.ndarray]:
-        t = Keys(texts, self.q)
+        t = Keys(texts, self.q, self.key_bits)
         two, three = t.known(*self.maps)
         for part, k in zip(self.parts, (t.w, t.pair[two], t.triple[three]), strict=True):
             part.append(np.unique(k))
@@ -426,12 +437,12 @@ class _Wanted:
         return [_union(p) for p in self.parts]
 
 
-def _ask(q: int, sent, pair_bits: int, triple_bits: int):
+def _ask(q: int, sent, key_bits: int, pair_bits: int, triple_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, _Wanted] = {}
         for batch in batches:
             for block, part in _portions(batch):
-                held.setdefault(block, _Wanted(q, sent, pair_bits, triple_bits)).add(part.column(1))
+                held.setdefault(block, _Wanted(q, sent, key_bits, pair_bits, triple_bits)).add(part.column(1))
         for block in list(held):
             keys = held.pop(block).keys()
             yield _rows([r for kind, k in enumerate(keys) for r in _dealt(kind, block, k, [], q)])
@@ -474,9 +485,9 @@ def _aligned(answers: pa.Table, kind: int, count: str) -> list[np.ndarray]:
     return [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, count), np.zeros(0, "<i8"), np.zeros(0, "<f4")]
 
 
-def _score(q: int, sent, pair_bits: int, triple_bits: int, n_train: int, n_vocabulary: int):
+def _score(q: int, sent, key_bits: int, pair_bits: int, triple_bits: int, n_train: int, n_vocabulary: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        wanted = _Wanted(q, sent, pair_bits, triple_bits)
+        wanted = _Wanted(q, sent, key_bits, pair_bits, triple_bits)
         portions = [(b, wanted.add(b.column(1))) for x in docs["packed"] for b in pa.ipc.open_stream(x.as_buffer())]
         known = list(zip(wanted.keys(), (_aligned(answers, kind, count) for kind, count in enumerate(("<i8", "<u4", "<u4"))), strict=True))
         out = pa.Table.from_batches([scored(*read, part, known) for part, read in portions])
@@ -528,26 +539,29 @@ def _in_blocks(docs: DataFrame, columns: list[Column], block_bytes: int) -> Data
         return keyed(written, [F.col(c) for c in written.columns])
 
 
-def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str = "doc_id", text_col: str = "text", pair_bits: int | None = None, count_bits: int | None = None, triple_bits: int | None = None, block_bytes: int = 4 << 20) -> DataFrame:
+def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str = "doc_id", text_col: str = "text", pair_bits: int | None = None, count_bits: int | None = None, triple_bits: int | None = None, block_bytes: int = 4 << 20, key_bits: int | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and in_context (tokens scored in a context
     of one or two words) of each document.
 
     The model learns from the documents whose crc32 of the id as text is not `held_out` modulo `folds`. Words are ended
     by ASCII white space, A-Z lower-cased; each text ends with a token of its own, so null and empty texts have one
     token. Rows that repeat count again. A null id is learned from. An empty table gives no rows. pair_bits and
-    triple_bits do not change the scores; by default they follow the size of the training text.
+    triple_bits do not change the scores; by default they follow the size of the training text. key_bits is the width of
+    the keys of pairs and triples: two that meet in one key share their counts.
     """
     spark = docs.sparkSession
     q = min(12, max(5, (2 * partitions(spark) - 1).bit_length()))
     held = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == held_out, F.lit(False))
     d = _in_blocks(docs, [F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), held.alias("held_out")], block_bytes)
     train = d.where("NOT held_out").select("text")
+    size = train.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    if key_bits is None:
+        key_bits = min(64, max(LEAST_KEY_BITS, size.bit_length() + 12))
     if pair_bits is None:
-        size = train.agg(F.sum(F.octet_length("text"))).head()[0] or 0
         pair_bits = min(MOST_BITS, max(LEAST_BITS, (size // 4).bit_length()))
     triple_bits = pair_bits if triple_bits is None else triple_bits
     with small_batches(spark, 2500):
-        words = cut(train.mapInArrow(_count_words(q), PACKED).groupBy("bucket").applyInArrow(_sum_words(q, pair_bits), PACKED), light=True)
+        words = cut(train.mapInArrow(_count_words(q, key_bits), PACKED).groupBy("bucket").applyInArrow(_sum_words(q, pair_bits), PACKED), light=True)
     _free(spark)
     n_train, n_vocabulary = words.where("kind = 0").agg(F.coalesce(F.sum("block"), F.lit(0)), F.coalesce(F.sum(F.octet_length("k") / 8), F.lit(0)).cast("long")).head()
     vocabulary = words.where("kind = 0")
@@ -560,16 +574,16 @@ def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str
         part = np.frombuffer(row["k"], np.uint8)
         (bits if row["kind"] == 1 else cells)[row["bucket"] * len(part) : (row["bucket"] + 1) * len(part)] = part
     sent = spark.sparkContext.broadcast((bits, cells, max(1, n_train)))
-    contexts = train.mapInArrow(_count_contexts(q, sent, pair_bits), PACKED)
+    contexts = train.mapInArrow(_count_contexts(q, sent, key_bits, pair_bits), PACKED)
     with small_batches(spark, 2500):
-        model = cut(contexts.groupBy("bucket").cogroup(vocabulary.groupBy("bucket")).applyInArrow(_learn(q, sent, count_bits, triple_bits), PACKED), light=True)
+        model = cut(contexts.groupBy("bucket").cogroup(vocabulary.groupBy("bucket")).applyInArrow(_learn(q, sent, key_bits, count_bits, triple_bits), PACKED), light=True)
     _free(spark)
     kept = np.zeros(1 << (triple_bits - 3), np.uint8)
     for row in model.where("kind = 7").select("bucket", "k").toLocalIterator():
         part = np.frombuffer(row["k"], np.uint8)
         kept[row["bucket"] * len(part) : (row["bucket"] + 1) * len(part)] = part
     maps = spark.sparkContext.broadcast((bits, kept))
-    asked = d.select("block", "text").mapInArrow(_ask(q, maps, pair_bits, triple_bits), PACKED)
+    asked = d.select("block", "text").mapInArrow(_ask(q, maps, key_bits, pair_bits, triple_bits), PACKED)
     known = vocabulary.unionByName(model.where("kind < 7"))
     with small_batches(spark, 2500):
         answers = cut(asked.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(_answer, PACKED), light=True)
@@ -577,4 +591,4 @@ def score_texts(docs: DataFrame, folds: int = 7, held_out: int = 2, id_col: str
     kind = docs.schema[id_col].dataType.simpleString()
     out = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, in_context long"
     texts = d.select("block", "text", "doc_id", "held_out").mapInArrow(_pack, "block long, packed binary")
-    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(q, maps, pair_bits, triple_bits, n_train, n_vocabulary), out)
+    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score(q, maps, key_bits, pair_bits, triple_bits, n_train, n_vocabulary), out)
