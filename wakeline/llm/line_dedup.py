@@ -150,15 +150,18 @@ def _verified(width: int, percent: int):
             ids = [batch.column(k).to_numpy() for k in (0, 1)]
             texts = [batch.column(k).to_pylist() for k in (2, 3)]
             ok = np.zeros(batch.num_rows, bool)
-            for at in range(0, batch.num_rows, 256):
-                # links come sorted by one of their lines, so the same texts recur
-                own = {t: k for k, t in enumerate(dict.fromkeys(t for side in texts for t in side[at : at + 256]))}
+            # links come sorted by one of their lines, so the same texts recur
+            chars, at = np.cumsum([len(t) + len(u) for t, u in zip(*texts, strict=True)]), 0
+            while at < batch.num_rows:
+                to = max(at + 1, int(np.searchsorted(chars, (chars[at - 1] if at else 0) + (1 << 17), "right")))
+                own = {t: k for k, t in enumerate(dict.fromkeys(t for side in texts for t in side[at:to]))}
                 g, first, _ = line_shingles(list(own), width)
                 sets = [np.unique(x) for x in np.split(g, first[1:])]
-                for k, (t, u) in enumerate(zip(*(side[at : at + 256] for side in texts), strict=True)):
+                for k, (t, u) in enumerate(zip(*(side[at:to] for side in texts), strict=True)):
                     x, y = sets[own[t]], sets[own[u]]
                     common = len(np.intersect1d(x, y, assume_unique=True))
                     ok[at + k] = 100 * common >= percent * (len(x) + len(y) - common)
+                at = to
             yield pa.RecordBatch.from_arrays([pa.array(ids[0][ok]), pa.array(ids[1][ok])], ["a", "b"])
 
     return run
