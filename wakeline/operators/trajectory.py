@@ -109,9 +109,10 @@ def trajectorize(df: DataFrame, gap_hours: float = 1.0, stop_min: float = 20.0,
     return kinematics(d, time, "trip_id", lon, lat, distance, ties)
 
 
-def trip_lines(df: DataFrame, time: str | None = None, vessel: str | None = None, lon: str = "longitude", lat: str = "latitude", mapping: dict | None = None, code: str = "shiptypeAIS", ties: tuple[str, ...] = ()) -> DataFrame:
+def trip_lines(df: DataFrame, time: str | None = None, vessel: str | None = None, lon: str = "longitude", lat: str = "latitude", mapping: dict | None = None, code: str = "shiptypeAIS", ties: tuple[str, ...] = (), still: bool = False) -> DataFrame:
     """One line per trip of at least two distinct consecutive positions: trip_id, MMSI, TrackStartTime, TrackEndTime,
-    VesselType, VesselGroup, Length, Width, Draft, DurationMinutes, line (array of x, y). Attributes are the first known ones."""
+    VesselType, VesselGroup, Length, Width, Draft, DurationMinutes, line (array of x, y). Attributes are the first known ones.
+    With still, trips of two pings or more that never move count too: their line is the place twice."""
     from ..functions.vessel import vessel_group
 
     time, vessel = time_column(df, time), vessel_column(df, vessel)
@@ -126,6 +127,8 @@ def trip_lines(df: DataFrame, time: str | None = None, vessel: str | None = None
     same = lambda p, i: (i > 0) & (F.get(F.col("_p"), i - 1)["x"] == p["x"]) & (F.get(F.col("_p"), i - 1)["y"] == p["y"])
     t = t.withColumn("line", F.transform(F.filter("_p", lambda p, i: ~F.coalesce(same(p, i), F.lit(False))), lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))))
     minutes = F.bround((micros("TrackEndTime") - micros("TrackStartTime")) / 6e7).cast("int")
+    if still:
+        t = t.withColumn("line", F.when(F.size("line") == 1, F.array_repeat(F.col("line")[0], 2)).otherwise(F.col("line")))
     t = t.where("_pings >= 2 AND size(line) >= 2").withColumn("DurationMinutes", minutes).withColumn("VesselGroup", vessel_group(F.col("VesselType"), mapping))
     return t.select("trip_id", "MMSI", "TrackStartTime", "TrackEndTime", "VesselType", "VesselGroup", "Length", "Width", "Draft", "DurationMinutes", "line")
 
