@@ -37,9 +37,11 @@ def vessel_column(df: DataFrame, given: str | None = None) -> str:
 
 
 def micros(c: str | Column) -> Column:
-    """Microseconds since 1970 of a timestamp, without regard to a zone."""
+    """Microseconds since 1970 of a timestamp, without regard to a zone. timestamp_diff would read both in the session's
+    zone, where times that its clocks skip are moved by an hour."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), c.cast("timestamp_ntz"))
+    since = c.cast("timestamp_ntz") - F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    return (since.cast("interval second").cast("decimal(18,6)") * 1_000_000).cast("long")
 
 
 def from_micros(c: Column) -> Column:
