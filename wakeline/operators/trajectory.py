@@ -16,7 +16,7 @@ from ..schema import micros, require, time_column, vessel_column
 
 
 def _order(vessel: str, time: str, ties: tuple[str, ...]) -> Window:
-    return Window.partitionBy(vessel).orderBy(time, *ties)
+    return Window.partitionBy(vessel).orderBy(F.asc_nulls_last(time), *ties)
 
 
 def time_deltas(df: DataFrame, vessel: str | None = None, time: str | None = None, ties: tuple[str, ...] = ()) -> DataFrame:
