@@ -2,8 +2,11 @@
 
 import hashlib
 import random
+import sys
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -218,6 +221,36 @@ def test_lines_of_a_template(spark, families, copies):
     assert got == want and families / 3 < len(set(want.values())) and len(links) < len(pairs) / 5
 
 
+def test_line_verification():
+    """Exact overlaps whatever the blocks, short lines and repeated shingles included, without calls for each pair."""
+    random.seed(6)
+    base = "".join(random.choice("abcdef \u00e9\U0001f600") for _ in range(300))
+    lines = ["a", "ab", "a" * 8, "a" * 40, "ab" * 30, base, base + base, base[:150] + base[10:]]
+    for _ in range(60):
+        x = list(base)
+        for k in random.sample(range(300), random.randrange(25)):
+            x[k] = random.choice("xyz")
+        lines.append("".join(x))
+    lines = list(dict.fromkeys(lines))
+    sets = [frozenset(x[k : k + 8] for k in range(max(1, len(x) - 7))) for x in lines]
+    pairs = [(a, b) for a in range(len(lines)) for b in range(len(lines))]
+    left, right = np.array(pairs).T
+    for room in (1, 1 << 13, 1 << 23):
+        size, common = line_dedup.common_shingles(lines, left, right, 8, room)
+        assert size.tolist() == [len(x) for x in sets]
+        assert common.tolist() == [len(sets[a] & sets[b]) for a, b in pairs]
+    near = {(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    rows = [pa.array(left), pa.array(right), pa.array([lines[a] for a in left]), pa.array([lines[b] for b in right])]
+    batch, calls = pa.RecordBatch.from_arrays(rows, ["a", "b", "ta", "tb"]), Counter()
+    sys.setprofile(lambda frame, event, of: calls.update([event]))
+    try:
+        (got,) = line_dedup._verified(8, 75)(iter([batch]))
+    finally:
+        sys.setprofile(None)
+    assert set(zip(*(got.column(k).to_pylist() for k in (0, 1)), strict=True)) == near and len(lines) < len(near) < len(pairs)
+    assert calls["call"] + calls["c_call"] < 15 * len(pairs)
+
+
 def test_lines_edges(edges, none):
     got = line_dedup.dedup_lines(edges).collect()
     assert len(got) == edges.count() and line_dedup.dedup_lines(none).count() == 0

@@ -45,11 +45,15 @@ def _coded(lines: list[str], width: int) -> tuple[np.ndarray, np.ndarray, np.nda
     """Prefix sums of a polynomial hash over all lines, the inverse powers, and each line's place, room and size. A line
     takes at least `width` places, filled up with zeros, so that every shingle lies within its line."""
     size = np.array([len(x) for x in lines], np.int64)
-    c = np.frombuffer("".join([x if len(x) >= width else x.ljust(width, "\0") for x in lines]).encode("utf-32-le", "surrogatepass"), np.uint32)
     room = np.maximum(size, width)
+    if (size < width).any():
+        lines = [x.ljust(width, "\0") for x in lines]
+    c = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     up, down = _powers(len(c))
+    c *= _U(0x9E3779B97F4A7C15)
+    c *= up[: len(c)]
     total = np.zeros(len(c) + 1, np.uint64)
-    np.cumsum((c * _U(0x9E3779B97F4A7C15)) * up[: len(c)], out=total[1:])
+    np.cumsum(c, out=total[1:])
     return total, down, np.cumsum(room) - room, room, size
 
 
@@ -68,9 +72,48 @@ def line_shingles(lines: list[str], width: int) -> tuple[np.ndarray, np.ndarray,
     coded = _coded(lines, width)
     total, down, begin, room, _ = coded
     n = room - width + 1
-    first = np.cumsum(n) - n
-    at = np.arange(int(n.sum())) + np.repeat(begin - first, n)
-    return mix((total[at + width] - total[at]) * down[at]), first, _ids(*coded)
+    g = total[width:] - total[:-width]
+    g *= down[: len(g)]
+    # those that begin in one line and end in the next one go
+    whole = np.ones(len(g), bool)
+    whole[((begin + n)[:-1, None] + np.arange(width - 1)).ravel()] = False
+    return mix(g[whole]), np.cumsum(n) - n, _ids(*coded)
+
+
+def _tokens(g: np.ndarray, first: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
+    """Of the shingles of lines, which may repeat: line and number of each that occurs again, how many of each line do
+    not, how many numbers there are and how many go into a block of about `room` cells."""
+    owner = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(g))))
+    token = pa.array(g).dictionary_encode().indices.to_numpy()
+    again = np.bincount(token) > 1
+    some = again[token]
+    single = np.bincount(owner[~some], minlength=len(first))
+    owner, token, n, step = owner[some], (np.cumsum(again) - 1)[token[some]], int(again.sum()), max(64, room // len(first) // 64 * 64)
+    if n > step:
+        order = np.argsort(token, kind="stable")
+        owner, token = owner[order], token[order]
+    return owner, token, single, n, step
+
+
+def _blocks(owner: np.ndarray, token: np.ndarray, lines: int, n: int, step: int, kind: type) -> Iterator[np.ndarray]:
+    """Matrices of lines and at most `step` tokens, 1 where the line has the token; widths are multiples of 64."""
+    for at in range(0, n, step):
+        i, j = np.searchsorted(token, (at, at + step)) if n > step else (0, len(token))
+        has = np.zeros((lines, min(step, (n - at + 63) // 64 * 64)), kind)
+        has[owner[i:j], token[i:j] - at] = 1
+        yield has
+
+
+def common_shingles(texts: list[str], left: np.ndarray, right: np.ndarray, width: int, room: int = 1 << 23) -> tuple[np.ndarray, np.ndarray]:
+    """How many distinct shingles each text has, and how many the texts left[k] and right[k] have in common."""
+    g, first, _ = line_shingles(texts, width)
+    owner, token, size, n, step = _tokens(g, first, room)
+    common = np.zeros(len(left), np.int64)
+    for has in _blocks(owner, token, len(texts), n, step, bool):
+        bits = np.packbits(has, axis=1).view(np.uint64)
+        size += np.bitwise_count(bits).sum(1, dtype=np.int64)
+        common += np.bitwise_count(bits[left] & bits[right]).sum(1, dtype=np.int64)
+    return size, np.where(left == right, size[left], common)
 
 
 def signatures(g: np.ndarray, first: np.ndarray, count: int) -> np.ndarray:
@@ -115,17 +158,16 @@ def _bands(width: int, bands: int, rows: int, buckets: int):
             for some in _portions(lines):
                 g, first, line = line_shingles(some, width)
                 s = signatures(g, first, bands * rows).astype(np.uint64).reshape(bands, rows, -1)
-                for band in range(bands):
-                    key = np.full(len(some), band + 1, np.uint64)
-                    for r in range(rows):
-                        key = mix(key * _U(0x9E3779B97F4A7C15) + s[band, r])
-                    keys.append(key)
-                    ids.append(line)
+                key = np.repeat(np.arange(1, bands + 1, dtype=np.uint64)[:, None], len(some), axis=1)
+                for r in range(rows):
+                    key = mix(key * _U(0x9E3779B97F4A7C15) + s[:, r])
+                keys.append(key.ravel())
+                ids.append(np.tile(line, bands))
             if not keys:
                 continue
             key, line = np.concatenate(keys), np.concatenate(ids)
-            to = (key % _U(buckets)).astype(np.int32)
-            order = np.argsort(to, kind="stable")
+            to = (key % _U(buckets)).astype(np.int16 if buckets < 1 << 15 else np.int32)
+            order = np.argsort(to, kind="stable")  # by radix where 16 bits hold the buckets
             key, line, to = key[order], line[order], to[order]
             at = np.searchsorted(to, np.arange(buckets + 1))
             out = [(int(x), key[at[x] : at[x + 1]].tobytes(), line[at[x] : at[x + 1]].tobytes()) for x in np.flatnonzero(np.diff(at))]
@@ -153,14 +195,11 @@ def _verified(width: int, percent: int):
             # links come sorted by one of their lines, so the same texts recur
             chars, at = np.cumsum([len(t) + len(u) for t, u in zip(*texts, strict=True)]), 0
             while at < batch.num_rows:
-                to = max(at + 1, int(np.searchsorted(chars, (chars[at - 1] if at else 0) + (1 << 17), "right")))
+                to = max(at + 1, int(np.searchsorted(chars, (chars[at - 1] if at else 0) + (1 << 15), "right")))
                 own = {t: k for k, t in enumerate(dict.fromkeys(t for side in texts for t in side[at:to]))}
-                g, first, _ = line_shingles(list(own), width)
-                sets = [np.unique(x) for x in np.split(g, first[1:])]
-                for k, (t, u) in enumerate(zip(*(side[at:to] for side in texts), strict=True)):
-                    x, y = sets[own[t]], sets[own[u]]
-                    common = len(np.intersect1d(x, y, assume_unique=True))
-                    ok[at + k] = 100 * common >= percent * (len(x) + len(y) - common)
+                x, y = (np.array([own[t] for t in side[at:to]]) for side in texts)
+                size, common = common_shingles(list(own), x, y, width)
+                ok[at:to] = 100 * common >= percent * (size[x] + size[y] - common)
                 at = to
             yield pa.RecordBatch.from_arrays([pa.array(ids[0][ok]), pa.array(ids[1][ok])], ["a", "b"])
 
@@ -196,17 +235,14 @@ def similar_components(texts: list[str], comp: np.ndarray, side: np.ndarray, wid
     """Pairs of components that lines of theirs join: all lines of different components are compared, or only those of
     different sides where there are two sides."""
     g, first, _ = line_shingles(texts, width)
-    distinct, token = np.unique(g, return_inverse=True)
     n = len(texts)
-    code = np.unique(np.repeat(np.arange(n), np.diff(np.append(first, len(g)))) * len(distinct) + token)
-    owner, token = code // len(distinct), code % len(distinct)
-    kind = np.float32 if len(code) < 1 << 17 else np.float64
-    size = np.bincount(owner, minlength=n).astype(kind)
-    # a shingle of one line is in no intersection
-    shared = np.bincount(token, minlength=len(distinct)) > 1
-    owner, token = owner[shared[token]], (np.cumsum(shared) - 1)[token[shared[token]]]
-    order = np.argsort(token, kind="stable")
-    owner, token = owner[order], token[order]
+    kind = np.float32 if len(g) < 1 << 17 else np.float64
+    # a shingle that occurs once is in no intersection
+    owner, token, size, tokens, step = _tokens(g, first, 1 << 22)
+    size = size.astype(kind)
+    held = list(_blocks(owner, token, n, tokens, step, kind)) if tokens <= step else None
+    for has in _blocks(owner, token, n, tokens, step, kind) if held is None else held:
+        size += has.sum(1)
     if side.any() and not side.all():
         rows, every = sorted((np.flatnonzero(side), np.flatnonzero(~side)), key=len)
         before = len(every)
@@ -215,15 +251,12 @@ def similar_components(texts: list[str], comp: np.ndarray, side: np.ndarray, wid
         _, which, count = np.unique(comp, return_inverse=True, return_counts=True)
         rows, largest = np.flatnonzero(which != count.argmax()), np.flatnonzero(which == count.argmax())
         every, before = np.concatenate((largest, rows)), len(largest)
-    step, found = max(64, (1 << 22) // n), []
+    found = []
     for r in range(0, len(rows), 512):
         some = rows[r : r + 512]
         cols = every[: before + r + 512]
         common = np.zeros((len(some), len(cols)), kind)
-        for at in range(0, int(shared.sum()), step):
-            i, j = np.searchsorted(token, (at, at + step))
-            has = np.zeros((n, min(step, int(shared.sum()) - at)), kind)
-            has[owner[i:j], token[i:j] - at] = 1
+        for has in _blocks(owner, token, n, tokens, step, kind) if held is None else held:
             common += has[some] @ has[cols].T
         near = 100 * common >= percent * (size[some][:, None] + size[cols] - common)
         near &= comp[some][:, None] != comp[cols]
